@@ -38,7 +38,7 @@ def safe_boolean(c: Column) -> Column:
 
 
 def safe_date(c: Column) -> Column:
-    return F.trim(c).try_cast("date")
+    return F.try_to_date(F.trim(c), "yyyy-MM-dd")
 
 
 def blank_to_null(c: Column) -> Column:
