@@ -8,13 +8,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac import files
 from tarmac.operators.dedupe import keep_first
 from tarmac.session import scratch_path
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
+    """A table whose partitions may differ in later columns.
+
+    Without ``schema`` the footers of all files are merged; name the schema where that
+    is too much reading.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
@@ -27,57 +35,56 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return untouched.unionByName(source, allowMissingColumns=True)
 
 
-def _write_partitions(
-    df: DataFrame, path: str, partition_by: str, sort_by: Sequence[str], mode: str
-) -> None:
-    sorted_rows = df.sortWithinPartitions(partition_by, *sort_by) if sort_by else df
-    (
-        sorted_rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by).parquet(path)
-    )
+def _laid_out(df: DataFrame, partition_by: str, sort_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by partition value and sorted for tight row-group statistics.
+
+    Rebalancing, unlike a plain repartition, splits a value that outgrows one task.
+    """
+    return df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
 
 
 def upsert(
     spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str,
     latest_by: Sequence[Column] | None = None, sort_by: Sequence[str] = (),
-) -> None:
-    """Merge ``source`` into a partitioned table, rewriting only partitions it touches.
+) -> list[str]:
+    """Merge ``source`` into a partitioned table; returns the partition values rewritten.
 
-    A key must determine its partition. ``latest_by`` settles repeated keys in the
-    source. The merged partitions are written beside the table first and copied in with
-    a dynamic partition overwrite, because a table cannot be overwritten by a plan that
-    reads it; running the same upsert again after a failure gives the same table.
+    Only partitions the source touches are read and written. A key must determine its
+    partition. ``latest_by`` settles repeated keys in the source. Merged partitions are
+    completed in the shared folder and then copied in with a dynamic partition overwrite,
+    because no plan may overwrite what it reads; after a failure the same upsert can
+    simply run again.
     """
     if latest_by:
         source = keep_first(source, keys, latest_by)
-    staged_source = scratch_path(spark, "upsert-source")
-    source.write.partitionBy(partition_by).parquet(staged_source)
-    touched = files.partition_values(spark, staged_source, partition_by)
-    if not touched:
-        files.delete(spark, staged_source)
-        return
-    fresh = spark.read.schema(source.schema).parquet(staged_source)
-    present = set(files.partition_values(spark, path, partition_by))
-    known = [v for v in touched if v in present]
-    if not known:
-        _write_partitions(fresh, path, partition_by, sort_by, "append")
-    else:
-        # Whole folders are named, so untouched partitions are not even listed.
-        old = (
-            spark.read.option("mergeSchema", "true").option("basePath", path)
-            .parquet(*[f"{path}/{partition_by}={v}" for v in known])
-            .withColumn(partition_by, F.col(partition_by).cast(source.schema[partition_by].dataType))
-        )
-        merged = scratch_path(spark, "upsert-merged")
-        # The partition value joins along with the key, so rows meet partition by partition.
-        on = [*keys] if partition_by in keys else [*keys, partition_by]
-        merge_rows(old, fresh, on).write.partitionBy(partition_by).parquet(merged)
-        result = read_table(spark, merged).withColumn(
-            partition_by, F.col(partition_by).cast(source.schema[partition_by].dataType)
+    staged = scratch_path(spark, "upsert-source")
+    _laid_out(source, partition_by, sort_by).write.partitionBy(partition_by).parquet(staged)
+    touched = files.partition_values(spark, staged, partition_by)
+    if touched:
+        present = set(files.partition_values(spark, path, partition_by))
+        known = [v for v in touched if v in present]
+        complete = spark.read.schema(source.schema).parquet(staged)
+        merged = None
+        if known:
+            # Whole folders are named, so other partitions are not even listed.
+            old = (
+                spark.read.option("mergeSchema", "true").option("basePath", path)
+                .parquet(*[f"{path}/{partition_by}={v}" for v in known])
+            )
+            dtype = source.schema[partition_by].dataType
+            old = old.withColumn(partition_by, F.col(partition_by).cast(dtype))
+            result = merge_rows(old, complete, list(dict.fromkeys([*keys, partition_by])))
+            merged = scratch_path(spark, "upsert-merged")
+            _laid_out(result, partition_by, sort_by).write.partitionBy(partition_by).parquet(merged)
+            complete = spark.read.schema(result.schema).parquet(merged)
+        (
+            complete.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_by).parquet(path)
         )
-        _write_partitions(result, path, partition_by, sort_by, "overwrite")
-        files.delete(spark, merged)
-    files.delete(spark, staged_source)
+        if merged:
+            files.delete(spark, merged)
+    files.delete(spark, staged)
+    return touched
 
 
 def full_refresh(spark: SparkSession, path: str, df: DataFrame) -> None:
