@@ -15,25 +15,26 @@ REVIEWED_KINDS = ("added", "removed")
 REVIEW_DAYS = 7
 
 
-def _names(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([(c.lower(),) for c in columns], "column_name string")
+def schema_drift(live: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """(kind, column_name) for every column only one side has; letter case is ignored.
 
-
-def schema_drift(spark: SparkSession, live: Sequence[str], expected: Sequence[str]) -> DataFrame:
-    """(kind, column_name) for every column only one side has; letter case is ignored."""
-    have, want = _names(spark, live), _names(spark, expected)
+    ``live`` has the found columns in ``column_name``, as ``discover_schema`` gives them.
+    """
+    have = live.select(F.lower("column_name").alias("column_name"))
+    want = live.sparkSession.createDataFrame([(c.lower(),) for c in expected], "column_name string")
     added = have.subtract(want).select(F.lit("added").alias("kind"), "column_name")
     removed = want.subtract(have).select(F.lit("removed").alias("kind"), "column_name")
     return added.unionByName(removed)
 
 
 def drift_rows(
-    spark: SparkSession, source_name: str, table_name: str, live: Sequence[str],
-    expected: Sequence[str], detected_at: dt.datetime,
+    source_name: str, table_name: str, live: DataFrame, expected: Sequence[str],
+    detected_at: dt.datetime,
 ) -> DataFrame:
     """Log rows of one run. A marker row shows that the run took place."""
-    marker = spark.createDataFrame([("run_marker", None)], "kind string, column_name string")
-    found = marker.unionByName(schema_drift(spark, live, expected))
+    marker = live.sparkSession.createDataFrame(
+        [("run_marker", None)], "kind string, column_name string")
+    found = marker.unionByName(schema_drift(live, expected))
     nothing = F.lit(None)
     return found.select(
         F.lit(detected_at).cast("timestamp").alias("detected_at"),

@@ -79,7 +79,10 @@ def load_silver_flights(
 def silver_lookup(
     silver: DataFrame, carrier: str, number: str, day: dt.date
 ) -> DataFrame:
-    """One flight by carrier, number and date; all three reach the scan as filters."""
+    """One flight by carrier, number and date; all three reach the scan as filters.
+
+    Should several qualify, the first departure counts.
+    """
     columns = ["distance_miles", "scheduled_dep_ts", "origin_iata", "dest_iata", "dep_delay_min"]
     hit = (
         (F.col("carrier_code") == carrier)
@@ -88,7 +91,10 @@ def silver_lookup(
     )
     if "flight_month" in silver.columns:
         hit &= F.col("flight_month") == day.year * 100 + day.month
-    return silver.filter(hit).select(*columns).limit(1)
+    return (
+        silver.filter(hit).orderBy("scheduled_dep_ts", "flight_event_natural_key").limit(1)
+        .select(*columns)
+    )
 
 
 __all__ = [

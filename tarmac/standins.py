@@ -51,7 +51,7 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(o_custkey % 150 as string) as Flight_Number_Reporting_Airline",
         "case when o_orderkey % 97 = 0 then '' else 'N' || cast(o_custkey as string) end as Tail_Number",
         f"{airport_of('(o_custkey % 25)')} as Origin",
-        f"{airport_of('((o_orderkey * 7) % 25)')} as Dest",
+        f"{airport_of('((o_orderkey * 7) % 10)')} as Dest",
         f"{clock('', '13')} as CRSDepTime",
         f"{flown.format(clock('', '17'))} as DepTime",
         f"{flown.format(delay(17, 13))} as DepDelay",
