@@ -22,6 +22,8 @@ def high_water_mark(
     values = [v for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
     if not values:
         return None
+    if date_column == partition_column:
+        return dt.date.fromisoformat(values[-1])
     newest = spark.read.parquet(f"{path}/{partition_column}={values[-1]}")
     return newest.agg(F.max(F.col(date_column).cast("date"))).first()[0]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.registry import core
+from tarmac.registry import core, storage
 
-QUERIES = {**core.QUERIES}
-ORACLES = {**core.ORACLES}
+QUERIES = {**core.QUERIES, **storage.QUERIES}
+ORACLES = {**core.ORACLES, **storage.ORACLES}

@@ -96,13 +96,13 @@ def records_to_columns(
 
 
 def latest_manifest(manifest: DataFrame) -> DataFrame:
-    """The last loaded content of each partition."""
-    return manifest.groupBy("partition").agg(
+    """What was last loaded from each archive of a partition."""
+    return manifest.groupBy("partition", F.col("source_url").alias("path")).agg(
         F.max_by("sha256", "downloaded_at").alias("sha256"))
 
 
 def new_archives(incoming: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:
-    """Archives whose content differs from what their partition last loaded.
+    """Archives whose content differs from what was last loaded from them.
 
     ``incoming`` has path, content and partition. Only hashes and partitions are
     compared; the archive bytes take part in no shuffle when the manifest is broadcast.
@@ -110,7 +110,7 @@ def new_archives(incoming: DataFrame, manifest: DataFrame, force: bool = False)
     hashed = incoming.withColumn("sha256", F.sha2("content", 256))
     if force:
         return hashed
-    return hashed.join(latest_manifest(manifest), ["partition", "sha256"], "left_anti")
+    return hashed.join(latest_manifest(manifest), ["partition", "path", "sha256"], "left_anti")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -123,9 +123,9 @@ def ingest_archives(
     spark: SparkSession, incoming: DataFrame, landing: str, manifest_path: str,
     columns: Sequence[str], run_ts: dt.datetime, force: bool = False,
 ) -> DataFrame:
-    """Land new archives as ``ds=`` partitions and note them in the manifest.
+    """Land new archives below ``ds=/archive=`` folders and note them in the manifest.
 
-    A partition's rows are replaced as a whole and the manifest is written last: a run
+    An archive's rows are replaced as a whole and the manifest is written last: a run
     that dies in between is repeated without leaving rows twice. Returns the manifest
     rows of this run.
     """
@@ -138,10 +138,11 @@ def ingest_archives(
     if not chosen:
         return spark.createDataFrame([], MANIFEST)
     records = expand_archives(incoming.filter(F.col("path").isin(*[r.path for r in chosen])))
-    rows = records_to_columns(records, columns, "path", "member", F.col("partition").alias("ds"))
+    rows = records_to_columns(
+        records, columns, "path", "member", F.col("partition").alias("ds"), F.md5("path").alias("archive"))
     (
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ds").parquet(landing)
+        .partitionBy("ds", "archive").parquet(landing)
     )
     # What was landed is counted from the landed partitions, not by unpacking again.
     landed = (

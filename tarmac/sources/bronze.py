@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tarmac import files
 from tarmac.schemas import AIRLINES_RAW, AIRPORTS_RAW
 
-_MODIFIED = F.col("_metadata.file_modification_time")
+_MODIFIED = "_metadata.file_modification_time"
 
 
 def _all_strings(columns: list[str]) -> T.StructType:
@@ -43,7 +43,7 @@ def read_csv_bronze(spark: SparkSession, path: str, dates: list[str] | None = No
         spark.read.schema(_all_strings(list(columns))).option("header", True)
         .option("basePath", path).csv(group)
         .withColumn("ds", F.col("ds").cast("date"))
-        .withColumn("bronze_loaded_at", _MODIFIED)
+        .withColumn("bronze_loaded_at", F.col(_MODIFIED))
         for columns, group in alike.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -54,7 +54,7 @@ def read_parquet_bronze(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.option("mergeSchema", "true").parquet(path)
         .withColumn("ds", F.col("ds").cast("date"))
-        .withColumn("bronze_loaded_at", _MODIFIED)
+        .withColumn("bronze_loaded_at", F.col(_MODIFIED))
     )
 
 

@@ -145,9 +145,10 @@ def airlines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def state_events(states: DataFrame) -> DataFrame:
+def state_events(states: DataFrame, *keep: str) -> DataFrame:
     """Reports with the types of the stream schema."""
     return states.selectExpr(
+        *keep,
         "icao24", "callsign", "origin_country", "cast(event_ts as bigint) as event_ts",
         "cast(event_ts as bigint) + 5 as polled_at", "cast(time_position as bigint) as time_position",
         "cast(last_contact as bigint) as last_contact", "cast(longitude as double) as longitude",
