@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tarmac import files
 from tarmac.functions.values import minute_boundaries
 
 # Accepted codes.
@@ -336,15 +337,26 @@ def record_report(report: DataFrame, path: str, run_ts: dt.datetime) -> None:
 
 def store_failures(
     tables: Mapping[str, DataFrame], checks: Iterable[Check], root: str
-) -> list[str]:
-    """Write the violating rows of each check below ``root``; one folder per check."""
-    written = []
+) -> dict[str, str]:
+    """Write the violating rows below ``root``; returns the folder of each check.
+
+    Row checks of a table share one scan: a row is written once for each check it fails.
+    """
+    folders, by_table = {}, {}
     for c in checks:
-        rows = tables[c.table].filter(c.wrong) if isinstance(c, RowCheck) else c.violations(tables)
-        rows.write.mode("overwrite").parquet(f"{root}/{c.name}")
-        written.append(c.name)
-    return written
+        if isinstance(c, RowCheck):
+            by_table.setdefault(c.table, []).append(c)
+            folders[c.name] = f"{root}/{c.table}/check_name={c.name}"
+        else:
+            folders[c.name] = f"{root}/{c.name}"
+            c.violations(tables).write.mode("overwrite").parquet(folders[c.name])
+    for table, group in by_table.items():
+        failed = F.array_compact(F.array(*[F.when(c.wrong, F.lit(c.name)) for c in group]))
+        rows = tables[table].withColumn("check_name", F.explode(failed))
+        rows.write.mode("overwrite").partitionBy("check_name").parquet(f"{root}/{table}")
+    return folders
 
 
-def read_failures(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+def read_failures(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Rows a check has kept; None where no row failed."""
+    return spark.read.parquet(folder) if files.holds_data(spark, folder) else None

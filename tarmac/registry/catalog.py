@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tarmac.registry import core, storage
+from tarmac.registry import checks, core, storage, streams
 
-QUERIES = {**core.QUERIES, **storage.QUERIES}
-ORACLES = {**core.ORACLES, **storage.ORACLES}
+_MODULES = (core, storage, checks, streams)
+QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+ORACLES = {name: text for module in _MODULES for name, text in module.ORACLES.items()}

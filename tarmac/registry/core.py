@@ -143,7 +143,7 @@ def q_requests(spark: SparkSession, d: str) -> DataFrame:
     return checked.withColumn("reasons", F.concat_ws(",", "reasons"))
 
 
-def _by_id(spark: SparkSession, d: str) -> DataFrame:
+def requests_by_id(spark: SparkSession, d: str) -> DataFrame:
     """Requests for flights by carrier, number and time; partial orders ask for unknown numbers."""
     o = standins.table(spark, d, "orders")
     return o.selectExpr(
@@ -153,7 +153,7 @@ def _by_id(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_hydrate(spark: SparkSession, d: str) -> DataFrame:
-    return requests.hydrate(_by_id(spark, d), frames.gold_tables(spark, d)["silver_flight_event"])
+    return requests.hydrate(requests_by_id(spark, d), frames.gold_tables(spark, d)["silver_flight_event"])
 
 
 QUERIES = {

@@ -88,9 +88,12 @@ def q_source_freshness_files(spark: SparkSession, d: str) -> DataFrame:
 # --- payloads and messages -------------------------------------------------------------
 
 def payloads(spark: SparkSession, d: str) -> DataFrame:
+    return payloads_of(standins.states_raw(spark, d))
+
+
+def payloads_of(e: DataFrame) -> DataFrame:
     """Poll payloads as the position service answers: one aircraft each, at times with a
     truncated state, one without an id, a zero time of position, or in capitals."""
-    e = standins.states_raw(spark, d)
     state = F.to_json(F.array(
         F.upper("icao24"), F.concat(F.col("callsign"), F.lit("  ")), F.col("origin_country"),
         F.when(F.col("event_id") % 4 == 0, "0").otherwise(F.col("time_position")),

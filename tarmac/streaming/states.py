@@ -6,8 +6,7 @@ import datetime as dt
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -38,40 +37,45 @@ class LandingProcessor(StatefulProcessor):
     """Orders an airframe's reports by event time before looking for landings.
 
     Reports wait until the watermark has passed them, so late ones are put in their
-    place. State per airframe is the waiting reports and the last one judged; a timer
-    per report time that is waiting wakes the airframe up, and a batch judges everything
-    that has become due in one go.
+    place. State per airframe: the waiting reports, the last one judged, and the time of
+    the one timer that wakes it up, set to its earliest waiting report. Whoever wakes up
+    judges everything that has become due.
     """
 
+    REPORT = "at bigint, on_ground boolean, velocity double"
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at bigint, on_ground boolean, velocity double")
-        self.last = handle.getValueState("last", "at bigint, on_ground boolean, velocity double")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        self.waiting = handle.getListState("waiting", self.REPORT)
+        self.last = handle.getValueState("last", self.REPORT)
+        self.wake_at = handle.getValueState("wake_at", "ms bigint")
+
+    def _wake(self, ms: int) -> None:
+        """Move the timer to ``ms`` unless it is due earlier anyway."""
+        if self.wake_at.exists():
+            planned = self.wake_at.get()[0]
+            if planned <= ms:
+                return
+            self.handle.deleteTimer(planned)
+        self.handle.registerTimer(ms)
+        self.wake_at.update((ms,))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         reports = pd.concat(list(rows), ignore_index=True)
-        at = reports["event_ts"].astype("datetime64[us]").astype("int64")
-        velocity = reports["velocity_mps"].astype("float64")
-        new = [
-            (int(t), bool(g), None if pd.isna(v) else float(v))
-            for t, g, v in zip(at, reports["on_ground"], velocity)
-        ]
-        if not self.waiting.exists():
-            self.handle.registerTimer(min(t for t, _, _ in new) // 1000)
-        else:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            held = [t[0] for t in self.waiting.get()]
-            self.handle.registerTimer(min([t for t, _, _ in new] + held) // 1000)
-        self.waiting.appendList(new)
+        micros = reports["event_ts"].astype("datetime64[us]").astype("int64")
+        self.waiting.appendList([
+            (int(at), bool(ground), None if pd.isna(v) else float(v))
+            for at, ground, v in zip(micros, reports["on_ground"], reports["velocity_mps"])
+        ])
+        self._wake(int(micros.min()) // 1000)
         yield from ()
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
-        watermark = timer_values.getCurrentWatermarkInMs()
-        held = sorted((t[0], t[1], t[2]) for t in self._unique(self.waiting.get()))
-        due = [t for t in held if t[0] // 1000 <= watermark]
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[0])
+        due = [r for r in held if r[0] // 1000 <= watermark]
         later = held[len(due):]
-        last = self.last.get() if self.last.exists() else None
+        last = tuple(self.last.get()) if self.last.exists() else None
         found = []
         for at, on_ground, velocity in due:
             if last is not None and on_ground and not last[1] and (last[2] or 0.0) > MIN_APPROACH_MPS:
@@ -79,9 +83,10 @@ class LandingProcessor(StatefulProcessor):
             last = (at, on_ground, velocity)
         if due:
             self.last.update(last)
+        self.wake_at.clear()
         if later:
             self.waiting.put(later)
-            self.handle.registerTimer(later[0][0] // 1000)
+            self._wake(later[0][0] // 1000)
         else:
             self.waiting.clear()
         if found:
@@ -91,11 +96,6 @@ class LandingProcessor(StatefulProcessor):
                 "approach_velocity_mps": [v for _, v in found],
             })
 
-    @staticmethod
-    def _unique(reports):
-        """One report per time."""
-        return {t[0]: t for t in reports}.values()
-
     def close(self) -> None:
         pass
 
@@ -136,11 +136,6 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, *partition_by:
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def with_state_store(spark) -> None:
+def with_state_store(spark: SparkSession) -> None:
+    """Keyed state of ``landings_stream`` needs RocksDB."""
     spark.conf.set(STATE_STORE, ROCKSDB)
-
-
-__all__ = [
-    "F", "LANDINGS", "LandingProcessor", "append_stream", "dedupe_stream", "landings_stream",
-    "merge_stream", "windows_stream", "with_state_store",
-]
