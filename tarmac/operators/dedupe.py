@@ -20,15 +20,40 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], loaded_at: str) -> DataFrame:
-    """The latest loaded row of every key; equal load times are settled by a row hash."""
-    return keep_first(
-        df, keys, [F.col(loaded_at).desc_nulls_last(), row_hash(sorted(df.columns)).desc()]
-    )
+def keep_latest(
+    df: DataFrame, keys: Sequence[str], loaded_at: str, decisive: Sequence[str] = ()
+) -> DataFrame:
+    """The latest loaded row of every key; equal load times are settled by row hashes.
+
+    The hash of the ``decisive`` columns comes first. A caller that has just those
+    columns then gets the same values as one that has all, without reading the rest.
+    """
+    order = [F.col(loaded_at).desc_nulls_last()]
+    if decisive:
+        order.append(row_hash(decisive).desc())
+    rest = sorted(set(df.columns) - {*keys, loaded_at, *decisive})
+    if rest:
+        order.append(row_hash(rest).desc())
+    return keep_first(df, keys, order)
 
 
 def latest_aircraft(callsigns: DataFrame) -> DataFrame:
     """The airframe last seen flying under each (carrier, flight number)."""
-    return callsigns.groupBy(
-        F.col("cs_carrier").alias("carrier_code"), F.col("cs_flight_num").alias("flight_number")
-    ).agg(F.max_by("icao24", F.struct("event_ts", "icao24")).alias("icao24"))
+    return latest_sightings(sightings(callsigns)).drop("event_ts")
+
+
+def sightings(callsigns: DataFrame) -> DataFrame:
+    return callsigns.select(
+        F.col("cs_carrier").alias("carrier_code"), F.col("cs_flight_num").alias("flight_number"),
+        "icao24", "event_ts")
+
+
+def latest_sightings(seen: DataFrame) -> DataFrame:
+    """The last sighting of each (carrier, flight number), with its time.
+
+    Earlier results may be put in again together with new sightings, which keeps a
+    lookup table current without going back to old reports.
+    """
+    last = F.max(F.struct("event_ts", "icao24"))
+    return seen.groupBy("carrier_code", "flight_number").agg(last.alias("last")).select(
+        "carrier_code", "flight_number", "last.icao24", "last.event_ts")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +16,13 @@ def touched_down(on_ground: Column, was_on_ground: Column, was_velocity: Column)
     return on_ground & ~was_on_ground & (F.coalesce(was_velocity, F.lit(0.0)) > MIN_APPROACH_MPS)
 
 
-def landing_events(states: DataFrame) -> DataFrame:
-    """Landings from deduplicated state vectors.
+# What a report says about landing.
+REPORT_COLUMNS = ["on_ground", "velocity_mps"]
+PASSED_ON = ("callsign", "latitude", "longitude", "bronze_loaded_at")
+
+
+def landing_events(states: DataFrame, passed_on: Sequence[str] = PASSED_ON) -> DataFrame:
+    """Landings from deduplicated state vectors, with columns of the landing report.
 
     "The previous report" is looked up inside one aircraft-day, so no group is longer
     than the seconds of a day, however many rows an aircraft has over the years. What
@@ -24,11 +32,10 @@ def landing_events(states: DataFrame) -> DataFrame:
     """
     in_day = Window.partitionBy("icao24", "event_day").orderBy("event_ts")
     rows = states.select(
-        "icao24", "callsign", "event_ts", "latitude", "longitude", "on_ground", "velocity_mps",
-        "bronze_loaded_at", F.to_date("event_ts").alias("event_day"),
+        "icao24", "event_ts", *REPORT_COLUMNS, *passed_on, F.to_date("event_ts").alias("event_day"),
     ).select(
         "*",
-        F.lag(F.struct("on_ground", "velocity_mps")).over(in_day).alias("before"),
+        F.lag(F.struct(*REPORT_COLUMNS)).over(in_day).alias("before"),
         F.lead("event_ts").over(in_day).isNull().alias("closes_day"),
     )
     opens_day = F.col("before").isNull()
@@ -41,11 +48,31 @@ def landing_events(states: DataFrame) -> DataFrame:
 
     along_chain = Window.partitionBy("icao24", "chain_day").orderBy("event_ts")
     settled = kept.withColumn(
-        "earlier", F.lag(F.struct("on_ground", "velocity_mps")).over(along_chain)
+        "earlier", F.lag(F.struct(*REPORT_COLUMNS)).over(along_chain)
     ).withColumn("before", F.when(opens_day, F.col("earlier")).otherwise(F.col("before")))
     return settled.filter(
         touched_down(F.col("on_ground"), F.col("before.on_ground"), F.col("before.velocity_mps"))
     ).select(
-        "icao24", "callsign", F.col("event_ts").alias("live_landing_ts"), "latitude", "longitude",
-        F.col("before.velocity_mps").alias("approach_velocity_mps"), "bronze_loaded_at",
+        "icao24", F.col("event_ts").alias("live_landing_ts"),
+        F.col("before.velocity_mps").alias("approach_velocity_mps"), *passed_on,
     )
+
+
+def day_tails(states: DataFrame) -> DataFrame:
+    """The last report of each airframe on each day."""
+    return states.groupBy("icao24", F.to_date("event_ts").alias("event_day")).agg(
+        F.max(F.struct("event_ts", *REPORT_COLUMNS)).alias("last")
+    ).select("icao24", "event_day", "last.*")
+
+
+def reports_from(states: DataFrame, tails: DataFrame, start: dt.date) -> DataFrame:
+    """Reports from ``start`` on, and each airframe's last report before it.
+
+    That is all landing detection needs for landings from ``start`` on. Both inputs are
+    partitioned by ``event_day``, so only the days asked for and the tails are read.
+    """
+    columns = ["icao24", "event_ts", *REPORT_COLUMNS]
+    last = F.max(F.struct("event_ts", *REPORT_COLUMNS)).alias("last")
+    before = tails.filter(F.col("event_day") < F.lit(start)).groupBy("icao24").agg(last)
+    return states.filter(F.col("event_day") >= F.lit(start)).select(*columns).unionByName(
+        before.select("icao24", "last.*").select(*columns))

@@ -137,12 +137,13 @@ def parse_callsigns(states: DataFrame) -> DataFrame:
 
     The number loses its leading zeros; digits beyond what a number holds give NULL.
     """
+    carrier = F.rtrim("callsign", F.lit("0123456789"))
+    number = F.substring("callsign", F.length(carrier) + 1, F.length("callsign"))
     parsed = states.filter(F.col("callsign").rlike("^[A-Z]{2,3}[0-9]+$")).select(
         "icao24",
         "callsign",
-        F.regexp_extract("callsign", "^[A-Z]{2,3}", 0).alias("cs_carrier"),
-        F.regexp_extract("callsign", "[0-9]+$", 0).try_cast("decimal(38,0)").cast("string")
-        .alias("cs_flight_num"),
+        carrier.alias("cs_carrier"),
+        number.try_cast("decimal(38,0)").cast("string").alias("cs_flight_num"),
         "event_ts",
     )
     return parsed.filter(F.col("cs_flight_num").isNotNull())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +46,38 @@ def late_arrival(
     return date >= F.lit(mark - dt.timedelta(days=days))
 
 
+def window_start(
+    spark: SparkSession, target_path: str, target_column: str, target_partition: str, days: int,
+    backfill: tuple[dt.date, dt.date] | None = None,
+) -> dt.date | None:
+    """First day an incremental run looks at; None if it looks at everything."""
+    if backfill and all(backfill):
+        return backfill[0]
+    mark = high_water_mark(spark, target_path, target_column, target_partition)
+    return None if mark is None else mark - dt.timedelta(days=days)
+
+
 def since_last_load(
     spark: SparkSession, source: DataFrame, target_path: str, source_column: str,
     target_partition: str, days: int, backfill: tuple[dt.date, dt.date] | None = None,
     target_column: str | None = None,
+    folder: tuple[str, Callable[[dt.date], dt.date]] | None = None,
 ) -> DataFrame:
-    """Rows of ``source`` the next merge into ``target_path`` has to look at."""
-    mark = None
-    if not backfill:
-        mark = high_water_mark(
-            spark, target_path, target_column or source_column, target_partition
-        )
-    return source.filter(late_arrival(F.col(source_column).cast("date"), mark, days, backfill))
+    """Rows of ``source`` the next merge into ``target_path`` has to look at.
+
+    ``folder`` names the source's partition column and tells, for a first day, the
+    earliest partition such a day can be in; older partitions are then not read at all.
+    """
+    target_column = target_column or source_column
+    start = window_start(spark, target_path, target_column, target_partition, days, backfill)
+    if start is None:
+        return source
+    date = F.col(source_column).cast("date")
+    if backfill:
+        recent = source.filter(late_arrival(date, None, days, backfill))
+    else:
+        recent = source.filter(date >= F.lit(start))
+    if folder:
+        column, earliest = folder
+        recent = recent.filter(F.col(column).isNull() | (F.col(column) >= F.lit(earliest(start))))
+    return recent

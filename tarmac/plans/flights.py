@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.values import at_clock, local_to_utc, minute_boundaries, valid_zone
-from tarmac.operators.dedupe import latest_aircraft
-from tarmac.operators.landings import landing_events
 from tarmac.operators.matching import nearest_landings
 from tarmac.operators.staging import parse_callsigns
 
@@ -110,27 +108,25 @@ def reconcile(
     )
 
 
-def reconcile_from_staging(
+def mapped_callsigns(states: DataFrame, map_icao: DataFrame | None = None) -> DataFrame:
+    """Callsigns in parts. ``map_icao`` (carrier_key, icao_code) turns three-letter prefixes
+    into two-letter carrier codes; by default prefixes are compared as they are."""
+    callsigns = parse_callsigns(states)
+    if map_icao is None:
+        return callsigns
+    codes = map_icao.filter(F.col("icao_code").isNotNull()).groupBy(
+        F.col("icao_code").alias("cs_carrier")
+    ).agg(F.min("carrier_key").alias("mapped"))
+    return callsigns.join(codes, "cs_carrier", "left").withColumn(
+        "cs_carrier", F.coalesce("mapped", "cs_carrier"))
+
+
+def reconcile_staged(
     staged_flights: DataFrame, unique_flights: DataFrame, airports: DataFrame,
-    states: DataFrame, unique_states: DataFrame, map_icao: DataFrame | None = None,
-    roll_overnight: bool = False,
+    aircraft: DataFrame, landings: DataFrame, roll_overnight: bool = False,
 ) -> DataFrame:
-    """Reconciliation of staged flights and states.
-
-    ``map_icao`` (carrier_key, icao_code) turns three-letter callsign prefixes into
-    two-letter carrier codes before matching; by default prefixes are compared as is.
-    """
-    callsigns = parse_callsigns(states)
-    if map_icao is not None:
-        codes = map_icao.filter(F.col("icao_code").isNotNull()).groupBy(
-            F.col("icao_code").alias("cs_carrier")
-        ).agg(F.min("carrier_key").alias("mapped"))
-        callsigns = callsigns.join(codes, "cs_carrier", "left").withColumn(
-            "cs_carrier", F.coalesce("mapped", "cs_carrier")
-        )
+    """Reconciliation of staged flights; arrivals to look up are taken before deduplication."""
     return reconcile(
-        int_flights(unique_flights, airports, roll_overnight),
-        latest_aircraft(callsigns),
-        landing_events(unique_states),
+        int_flights(unique_flights, airports, roll_overnight), aircraft, landings,
         asked=int_flights(staged_flights, airports, roll_overnight),
     )

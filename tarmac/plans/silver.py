@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac import files
 from tarmac.functions.values import month_number
-from tarmac.operators.dedupe import keep_latest
-from tarmac.operators.tables import read_table, upsert
-from tarmac.operators.windows import since_last_load
-from tarmac.plans.flights import reconcile_from_staging
+from tarmac.operators.dedupe import keep_latest, latest_aircraft, latest_sightings, sightings
+from tarmac.operators.landings import REPORT_COLUMNS, day_tails, landing_events, reports_from
+from tarmac.operators.tables import full_refresh, upsert
+from tarmac.operators.windows import since_last_load, window_start
+from tarmac.plans.flights import mapped_callsigns, reconcile_staged
 from tarmac.schemas import SILVER_FLIGHT_COLUMNS, SILVER_STATE_COLUMNS
 
 # How far back late rows may still arrive.
@@ -23,7 +26,12 @@ FLIGHT_KEY = ["flight_event_natural_key"]
 
 
 def unique_states(states: DataFrame) -> DataFrame:
-    return keep_latest(states, STATE_KEY, "bronze_loaded_at")
+    return keep_latest(states, STATE_KEY, "bronze_loaded_at", decisive=REPORT_COLUMNS)
+
+
+def unique_reports(states: DataFrame) -> DataFrame:
+    """What landing detection needs of ``unique_states``, reading only that."""
+    return unique_states(states.select(*STATE_KEY, *REPORT_COLUMNS, "bronze_loaded_at"))
 
 
 def unique_flights(flights: DataFrame) -> DataFrame:
@@ -35,45 +43,105 @@ def silver_aircraft_state(states: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return unique_states(narrow).withColumn("ingested_at", F.lit(run_ts).cast("timestamp"))
 
 
+def _silver_rows(events: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    return events.withColumn("ingested_at", F.lit(run_ts).cast("timestamp")).select(
+        *SILVER_FLIGHT_COLUMNS)
+
+
 def silver_flight_event(
-    flights: DataFrame, airports: DataFrame, states: DataFrame, run_ts: dt.datetime, **options
+    flights: DataFrame, airports: DataFrame, states: DataFrame, run_ts: dt.datetime,
+    map_icao: DataFrame | None = None, roll_overnight: bool = False,
 ) -> DataFrame:
-    events = reconcile_from_staging(
-        flights, unique_flights(flights), airports, states, unique_states(states), **options
-    )
-    return events.withColumn("ingested_at", F.lit(run_ts).cast("timestamp")).select(
-        *SILVER_FLIGHT_COLUMNS
-    )
+    """Reconciled flights from staged flights and the whole of the staged states."""
+    aircraft = latest_aircraft(mapped_callsigns(states, map_icao))
+    landings = landing_events(unique_reports(states), passed_on=())
+    events = reconcile_staged(
+        flights, unique_flights(flights), airports, aircraft, landings, roll_overnight)
+    return _silver_rows(events, run_ts)
+
+
+# --- incremental loads -----------------------------------------------------------------
+
+@dataclass(frozen=True)
+class StateTables:
+    """Silver states with two small tables that spare going back over their history."""
+
+    states: str     # partitioned by event_day
+    tails: str      # last report of each airframe and day, same partitions
+    sightings: str  # last sighting of each (carrier, flight number)
+
+    @classmethod
+    def below(cls, root: str) -> StateTables:
+        return cls(f"{root}/silver_aircraft_state", f"{root}/aircraft_day_tail", f"{root}/aircraft_sighting")
 
 
 def load_silver_states(
     spark: SparkSession, path: str, states: DataFrame, run_ts: dt.datetime,
     backfill: tuple[dt.date, dt.date] | None = None,
-) -> None:
-    """Merge new states into the table partitioned by the day of ``event_ts``."""
-    rows = silver_aircraft_state(
-        since_last_load(spark, states, path, "event_ts", "event_day", STATES_LATE_DAYS, backfill),
-        run_ts,
-    ).withColumn("event_day", F.to_date("event_ts"))
-    upsert(spark, path, rows, STATE_KEY, "event_day", sort_by=["icao24", "event_ts"])
+) -> list[str]:
+    """Merge new states into the table partitioned by the day of ``event_ts``.
+
+    Bronze folders go by ingest day, which is never before the event; one day of slack
+    covers clocks that disagree. Returns the days that were rewritten.
+    """
+    recent = since_last_load(
+        spark, states, path, "event_ts", "event_day", STATES_LATE_DAYS, backfill,
+        folder=("event_date", lambda day: day - dt.timedelta(days=1))
+        if "event_date" in states.columns else None,
+    )
+    rows = silver_aircraft_state(recent, run_ts).withColumn("event_day", F.to_date("event_ts"))
+    return upsert(spark, path, rows, STATE_KEY, "event_day", sort_by=["icao24", "event_ts"])
+
+
+def load_states(
+    spark: SparkSession, tables: StateTables, states: DataFrame, run_ts: dt.datetime,
+    backfill: tuple[dt.date, dt.date] | None = None, map_icao: DataFrame | None = None,
+) -> list[str]:
+    """Merge new states and bring the two tables derived from them up to date."""
+    days = load_silver_states(spark, tables.states, states, run_ts, backfill)
+    if days:
+        touched = spark.read.option("basePath", tables.states).parquet(
+            *[f"{tables.states}/event_day={d}" for d in days])
+        day_tails(touched).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("event_day").parquet(tables.tails)
+        seen = sightings(mapped_callsigns(touched, map_icao))
+        if files.holds_data(spark, tables.sightings):
+            seen = seen.unionByName(spark.read.parquet(tables.sightings))
+        full_refresh(spark, tables.sightings, latest_sightings(seen))
+    return days
+
+
+def landings_from(spark: SparkSession, tables: StateTables, start: dt.date | None) -> DataFrame:
+    """Landings from a day on, or all of them, out of the silver states."""
+    states = spark.read.parquet(tables.states)
+    if start is None:
+        return landing_events(states, passed_on=())
+    reports = reports_from(states, spark.read.parquet(tables.tails), start)
+    return landing_events(reports, passed_on=()).filter(
+        F.col("live_landing_ts") >= F.lit(start).cast("timestamp"))
 
 
 def load_silver_flights(
-    spark: SparkSession, path: str, flights: DataFrame, airports: DataFrame, states: DataFrame,
-    run_ts: dt.datetime, backfill: tuple[dt.date, dt.date] | None = None, **options,
-) -> None:
+    spark: SparkSession, path: str, flights: DataFrame, airports: DataFrame, tables: StateTables,
+    run_ts: dt.datetime, backfill: tuple[dt.date, dt.date] | None = None, roll_overnight: bool = False,
+) -> list[str]:
     """Merge new flights into the table partitioned by month.
 
-    Only flights are cut to the late-arrival window; landings need each airframe's
-    reports from before the window, so states come in whole.
+    Flights are cut to the late-arrival window by month folder and date. Landings are
+    computed from two days before it: zones and the band move an arrival by less.
     """
+    window = (path, "flight_date", "flight_month", FLIGHTS_LATE_DAYS, backfill)
     recent = since_last_load(
-        spark, flights, path, "flight_date", "flight_month", FLIGHTS_LATE_DAYS, backfill
-    )
-    rows = silver_flight_event(recent, airports, states, run_ts, **options).withColumn(
-        "flight_month", month_number(F.col("flight_date"))
+        spark, flights, path, "flight_date", "flight_month", FLIGHTS_LATE_DAYS, backfill,
+        folder=("flight_date_partition", lambda day: day.replace(day=1)),
     )
-    upsert(spark, path, rows, FLIGHT_KEY, "flight_month", sort_by=["carrier_code", "flight_date"])
+    start = window_start(spark, *window)
+    landings = landings_from(spark, tables, start and start - dt.timedelta(days=2))
+    aircraft = spark.read.parquet(tables.sightings).drop("event_ts")
+    events = reconcile_staged(
+        recent, unique_flights(recent), airports, aircraft, landings, roll_overnight)
+    rows = _silver_rows(events, run_ts).withColumn("flight_month", month_number(F.col("flight_date")))
+    return upsert(spark, path, rows, FLIGHT_KEY, "flight_month", sort_by=["carrier_code", "flight_date"])
 
 
 def silver_lookup(
@@ -95,9 +163,3 @@ def silver_lookup(
         silver.filter(hit).orderBy("scheduled_dep_ts", "flight_event_natural_key").limit(1)
         .select(*columns)
     )
-
-
-__all__ = [
-    "load_silver_flights", "load_silver_states", "read_table", "silver_aircraft_state",
-    "silver_flight_event", "silver_lookup", "unique_flights", "unique_states",
-]

@@ -81,8 +81,10 @@ def warehouse(spark: SparkSession, d: str) -> dict[str, str]:
                 "dim_airport", "dim_aircraft", "dim_date")
         }
         staged = flights(spark, d)
+        state_tables = silver.StateTables.below(root)
+        silver.load_states(spark, state_tables, states(spark, d), RUN_TS)
         silver.load_silver_flights(
-            spark, paths["silver_flight_event"], staged, airports(spark, d), states(spark, d), RUN_TS)
+            spark, paths["silver_flight_event"], staged, airports(spark, d), state_tables, RUN_TS)
         full_refresh(spark, paths["dim_carrier"], carrier_dim(spark, d))
         full_refresh(spark, paths["dim_airport"], airport_dim(spark, d))
         full_refresh(spark, paths["dim_aircraft"], gold.dim_aircraft(staged, RUN_TS))
