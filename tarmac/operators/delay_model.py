@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators.requests import (
-    CATEGORICAL_FEATURES, FEATURE_ORDER, NUMERIC_FEATURES, TARGET, feature_matrix, hydrate,
+    CARRIER_PATTERN, CATEGORICAL_FEATURES, FEATURE_ORDER, NUMERIC_FEATURES, TARGET, feature_matrix, hydrate,
 )
 
 # Training defaults.
@@ -137,11 +137,14 @@ def score(model: DelayModel, features: DataFrame, source: str = "request") -> Da
 
 
 def score_by_id(model: DelayModel, requests: DataFrame, silver: DataFrame) -> DataFrame:
-    """Scores requests from silver features; those silver lacks come back as ``not_found``."""
+    """Scores requests from silver features. Those silver lacks come back as ``not_found``,
+    those without a proper carrier code as ``invalid``."""
     asked = hydrate(requests, silver)
     keys = list(dict.fromkeys([*requests.columns, "carrier_code", "flight_number", "flight_date"]))
     hits = score(model, asked.filter("found"), "silver").select(
         *keys, "predicted_arr_delay_min", "model_version", "feature_source",
         F.lit("ok").alias("status"))
-    misses = asked.filter(~F.col("found")).select(*keys).withColumn("status", F.lit("not_found"))
+    proper = F.coalesce(F.col("carrier_code").rlike(CARRIER_PATTERN), F.lit(False))
+    misses = asked.filter(~F.col("found")).select(*keys).withColumn(
+        "status", F.when(proper, "not_found").otherwise("invalid"))
     return hits.unionByName(misses, allowMissingColumns=True)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.values import at_clock, local_to_utc, minute_boundaries, valid_zone
+from tarmac.functions.values import (
+    at_clock, local_to_utc, minute_boundaries, safe_number, valid_zone,
+)
 from tarmac.operators.matching import nearest_landings
 from tarmac.operators.staging import parse_callsigns
 
@@ -64,16 +66,24 @@ def int_flights(flights: DataFrame, airports: DataFrame, roll_overnight: bool =
     )
 
 
-def live_arrivals(flights: DataFrame, aircraft: DataFrame, landings: DataFrame) -> DataFrame:
+def live_arrivals(
+    flights: DataFrame, aircraft: DataFrame, landings: DataFrame, plain_numbers: bool = False
+) -> DataFrame:
     """(carrier, number, scheduled arrival) -> nearest landing of the airframe.
 
     Works on the distinct arrivals asked for, not on flights: copies of a flight and
-    busy flight numbers collapse in the map-side half of the ``distinct``.
+    busy flight numbers collapse in the map-side half of the ``distinct``. Flight numbers
+    are compared as written; ``plain_numbers`` drops leading zeros, which those taken
+    from callsigns never have.
     """
+    number = F.col("flight_number")
+    if plain_numbers:
+        number = F.coalesce(safe_number(number).cast("string"), number)
     asked = (
         flights.filter(F.col("scheduled_arr_ts").isNotNull())
         .select("carrier_code", "flight_number", "scheduled_arr_ts").distinct()
-        .join(aircraft, ["carrier_code", "flight_number"])
+        .withColumn("called", number)
+        .join(aircraft.withColumnRenamed("flight_number", "called"), ["carrier_code", "called"])
     )
     nearest = nearest_landings(asked, landings)
     return asked.join(nearest, ["icao24", "scheduled_arr_ts"]).select(
@@ -86,13 +96,15 @@ def reconcile(
     aircraft: DataFrame,
     landings: DataFrame,
     asked: DataFrame | None = None,
+    plain_numbers: bool = False,
 ) -> DataFrame:
     """Flights with their live landing, and how the two arrival times compare.
 
     ``asked`` may name a cheaper source of the arrivals to look up, for instance the
     flights before deduplication; extra arrivals in it change nothing.
     """
-    live = live_arrivals(flights if asked is None else asked, aircraft, landings).drop("ts_diff_s")
+    live = live_arrivals(
+        flights if asked is None else asked, aircraft, landings, plain_numbers).drop("ts_diff_s")
     joined = flights.join(live, ["carrier_code", "flight_number", "scheduled_arr_ts"], "left")
     actual, seen = F.col("actual_arr_ts"), F.col("live_actual_arr_ts")
     agree = F.abs(minute_boundaries(actual, seen)) <= AGREE_MINUTES
@@ -123,10 +135,10 @@ def mapped_callsigns(states: DataFrame, map_icao: DataFrame | None = None) -> Da
 
 def reconcile_staged(
     staged_flights: DataFrame, unique_flights: DataFrame, airports: DataFrame,
-    aircraft: DataFrame, landings: DataFrame, roll_overnight: bool = False,
+    aircraft: DataFrame, landings: DataFrame, roll_overnight: bool = False, plain_numbers: bool = False,
 ) -> DataFrame:
     """Reconciliation of staged flights; arrivals to look up are taken before deduplication."""
     return reconcile(
         int_flights(unique_flights, airports, roll_overnight), aircraft, landings,
-        asked=int_flights(staged_flights, airports, roll_overnight),
+        asked=int_flights(staged_flights, airports, roll_overnight), plain_numbers=plain_numbers,
     )

@@ -50,13 +50,16 @@ def _silver_rows(events: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 def silver_flight_event(
     flights: DataFrame, airports: DataFrame, states: DataFrame, run_ts: dt.datetime,
-    map_icao: DataFrame | None = None, roll_overnight: bool = False,
+    map_icao: DataFrame | None = None, **options: bool,
 ) -> DataFrame:
-    """Reconciled flights from staged flights and the whole of the staged states."""
+    """Reconciled flights from staged flights and the whole of the staged states.
+
+    ``options`` are ``roll_overnight`` and ``plain_numbers`` of the reconciliation.
+    """
     aircraft = latest_aircraft(mapped_callsigns(states, map_icao))
     landings = landing_events(unique_reports(states), passed_on=())
     events = reconcile_staged(
-        flights, unique_flights(flights), airports, aircraft, landings, roll_overnight)
+        flights, unique_flights(flights), airports, aircraft, landings, **options)
     return _silver_rows(events, run_ts)
 
 
@@ -123,7 +126,7 @@ def landings_from(spark: SparkSession, tables: StateTables, start: dt.date | Non
 
 def load_silver_flights(
     spark: SparkSession, path: str, flights: DataFrame, airports: DataFrame, tables: StateTables,
-    run_ts: dt.datetime, backfill: tuple[dt.date, dt.date] | None = None, roll_overnight: bool = False,
+    run_ts: dt.datetime, backfill: tuple[dt.date, dt.date] | None = None, **options: bool,
 ) -> list[str]:
     """Merge new flights into the table partitioned by month.
 
@@ -139,7 +142,7 @@ def load_silver_flights(
     landings = landings_from(spark, tables, start and start - dt.timedelta(days=2))
     aircraft = spark.read.parquet(tables.sightings).drop("event_ts")
     events = reconcile_staged(
-        recent, unique_flights(recent), airports, aircraft, landings, roll_overnight)
+        recent, unique_flights(recent), airports, aircraft, landings, **options)
     rows = _silver_rows(events, run_ts).withColumn("flight_month", month_number(F.col("flight_date")))
     return upsert(spark, path, rows, FLIGHT_KEY, "flight_month", sort_by=["carrier_code", "flight_date"])
 

@@ -47,12 +47,15 @@ def available_now(writer: DataStreamWriter) -> None:
     query.awaitTermination()
 
 
-def _batch_metrics(spark: SparkSession, batch_id: int, counts: dict[str, int], path: str) -> None:
-    rows = [(batch_id, name, float(n), "Count", "consumer") for name, n in counts.items()]
-    schema = "metric_name string, value double, unit string, component string"
-    frame = spark.createDataFrame(rows, f"batch_id bigint, {schema}")
-    frame.coalesce(1).withColumn("batch", F.col("batch_id")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+def _count_metrics(
+    spark: SparkSession, batch_id: int, counts: dict[str, int], path: str, component: str
+) -> None:
+    """Counters of one batch; a replayed batch replaces those it had written."""
+    rows = [(batch_id, name, float(n), "Count", component) for name, n in counts.items()]
+    frame = spark.createDataFrame(
+        rows, "batch bigint, metric_name string, value double, unit string, component string")
+    frame.coalesce(1).withColumn("ts", F.current_timestamp()).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("batch", "metric_name").parquet(path)
 
 
 def roll_to_bronze(
@@ -62,23 +65,23 @@ def roll_to_bronze(
 
     Folders go by ingest time, which is the start of the micro-batch and is kept in the
     checkpoint. A batch that is replayed after a failure therefore overwrites exactly
-    the files it had written: no row is lost, none is written twice. A failed write
-    fails the batch, so its offsets are not committed.
+    the files it had written: no row is lost, none is written twice. A failed write is
+    counted and fails the batch, so its offsets are not committed.
     """
     parsed = parse_messages(messages).withColumn("ingest_ts", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
+        flushed, rejected = Observation(), Observation()
+        rows = F.count(F.lit(1)).alias("rows")
+        good = accepted(batch, "ingest_ts").select(
+            "*", F.to_date("ingest_ts").alias("ds"), F.hour("ingest_ts").alias("hr"),
+            F.lit(batch_id).alias("batch"),
+        ).drop("ingest_ts").observe(flushed, rows)
+        bad = dead_letters(batch, "key", "value").withColumn(
+            "batch", F.lit(batch_id)).observe(rejected, rows)
         try:
-            flushed, rejected = Observation(), Observation()
-            rows = F.count(F.lit(1)).alias("rows")
-            good = accepted(batch, "ingest_ts").select(
-                "*", F.to_date("ingest_ts").alias("ds"), F.hour("ingest_ts").alias("hr"),
-                F.lit(batch_id).alias("batch"),
-            ).drop("ingest_ts").observe(flushed, rows)
-            bad = dead_letters(batch, "key", "value").withColumn(
-                "batch", F.lit(batch_id)).observe(rejected, rows)
             for frame, path, folders in (
                 (good, bronze, ["ds", "hr", "batch"]), (bad, dead_letter, ["batch"])
             ):
@@ -86,16 +89,31 @@ def roll_to_bronze(
                     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                     .option("compression", "zstd").partitionBy(*folders).parquet(path)
                 )
-            _batch_metrics(spark, batch_id, {
-                "RowsFlushed": flushed.get["rows"], "MessagesDLQ": rejected.get["rows"],
-            }, metrics)
+        except Exception:
+            _count_metrics(spark, batch_id, {"FlushError": 1}, metrics, "consumer")
+            raise
         finally:
             batch.unpersist()
+        _count_metrics(spark, batch_id, {
+            "RowsFlushed": flushed.get["rows"], "MessagesDLQ": rejected.get["rows"],
+        }, metrics, "consumer")
 
     return parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def publish(events_json: DataFrame, fmt: str, checkpoint: str, **options: str) -> DataStreamWriter:
-    """Send keyed JSON messages to a sink such as Kafka; the key fixes the partition."""
-    return events_json.writeStream.format(fmt).options(**options).option(
-        "checkpointLocation", checkpoint)
+def publish(
+    events_json: DataFrame, fmt: str, checkpoint: str, metrics: str, **options: str
+) -> DataStreamWriter:
+    """Send keyed JSON messages to a sink such as Kafka, where the key fixes the partition.
+
+    Delivery is at least once: a replayed batch is sent again.
+    """
+
+    def send(batch: DataFrame, batch_id: int) -> None:
+        sent = Observation()
+        counted = batch.observe(sent, F.count(F.lit(1)).alias("rows"))
+        counted.write.format(fmt).options(**options).mode("append").save()
+        _count_metrics(
+            batch.sparkSession, batch_id, {"MessagesPublished": sent.get["rows"]}, metrics, "producer")
+
+    return events_json.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)

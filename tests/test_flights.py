@@ -13,7 +13,7 @@ from tarmac.operators.matching import landing_candidates, nearest_landings
 from tarmac.operators.staging import (
     parse_callsigns, stg_airlines, stg_airports, stg_flights, stg_states,
 )
-from tarmac.plans.flights import int_flights, reconcile, with_zones
+from tarmac.plans.flights import int_flights, mapped_callsigns, reconcile, with_zones
 
 RUN = dt.datetime(2024, 2, 1)
 T0 = dt.datetime(2024, 1, 10, 12)
@@ -235,3 +235,20 @@ def test_one_landing_may_serve_several_flights(spark, airports):
     landings = spark.createDataFrame([("x", dt.datetime(2024, 1, 10, 18))], LANDING)
     got = reconcile(flights, aircraft, landings)
     assert got.filter("live_actual_arr_ts is not null").count() == 2
+
+
+def test_leading_zeros_matter_unless_asked(spark, airports):
+    flights = int_flights(staged(spark, {"flight_number": "0012"}), airports)
+    aircraft = spark.createDataFrame([("AA", "12", "x")], "carrier_code string, flight_number string, icao24 string")
+    landings = spark.createDataFrame([("x", dt.datetime(2024, 1, 10, 18))], LANDING)
+    assert reconcile(flights, aircraft, landings).first().live_actual_arr_ts is None
+    found = reconcile(flights, aircraft, landings, plain_numbers=True).first()
+    assert (found.flight_number, found.live_actual_arr_ts) == ("0012", dt.datetime(2024, 1, 10, 18))
+
+
+def test_icao_prefixes_may_be_mapped(spark):
+    states = spark.createDataFrame([("x", "AAL0123", T0), ("y", "ZZZ1", T0)],
+                                   "icao24 string, callsign string, event_ts timestamp")
+    codes = spark.createDataFrame([("AA", "AAL"), ("XX", None)], "carrier_key string, icao_code string")
+    assert rows(mapped_callsigns(states, codes), "cs_carrier", "cs_flight_num") == [("AA", "123"), ("ZZZ", "1")]
+    assert rows(mapped_callsigns(states), "cs_carrier") == [("AAL",), ("ZZZ",)]

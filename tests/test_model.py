@@ -78,7 +78,8 @@ def test_train_save_load_score(spark, silver, tmp_path):
         dm.check_contract({"feature_order": rq.FEATURE_ORDER[::-1]})
     asked = spark.createDataFrame(
         [("dl", "10", dt.datetime(2024, 1, 10, 1)), ("AA", "10", dt.datetime(2024, 1, 10, 1)),
-         ("DL", "10", dt.datetime(2024, 1, 11, 1))], "carrier_code string, flight_number string, scheduled_dep_ts timestamp")
+         ("DL", "10", dt.datetime(2024, 1, 11, 1)), ("?", "10", dt.datetime(2024, 1, 10, 1))], "carrier_code string, flight_number string, scheduled_dep_ts timestamp")
     got = dm.score_by_id(model, asked, silver)
-    assert rows(got, "carrier_code", "status") == [("AA", "not_found"), ("DL", "not_found"), ("DL", "ok")]
+    assert rows(got, "carrier_code", "status") == [
+        ("?", "invalid"), ("AA", "not_found"), ("DL", "not_found"), ("DL", "ok")]
     assert got.filter("predicted_arr_delay_min is not null and feature_source = 'silver'").count() == 1

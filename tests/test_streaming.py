@@ -124,6 +124,35 @@ def test_roll_routes_counts_and_survives_replay(spark, tmp_path):
     assert rows(spark.read.parquet(metrics).groupBy("metric_name").agg(F.sum("value"))) == rows(totals)
 
 
+def test_failed_flush_is_counted_and_not_committed(spark, tmp_path):
+    schema = "key string, value string"
+    source = write_files(spark, str(tmp_path / "in"), MESSAGES[:1], schema)
+    (tmp_path / "blocked").write_text("a file where a folder should be")
+    stream = ingest.file_stream(spark, source, schema)
+    with pytest.raises(Exception):
+        ingest.available_now(ingest.roll_to_bronze(
+            stream, str(tmp_path / "bronze"), str(tmp_path / "blocked" / "dead"), str(tmp_path / "metrics"),
+            str(tmp_path / "checkpoint")))
+    assert rows(spark.read.parquet(str(tmp_path / "metrics")), "metric_name", "value") == [("FlushError", 1.0)]
+    ingest.available_now(ingest.roll_to_bronze(
+        stream, str(tmp_path / "bronze"), str(tmp_path / "dead"), str(tmp_path / "metrics"),
+        str(tmp_path / "checkpoint")))
+    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 1
+    assert rows(spark.read.parquet(str(tmp_path / "metrics")), "metric_name", "value") == [
+        ("FlushError", 1.0), ("MessagesDLQ", 1.0), ("RowsFlushed", 1.0)]
+
+
+def test_publish_counts_messages(spark, tmp_path):
+    schema = "key string, value string"
+    source = write_files(spark, str(tmp_path / "in"), MESSAGES, schema)
+    stream = ingest.file_stream(spark, source, schema, files_per_trigger=1)
+    ingest.available_now(ingest.publish(
+        stream, "parquet", str(tmp_path / "checkpoint"), str(tmp_path / "metrics"), path=str(tmp_path / "topic")))
+    assert spark.read.parquet(str(tmp_path / "topic")).count() == 5
+    assert rows(spark.read.parquet(str(tmp_path / "metrics")), "metric_name", "value", "component") == [
+        ("MessagesPublished", 1.0, "producer")] + [("MessagesPublished", 2.0, "producer")] * 2
+
+
 def test_merge_stream_equals_batch_and_resumes(spark, tmp_path, batches):
     silver, checkpoint = str(tmp_path / "silver"), str(tmp_path / "checkpoint")
     folder = str(tmp_path / "in")
