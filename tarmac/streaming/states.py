@@ -7,10 +7,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tarmac.operators.landings import MIN_APPROACH_MPS
+from tarmac.functions.keys import row_hash
+from tarmac.operators.landings import MIN_APPROACH_MPS, REPORT_COLUMNS
 from tarmac.operators.monitoring import metric_windows
 from tarmac.plans.silver import STATE_KEY, load_silver_states
 
@@ -21,10 +23,31 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def dedupe_stream(states: DataFrame, late: str = LATE) -> DataFrame:
-    """First copy of each report within the lateness bound; state is dropped after it."""
+    """The first copy of each report to arrive, passed on at once.
+
+    State is dropped after the lateness bound. How many copies meet in one batch is
+    limited by the rate of the source.
+    """
     return states.withWatermark("event_ts", late).dropDuplicatesWithinWatermark(STATE_KEY)
 
 
+def latest_stream(states: DataFrame, late: str = LATE) -> DataFrame:
+    """The latest loaded copy of each report, passed on when the watermark closes it.
+
+    Settles copies exactly as the batch rule does. Being an aggregation it reduces the
+    copies of a report before they are shuffled.
+    """
+    decisive = [c for c in REPORT_COLUMNS if c in states.columns]
+    rest = sorted(set(states.columns) - {*STATE_KEY, "bronze_loaded_at", *decisive})
+    values = [c for c in states.columns if c not in STATE_KEY]
+    hashes = [row_hash(group) for group in (decisive, rest) if group]
+    latest = F.max_by(F.struct(*values), F.struct("bronze_loaded_at", *hashes))
+    return (
+        states.withWatermark("event_ts", late).groupBy(*STATE_KEY).agg(latest.alias("latest"))
+        .select(*STATE_KEY, "latest.*").select(*states.columns)
+    )
+
+
 def windows_stream(points: DataFrame, period_seconds: int, late: str, *groups: str) -> DataFrame:
     """Metric windows, each emitted once when the watermark closes it."""
     return metric_windows(points.withWatermark("ts", late), period_seconds, *groups)
@@ -103,13 +126,12 @@ class LandingProcessor(StatefulProcessor):
 def landings_stream(states: DataFrame, late: str = LATE) -> DataFrame:
     """Landings of a stream of reports, each emitted when no earlier report can come any more.
 
-    Reports are deduplicated first; that is keyed by airframe and time and so spreads a
-    busy airframe, and it leaves at most one report per second for the keyed state.
-    Needs the RocksDB state store.
+    Copies are settled first; that is keyed by airframe and time and so spreads a busy
+    airframe, and it leaves at most one report per second for the keyed state. Needs the
+    RocksDB state store.
     """
-    narrow = states.select("icao24", "event_ts", "on_ground", "velocity_mps")
-    unique = dedupe_stream(narrow, late)
-    return unique.groupBy("icao24").transformWithStateInPandas(
+    unique = latest_stream(states.select(*STATE_KEY, *REPORT_COLUMNS, "bronze_loaded_at"), late)
+    return unique.drop("bronze_loaded_at").groupBy("icao24").transformWithStateInPandas(
         LandingProcessor(), outputStructType=LANDINGS, outputMode="Append", timeMode="EventTime"
     )
 

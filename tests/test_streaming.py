@@ -63,6 +63,16 @@ def test_dedupe_equals_batch(spark, tmp_path, batches):
     assert rows(got) == rows(unique_states(whole), "icao24", "event_ts")
 
 
+def test_latest_copies_equal_batch_up_to_the_watermark(spark, tmp_path, batches):
+    changed = [b + [r[:8] + (not r[8],) + r[9:14] + (RUN + dt.timedelta(days=1),) for r in b[:5]] for b in batches]
+    source = write_files(spark, str(tmp_path / "in"), changed, REPORT)
+    stream = ingest.file_stream(spark, source, REPORT, files_per_trigger=1)
+    got = run(spark, st.latest_stream(stream, "2 hours"), tmp_path, "out")
+    whole = spark.createDataFrame([r for b in changed for r in b], REPORT)
+    mark = max(r[3] for b in changed for r in b) - dt.timedelta(hours=2)
+    assert rows(got) == rows(unique_states(whole).filter(F.col("event_ts") <= F.lit(mark)))
+
+
 def test_landings_equal_batch_up_to_the_watermark(spark, tmp_path, batches):
     st.with_state_store(spark)
     source = write_files(spark, str(tmp_path / "in"), batches, REPORT)
