@@ -135,15 +135,12 @@ def stg_airlines(raw: DataFrame, run_ts: dt.datetime) -> DataFrame:
 def parse_callsigns(states: DataFrame) -> DataFrame:
     """Carrier letters and flight number of callsigns such as ``AAL0123``.
 
-    The number loses its leading zeros; digits beyond what a number holds give NULL.
+    The number loses its leading zeros. More digits than a number can hold (38) are no
+    flight number; the pattern says so, which spares a filter on the parsed value.
     """
     carrier = F.rtrim("callsign", F.lit("0123456789"))
-    number = F.substring("callsign", F.length(carrier) + 1, F.length("callsign"))
-    parsed = states.filter(F.col("callsign").rlike("^[A-Z]{2,3}[0-9]+$")).select(
-        "icao24",
-        "callsign",
-        carrier.alias("cs_carrier"),
-        number.try_cast("decimal(38,0)").cast("string").alias("cs_flight_num"),
-        "event_ts",
+    digits = F.substring("callsign", F.length(carrier) + 1, F.length("callsign"))
+    return states.filter(F.col("callsign").rlike("^[A-Z]{2,3}[0-9]{1,38}$")).select(
+        "icao24", "callsign", carrier.alias("cs_carrier"),
+        digits.try_cast("decimal(38,0)").cast("string").alias("cs_flight_num"), "event_ts",
     )
-    return parsed.filter(F.col("cs_flight_num").isNotNull())

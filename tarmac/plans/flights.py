@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.values import (
@@ -34,6 +34,10 @@ def with_zones(flights: DataFrame, airports: DataFrame) -> DataFrame:
     return flights.join(origin, "origin_iata", "left").join(dest, "dest_iata", "left")
 
 
+def _instant(hhmm: str, zone: str) -> Column:
+    return local_to_utc(at_clock(F.col("flight_date"), F.col(hhmm)), F.col(zone))
+
+
 def int_flights(flights: DataFrame, airports: DataFrame, roll_overnight: bool = False) -> DataFrame:
     """Scheduled and actual times in UTC.
 
@@ -41,15 +45,12 @@ def int_flights(flights: DataFrame, airports: DataFrame, roll_overnight: bool =
     arrival that would precede its departure to the next day.
     """
 
-    def instant(hhmm: str, zone: str):
-        return local_to_utc(at_clock(F.col("flight_date"), F.col(hhmm)), F.col(zone))
-
     flown = ~F.col("cancelled_flag")
     timed = with_zones(flights, airports).withColumns({
-        "scheduled_dep_ts": instant("crs_dep_time_hhmm", "origin_timezone"),
-        "scheduled_arr_ts": instant("crs_arr_time_hhmm", "dest_timezone"),
-        "actual_dep_ts": F.when(flown, instant("dep_time_hhmm", "origin_timezone")),
-        "actual_arr_ts": F.when(flown, instant("arr_time_hhmm", "dest_timezone")),
+        "scheduled_dep_ts": _instant("crs_dep_time_hhmm", "origin_timezone"),
+        "scheduled_arr_ts": _instant("crs_arr_time_hhmm", "dest_timezone"),
+        "actual_dep_ts": F.when(flown, _instant("dep_time_hhmm", "origin_timezone")),
+        "actual_arr_ts": F.when(flown, _instant("arr_time_hhmm", "dest_timezone")),
     })
     if roll_overnight:
         for left, reached in (("scheduled_dep_ts", "scheduled_arr_ts"), ("actual_dep_ts", "actual_arr_ts")):
@@ -66,6 +67,14 @@ def int_flights(flights: DataFrame, airports: DataFrame, roll_overnight: bool =
     )
 
 
+def scheduled_arrivals(flights: DataFrame, airports: DataFrame) -> DataFrame:
+    """The part of ``int_flights`` a landing is looked up by."""
+    zones = airport_zones(airports).withColumnRenamed("iata", "dest_iata")
+    return flights.join(zones, "dest_iata", "left").select(
+        "carrier_code", "flight_number",
+        _instant("crs_arr_time_hhmm", "timezone").alias("scheduled_arr_ts"))
+
+
 def live_arrivals(
     flights: DataFrame, aircraft: DataFrame, landings: DataFrame, plain_numbers: bool = False
 ) -> DataFrame:
@@ -138,7 +147,11 @@ def reconcile_staged(
     aircraft: DataFrame, landings: DataFrame, roll_overnight: bool = False, plain_numbers: bool = False,
 ) -> DataFrame:
     """Reconciliation of staged flights; arrivals to look up are taken before deduplication."""
+    if roll_overnight:
+        asked = int_flights(staged_flights, airports, roll_overnight)
+    else:
+        asked = scheduled_arrivals(staged_flights, airports)
     return reconcile(
         int_flights(unique_flights, airports, roll_overnight), aircraft, landings,
-        asked=int_flights(staged_flights, airports, roll_overnight), plain_numbers=plain_numbers,
+        asked=asked, plain_numbers=plain_numbers,
     )
