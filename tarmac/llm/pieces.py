@@ -16,12 +16,13 @@ import codecs
 import hashlib
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tarmac.llm.arrow import add_columns, texts
+
 SPACE = "▁"
 # Units longer than this are not cached; the cache holds twice GENERATION units at most.
 CACHED_LENGTH, GENERATION = 48, 400_000
@@ -218,29 +219,14 @@ ENCODED = "n_tokens bigint, ids array<int>, decoded string"
 DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> Iterator[str]:
-    for value in batch.column(batch.schema.get_field_index(column)):
-        yield value.as_py() or ""
-
-
-def _mapped(docs: DataFrame, column: str, path: str, fields: str, row) -> DataFrame:
-    """All columns of ``docs`` but ``column``, and what ``row`` makes of its model and each text."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    kept = [c for c in docs.columns if c != column]
-    extra = to_arrow_schema(StructType.fromDDL(fields))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mapped(docs: DataFrame, path: str, fields: str, row: Callable[[PieceModel, str], tuple]) -> DataFrame:
+    def make():
         model = load(path)
-        for batch in batches:
-            made = [row(model, text) for text in _texts(batch, column)]
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            columns += [pa.array([m[i] for m in made], f.type) for i, f in enumerate(extra)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *extra.names])
+        return lambda batch: list(zip(*[row(model, text) for text in texts(batch, "text")], strict=True)) or EMPTY
+    return add_columns(docs, fields, make, drop=["text"])
+
 
-    schema = StructType([docs.schema[c] for c in kept] + StructType.fromDDL(fields).fields)
-    return docs.mapInArrow(encode, schema)
+EMPTY = ((), (), ())
 
 
 def _ids_row(model: PieceModel, text: str) -> tuple:
@@ -260,11 +246,11 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     """Rows of ``docs`` (any columns and a ``text``) with n_tokens, ids and the text decoded from them.
 
     NULL and empty texts have the end id alone. Nothing is shuffled; rows are neither merged nor
-    lost. Columns named like the results must not be among those of ``docs``.
+    lost. A column of ``docs`` named like a result gives way to it.
     """
-    return _mapped(docs, "text", model or default_model(), ENCODED, _ids_row)
+    return _mapped(docs, model or default_model(), ENCODED, _ids_row)
 
 
 def encode_digests(docs: DataFrame, model: str | None = None) -> DataFrame:
     """As ``encode_documents``, with digests made where the ids are, for checks that need no ids."""
-    return _mapped(docs, "text", model or default_model(), DIGESTS, _digest_row)
+    return _mapped(docs, model or default_model(), DIGESTS, _digest_row)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, secrets, url_filter
-from tarmac.llm.columns import table
+from tarmac.llm import decontaminate, langid, pieces, secrets, toxicity, url_filter
+from tarmac.llm.columns import id_remainder, table
 from tarmac.session import scratch_path
 
 # The written rules of the url query.
@@ -31,6 +31,31 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
 
 
+def held_out(modulus: int, remainder: int):
+    """Documents kept from training; one without an id is neither kept out nor learned from."""
+    return F.coalesce(id_remainder("doc_id", modulus) == remainder, F.lit(False))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit_languages(docs.filter(~held_out(3, 1)))
+    found = langid.identify(docs.select("doc_id", "text"), model, drop=["text"])
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(4, 2))
+    model = toxicity.fit_toxicity(docs, labels)
+    found = toxicity.score_toxicity(docs.select("doc_id", "text"), model, drop=["text"])
+    return found.select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_documents(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
     all_found = F.col("findings")
@@ -44,6 +69,9 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontaminate": op2_decontaminate,
+    "op3_language_id": op3_language_id,
     "op8_secret_scan": op8_secret_scan,
+    "op9_toxicity": op9_toxicity,
+    "op10_pieces": op10_pieces,
 }
 ORACLES: dict[str, str] = {}

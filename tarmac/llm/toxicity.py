@@ -32,8 +32,9 @@ SAMPLE_PER_CLASS, SAMPLE_CHARS, LANDMARKS = 2100, 20_000, 320
 DECAY = 0.6
 # The normalised kernel is raised to this power: words that share a part only are far apart.
 POWER = 2
-# A word stands out from so many different neighbours on, if toxic texts have it so many times as often.
-SUPPORT, CONTRAST = 4, 12
+# A word stands out from so many different neighbours (and share of the toxic texts) on, if toxic
+# texts have it so many times as often as clean ones.
+SUPPORT, SUPPORT_SHARE, CONTRAST = 5, 0.01, 12
 # Letters of a word that are compared together; longer ones are cut into overlapping windows.
 WINDOW, STEP = 18, 8
 # Scores of words are kept per worker, twice so many at most.
@@ -248,7 +249,7 @@ def train(labelled: Iterable[tuple[str, bool]], rounds: int = 4) -> ToxicityMode
             clean_words.update(*instances)
     letters = Counter(c for part in support for w in part for c in w)
     alphabet = "".join(sorted(sorted(letters, key=lambda c: (-letters[c], c))[:_SIZE - 3]))
-    seen = {w: len(at) for w, at in support[1].items() if len(at) >= SUPPORT
+    seen = {w: len(at) for w, at in support[1].items() if len(at) >= max(SUPPORT, SUPPORT_SHARE * rows[1])
             and len(at) * rows[0] >= CONTRAST * len(support[0].get(w, ())) * rows[1]}
     suspects = sorted(seen, key=lambda w: (-seen[w], w))
     clean_words -= set(suspects)
@@ -269,7 +270,7 @@ def train(labelled: Iterable[tuple[str, bool]], rounds: int = 4) -> ToxicityMode
         negatives |= {pool[i] for i in worst}
         # The sentence of each toxic document with the best word is its toxic one, if any is.
         for instances in bags:
-            candidates = sorted({w for s in instances for w in s} - clean_words)
+            candidates = sorted(w for w in {w for s in instances for w in s} - clean_words if len(support[1][w]) > 1)
             if candidates:
                 m = model.margins(candidates)
                 if m.max() > 0.5:
