@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, edit_sketch, langid, pieces, secrets, toxicity, url_filter
+from tarmac.llm import chat, decontaminate, edit_sketch, langid, near_dedup, pieces, secrets, toxicity, url_filter
 from tarmac.llm.columns import id_remainder, table
 from tarmac.session import scratch_path
 
@@ -69,6 +69,12 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_sketch.with_edits(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return found.select(
+        "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_documents(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
     all_found = F.col("findings")
@@ -85,6 +91,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op5_chat_format": op5_chat_format,
     "op6_fingerprints": op6_fingerprints,
+    "op7_near_dedup": op7_near_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_pieces": op10_pieces,
