@@ -145,7 +145,7 @@ def fit_languages(
     return model.fit([r.text for r in rows], [r.lang for r in rows]) if rows else model
 
 
-def identify(docs: DataFrame, model: LanguageModel, drop: Sequence[str] = ()) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, drop: Sequence[str] = (), fields: str = FIELDS) -> DataFrame:
     """All rows and columns of ``docs`` (less ``drop``) with lang_pred and score.
 
     NULL texts and texts without a letter are ``und`` with score 0, and so is every text if the
@@ -155,4 +155,14 @@ def identify(docs: DataFrame, model: LanguageModel, drop: Sequence[str] = ()) ->
         def compute(batch):
             return model.predict(texts(batch, "text"))
         return compute
-    return add_columns(docs, FIELDS, make, drop)
+    return add_columns(docs, fields, make, drop)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.28) -> DataFrame:
+    """The documents whose language is known with a score of ``least`` or more, all columns as they came.
+
+    What goes has no text, no letter, or a language that the model tells from no other.
+    """
+    found = identify(docs, model, fields="_lang_found string, _lang_score double")
+    known = (F.col("_lang_found") != UNKNOWN) & (F.col("_lang_score") >= least)
+    return found.filter(known).select(*docs.columns)

@@ -216,6 +216,7 @@ def default_model() -> str:
 
 
 ENCODED = "n_tokens bigint, ids array<int>, decoded string"
+CHECKED = "n_tokens bigint, ids array<int>, round_trip boolean"
 DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -234,6 +235,11 @@ def _ids_row(model: PieceModel, text: str) -> tuple:
     return len(ids), list(map(int, ids)), model.decode(ids)
 
 
+def _checked_row(model: PieceModel, text: str) -> tuple:
+    ids = model.encode(text).split(" ")
+    return len(ids), list(map(int, ids)), model.decode(ids) == text
+
+
 def _digest_row(model: PieceModel, text: str) -> tuple:
     joined = model.encode(text)
     ids = joined.split(" ")
@@ -251,6 +257,11 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     return _mapped(docs, model or default_model(), ENCODED, _ids_row)
 
 
+def encode_checked(docs: DataFrame, model: str | None = None) -> DataFrame:
+    """As ``encode_documents``, with whether the decoded text is the text instead of the text itself."""
+    return _mapped(docs, model or default_model(), CHECKED, _checked_row)
+
+
 def encode_digests(docs: DataFrame, model: str | None = None) -> DataFrame:
     """As ``encode_documents``, with digests made where the ids are, for checks that need no ids."""
     return _mapped(docs, model or default_model(), DIGESTS, _digest_row)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, edit_sketch, langid, near_dedup, pieces, secrets, toxicity, url_filter
+from tarmac.llm import chat, decontaminate, edit_sketch, langid, language_model, near_dedup, pieces, secrets, toxicity, url_filter
 from tarmac.llm.columns import id_remainder, table
 from tarmac.session import scratch_path
 
@@ -56,6 +56,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) == 2)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -89,6 +93,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontaminate": op2_decontaminate,
     "op3_language_id": op3_language_id,
+    "op4_lm_score": op4_lm_score,
     "op5_chat_format": op5_chat_format,
     "op6_fingerprints": op6_fingerprints,
     "op7_near_dedup": op7_near_dedup,
