@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, edit_sketch, langid, language_model, near_dedup, pieces, secrets, toxicity, url_filter
+from tarmac.llm import chat, decontaminate, edit_sketch, langid, language_model, near_dedup, pieces, reference, secrets, toxicity, url_filter
 from tarmac.llm.columns import id_remainder, table
 from tarmac.session import scratch_path
 
@@ -101,4 +101,9 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_pieces": op10_pieces,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_url_filter": reference.URLS,
+    "op2_decontaminate": reference.CONTAMINATION,
+    "op5_chat_format": reference.CHAT,
+    "op8_secret_scan": reference.SECRETS,
+}
