@@ -53,6 +53,9 @@ class PieceModel:
             elif model.is_unknown(i):
                 self.content[i] = " ⁇ ".encode()
         self.text_id = {str(i): content for i, content in enumerate(self.content)}
+        self.end_text = str(self.end)
+        self.spaced = {str(i) for piece, i in self.id.items() if piece[0] == SPACE}
+        self.controls = {str(i) for i in range(size) if model.is_control(i)}
         self.single = {p for p in self.id if len(p) == 1}
         automaton = ahocorasick.Automaton()
         for piece in self.id:
@@ -189,9 +192,22 @@ class PieceModel:
         return " ".join(ids)
 
     def decode(self, ids: list[str]) -> str:
-        """The text of ids in decimal; bytes that are no UTF-8 become U+FFFD, one each."""
-        text = b"".join(map(self.text_id.__getitem__, ids)).decode("utf-8", "each-byte")
-        return text[1:] if text[:1] == " " else text
+        """The text of ids in decimal; bytes that are no UTF-8 become U+FFFD, one each.
+
+        Control ids have no text, but bytes before and after one are not put together.
+        """
+        if ids and ids[-1] == self.end_text:
+            ids = ids[:-1]
+        if self.controls.isdisjoint(ids):
+            text = self._bytes(ids)
+        else:
+            cuts = [-1, *(i for i, x in enumerate(ids) if x in self.controls), len(ids)]
+            text = "".join(self._bytes(ids[a + 1:b]) for a, b in zip(cuts, cuts[1:], strict=False))
+        first = next((x for x in ids if x not in self.controls), None)
+        return text[1:] if first in self.spaced else text
+
+    def _bytes(self, ids: list[str]) -> str:
+        return b"".join(map(self.text_id.__getitem__, ids)).decode("utf-8", "each-byte")
 
 
 _LETTER = re.compile(r"[^\W\d_]").fullmatch

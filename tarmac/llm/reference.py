@@ -23,18 +23,20 @@ hosts as (
 overall as (select (sum(k) + 0.5) / (sum(n) + 1) m from hosts),
 suffixes as (select suffix, sum(n) n, sum(k) k, any_value(m) prior from hosts, overall group by suffix),
 s0 as (select sum((k - n * prior) ** 2 - n * prior * (1 - prior)) / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0) r from suffixes),
-s1 as (select 1 / least(greatest(coalesce(r, 0), 0.001), 0.8) - 1 s from s0),
-s2 as (select suffix, (k + s * prior) / (n + s) prior from suffixes, s1),
+s1 as (select 1 / least(greatest(coalesce(r, 0.8), 0.001), 0.8) - 1 s from s0),
+s2 as (select suffix, (k + s * prior) / (n + s) prior, n + s ns, s from suffixes, s1),
+s3 as (select suffix, prior, prior * (1 - prior) / (ns + 1) var from s2),
 domains as (
-    select domain, suffix, sum(n) n, sum(k) k, any_value(prior) prior from hosts join s2 using (suffix) group by domain, suffix),
+    select domain, suffix, sum(n) n, sum(k) k, any_value(prior) prior, any_value(var) var from hosts join s3 using (suffix) group by domain, suffix),
 d0 as (select sum((k - n * prior) ** 2 - n * prior * (1 - prior)) / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0) r from domains),
-d1 as (select 1 / least(greatest(coalesce(r, 0), 0.001), 0.8) - 1 s from d0),
-d2 as (select domain, (k + s * prior) / (n + s) prior from domains, d1),
-primed as (select hosts.*, prior from hosts join d2 using (domain)),
+d1 as (select 1 / least(greatest(coalesce(r, 0.8), 0.001), 0.8) - 1 s from d0),
+d2 as (select domain, (k + s * prior) / (n + s) prior, n + s ns, s, var from domains, d1),
+d3 as (select domain, prior, prior * (1 - prior) / (ns + 1) + (s / ns) ** 2 * var as var from d2),
+primed as (select hosts.*, prior, var from hosts join d3 using (domain)),
 h0 as (select sum((k - n * prior) ** 2 - n * prior * (1 - prior)) / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0) r from primed),
-h1 as (select 1 / least(greatest(coalesce(r, 0), 0.001), 0.8) - 1 s from h0),
+h1 as (select 1 / least(greatest(coalesce(r, 0.8), 0.001), 0.8) - 1 s from h0),
 judged as (
-    select host, n::bigint labelled, (k + s * prior) / (n + s) mean, n + s + 1 size from primed, h1),
+    select host, n::bigint labelled, (k + s * prior) / (n + s) mean, n + s ns, s, var from primed, h1),
 rules(rule, rule_host, rule_path, verdict) as (values
     ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
     ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
@@ -45,7 +47,7 @@ fits as (
     join rules on (u.host = rule_host or ends_with(u.host, '.' || rule_host)) and starts_with(u.path, rule_path)
     group by host, path)
 select page_id, p.host, p.path, f.rule,
-    coalesce(f.verdict, case when greatest(mean - 1.645 * sqrt(mean * (1 - mean) / size), 0) >= 0.3
+    coalesce(f.verdict, case when greatest(mean - 1.645 * sqrt(mean * (1 - mean) / (ns + 1) + (s / ns) ** 2 * var), 0) >= 0.3
         then 'block' else 'allow' end) verdict,
     labelled, round(mean, 6) bad_rate
 from parts p join judged j on p.host = j.host left join fits f on f.host = p.host and f.path = p.path

@@ -158,14 +158,14 @@ class ToxicityModel:
 
     def scores(self, batch: Sequence[str]) -> np.ndarray:
         """A probability per text; empty ones lowest."""
-        return self.probability(np.array([self.evidence(t) for t in batch]).reshape(-1, 3))
+        return self.probability(self.evidence(batch))
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(evidence @ self.slope + self.offset, -30, 30)))
 
     def calibrate(self, batch: Sequence[str], toxic: np.ndarray, ridge: float = 0.05) -> None:
         """Logistic regression by Newton steps; classes weigh the same."""
-        x = np.hstack([np.array([self.evidence(t) for t in batch]).reshape(-1, 3), np.ones((len(batch), 1))])
+        x = np.hstack([self.evidence(batch), np.ones((len(batch), 1))])
         if toxic.all() or not toxic.any():
             return
         c = np.where(toxic, 0.5 / toxic.mean(), 0.5 / (~toxic).mean()) / len(batch)
@@ -183,21 +183,28 @@ class ToxicityModel:
         self.slope = np.zeros(3)
         self.slope[used[:-1]], self.offset = w[:-1], float(w[-1])
 
-    def evidence(self, text: str) -> tuple[float, float, float]:
-        """Of a whole text: its best margin, and words beyond the margin, all and per 100."""
-        run = tokens(text)
-        found = list(map(self.young.get, run))
-        if None in found:
-            missing = {t for t, m in zip(run, found, strict=True) if m is None}
+    def evidence(self, batch: Sequence[str]) -> np.ndarray:
+        """Of each whole text: its best margin, and words beyond the margin, all and per 100.
+
+        Words new to the worker are scored together for some texts at a time.
+        """
+        out = []
+        for i in range(0, len(batch), 64):
+            texts_ = [tokens(t) for t in batch[i:i + 64]]
+            found = [list(map(self.young.get, run)) for run in texts_]
+            missing = {t for run, ms in zip(texts_, found, strict=True) if None in ms
+                       for t, m in zip(run, ms, strict=True) if m is None}
             known = {t: self.old[t] for t in missing if t in self.old}
             self.young.update(known)
             left = sorted(missing - known.keys())
             for k in range(0, len(left), 20_000):
                 known |= self._token_margins(left[k:k + 20_000])
-            found = [known[t] if m is None else m for t, m in zip(run, found, strict=True)]
-        margins = np.clip(np.array(found, float), -1.5, 1.5)
-        count = float(np.clip(margins + 0.5, 0, 1).sum())
-        return max(margins, default=-1.5), np.log1p(count), np.log1p(count / max(1.0, len(run) / 100))
+            for run, ms in zip(texts_, found, strict=True):
+                values = [known[t] if m is None else m for t, m in zip(run, ms, strict=True)]
+                margins = np.clip(np.array(values, float), -1.5, 1.5)
+                count = float(np.clip(margins + 0.5, 0, 1).sum())
+                out.append((margins.max(initial=-1.5), np.log1p(count), np.log1p(count / max(1.0, len(run) / 100))))
+        return np.array(out).reshape(-1, 3)
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"young": {}, "old": {}}

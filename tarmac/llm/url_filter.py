@@ -76,20 +76,29 @@ def suffix(host: Column) -> Column:
 
 
 def _strength(nodes: DataFrame) -> float:
-    """Prior strength of a level from its nodes (n, k, prior): one row of sums."""
+    """Prior strength of a level from its nodes (n, k, prior), weakest without evidence: one row of sums."""
     m = F.col("prior")
     own = m * (1 - m)
     sums = nodes.agg(
         F.sum(F.pow(F.col("k") - F.col("n") * m, 2) - F.col("n") * own).alias("extra"),
         F.sum(F.col("n") * (F.col("n") - 1) * own).alias("pairs"),
     ).first()
-    ratio = (sums.extra / sums.pairs) if sums.pairs else 0.0
+    ratio = (sums.extra / sums.pairs) if sums.pairs else MOST_CORRELATION
     ratio = min(max(ratio, LEAST_CORRELATION), MOST_CORRELATION)
     return 1 / ratio - 1
 
 
-def _posterior_mean(strength: float) -> Column:
-    return (F.col("k") + strength * F.col("prior")) / (F.col("n") + strength)
+def _posterior(nodes: DataFrame, *keep: str) -> DataFrame:
+    """Posterior mean and variance of each node as ``prior`` and ``prior_variance``.
+
+    The variance has two parts: the node's own beta, and as much of its prior mean's as counts.
+    """
+    strength = _strength(nodes)
+    n, k, prior = F.col("n"), F.col("k"), F.col("prior")
+    mean = (k + strength * prior) / (n + strength)
+    variance = mean * (1 - mean) / (n + strength + 1) + F.pow(strength / (n + strength), 2) * F.col("prior_variance")
+    others = keep or [c for c in nodes.columns if c not in ("prior", "prior_variance")]
+    return nodes.select(*others, mean.alias("prior"), variance.alias("prior_variance"))
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
@@ -113,15 +122,10 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) ->
     total = suffixes.agg(*sums).first()
     overall = ((total.k or 0.0) + 0.5) / ((total.n or 0.0) + 1.0)
 
-    def level(nodes: DataFrame, parents: DataFrame | None, key: str | None) -> tuple[DataFrame, float]:
-        primed = nodes.withColumn("prior", F.lit(overall)) if parents is None else nodes.join(parents, key)
-        return primed, _strength(primed)
-
-    suffixes, s = level(suffixes, None, None)
-    domains, d = level(domains, suffixes.select("suffix", _posterior_mean(s).alias("prior")), "suffix")
-    hosts, h = level(hosts, domains.select("domain", _posterior_mean(d).alias("prior")), "domain")
-    mean = _posterior_mean(h)
-    spread = z * F.sqrt(mean * (1 - mean) / (F.col("n") + h + 1))
+    suffixes = suffixes.withColumn("prior", F.lit(overall)).withColumn("prior_variance", F.lit(0.0))
+    domains = domains.join(_posterior(suffixes, "suffix"), "suffix")
+    hosts = _posterior(hosts.join(_posterior(domains, "domain"), "domain"))
+    mean, spread = F.col("prior"), z * F.sqrt("prior_variance")
     return hosts.select(
         "host", "domain", "suffix", F.col("n").cast("long").alias("labelled"), F.col("k").cast("long").alias("bad"),
         mean.alias("bad_rate"), F.greatest(mean - spread, F.lit(0.0)).alias("lower"),
