@@ -32,7 +32,7 @@ from tarmac.llm.groups import boundaries, runs
 from tarmac.llm.words import chunks, mix, word_hashes
 
 # Tokens of a block, and tokens for each shard.
-BLOCK_TOKENS, SHARD_TOKENS, LEAST_SHARDS = 1_000_000, 5_000_000, 12
+BLOCK_TOKENS, SHARD_TOKENS, LEAST_SHARDS = 400_000, 1_500_000, 12
 PRIOR, DISCOUNT = 100.0, 0.5
 _END = np.uint64(0x6A09E667F3BCC908)
 
