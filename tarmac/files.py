@@ -28,6 +28,17 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder, if it exists."""
+    fs, p = _fs_and_path(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.mkdirs(p)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the first-level partition column, from the folder names alone."""
     fs, p = _fs_and_path(spark, path)

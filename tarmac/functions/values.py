@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from functools import lru_cache
-from zoneinfo import available_timezones
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+_DAY = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?=$|[T ])"
 NULL_MARKER = "\\N"  # two characters: backslash, N
 
 
@@ -38,9 +38,9 @@ def safe_boolean(c: Column) -> Column:
 
 
 def safe_date(c: Column) -> Column:
-    """``yyyy-MM-dd`` to a date; a bare year or month is not one."""
-    day = F.trim(c)
-    return F.when(F.length(day) == 10, day.try_cast("date"))
+    """Year, month and day to a date, with or without leading zeros or a time; less is not one."""
+    day = F.regexp_extract(F.trim(c), _DAY, 0)
+    return F.nullif(day, F.lit("")).try_cast("date")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -68,7 +68,9 @@ def at_clock(day: Column, hhmm: Column) -> Column:
 
 @lru_cache(maxsize=1)
 def known_zones() -> str:
-    return ",".join(sorted(available_timezones()))
+    """The zone names of the JVM, which does the conversion."""
+    spark = SparkSession.active()
+    return ",".join(sorted(spark._jvm.java.time.ZoneId.getAvailableZoneIds()))
 
 
 def valid_zone(zone: Column) -> Column:

@@ -136,17 +136,28 @@ def alert_severity() -> Column:
     return F.when(critical, "critical").otherwise("warning")
 
 
-def alerts_after(alerts: DataFrame, cursor: dt.datetime, limit: int = ALERT_PAGE) -> DataFrame:
-    """The next page of alerts, oldest first."""
-    return (
-        alerts.filter(F.col("detected_at") > F.lit(cursor).cast("timestamp"))
-        .orderBy("detected_at", "alert_id").limit(limit)
-    )
-
+def alerts_after(
+    alerts: DataFrame, cursor: dt.datetime, cursor_id: str | None = None, limit: int = ALERT_PAGE
+) -> DataFrame:
+    """The next page of alerts, oldest first, ties by id.
 
-def next_cursor(page: DataFrame, cursor: dt.datetime) -> DataFrame:
-    """Where the page after this one starts."""
-    return page.agg(F.coalesce(F.max("detected_at"), F.lit(cursor).cast("timestamp")).alias("cursor"))
+    The cursor is the time and id of the last alert shown, so alerts of the same time as
+    the end of a page come with the next; without an id all of that time have been shown.
+    """
+    at = F.lit(cursor).cast("timestamp")
+    later = F.col("detected_at") > at
+    if cursor_id is not None:
+        later |= (F.col("detected_at") == at) & (F.col("alert_id") > F.lit(cursor_id))
+    return alerts.filter(later).orderBy("detected_at", "alert_id").limit(limit)
+
+
+def next_cursor(page: DataFrame, cursor: dt.datetime, cursor_id: str | None = None) -> DataFrame:
+    """Where the page after this one starts: (cursor, cursor_id)."""
+    last = F.coalesce(
+        F.max(F.struct("detected_at", F.col("alert_id").cast("string").alias("alert_id"))),
+        F.struct(F.lit(cursor).cast("timestamp").alias("detected_at"), F.lit(cursor_id).cast("string").alias("alert_id")))
+    return page.agg(last.alias("last")).select(
+        F.col("last.detected_at").alias("cursor"), F.col("last.alert_id").alias("cursor_id"))
 
 
 def materialization_rate(

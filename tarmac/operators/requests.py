@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.values import month_number
+
 # Code patterns and accepted ranges of a request.
-CARRIER_PATTERN = "^[A-Z0-9]{2,3}$"
-AIRPORT_PATTERN = "^[A-Z]{3}$"
+CARRIER_PATTERN = r"^[A-Z0-9]{2,3}\z"
+AIRPORT_PATTERN = r"^[A-Z]{3}\z"
 RANGES = {
     "distance_miles": (1, 15000),
     "scheduled_dep_hour": (0, 23),
@@ -69,6 +71,9 @@ def hydrate(requests: DataFrame, silver: DataFrame) -> DataFrame:
         "flight_number": F.col("flight_number").cast("string"),
         "flight_date": F.to_date("scheduled_dep_ts"),
     })
+    if "flight_month" in silver.columns:  # the months asked for prune the folders at run time
+        months = asked.select(month_number(F.col("flight_date")).alias("flight_month")).distinct()
+        silver = silver.join(months, "flight_month", "left_semi")
     features = feature_matrix(silver, "flight_number", "flight_date", "scheduled_dep_ts",
                               "flight_event_natural_key")
     values = [c for c in FEATURE_ORDER if c not in key]

@@ -43,6 +43,40 @@ def _laid_out(df: DataFrame, partition_by: str, sort_by: Sequence[str]) -> DataF
     return df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
 
 
+# Hidden folders in a table: a merge that is complete but may not be in place yet, and one that is
+# not complete. A table has one writer at a time.
+_READY, _DRAFT = "_merged-", "_draft-"
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish what a run that died has left: a complete merge or refresh is put in place.
+
+    Every write to a table starts with this; a reader that follows a failure can call it too.
+    """
+    old, new = f"{path}.old", f"{path}.next"
+    if files.exists(spark, old):  # a swap was under way
+        if files.exists(spark, path):
+            files.delete(spark, old)
+        else:
+            files.rename(spark, *((new, path) if files.exists(spark, new) else (old, path)))
+            files.delete(spark, old)
+    for name in files.names(spark, path):
+        if name.startswith(_READY):
+            _put_in_place(spark, path, name)
+        elif name.startswith(_DRAFT):
+            files.delete(spark, f"{path}/{name}")
+
+
+def _put_in_place(spark: SparkSession, path: str, name: str) -> None:
+    """Move each merged partition over the old one; each is either still to be moved or done."""
+    staged = f"{path}/{name}"
+    for folder in files.names(spark, staged):
+        if "=" in folder:
+            files.delete(spark, f"{path}/{folder}")
+            files.rename(spark, f"{staged}/{folder}", f"{path}/{folder}")
+    files.delete(spark, staged)
+
+
 def upsert(
     spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str,
     latest_by: Sequence[Column] | None = None, sort_by: Sequence[str] = (),
@@ -50,59 +84,66 @@ def upsert(
     """Merge ``source`` into a partitioned table; returns the partition values rewritten.
 
     Only partitions the source touches are read and written. A key must determine its
-    partition. ``latest_by`` settles repeated keys in the source. Merged partitions are
-    completed in the shared folder and then copied in with a dynamic partition overwrite,
-    because no plan may overwrite what it reads; after a failure the same upsert can
-    simply run again.
+    partition. ``latest_by`` settles repeated keys in the source. The partitions are written
+    once, complete, to a hidden folder of the table; renaming it is the commit, and from then
+    on moving its partitions into place can be repeated (``settle``). A run that dies before
+    the commit has changed nothing, one that dies after it is finished by the next.
     """
+    settle(spark, path)
     if latest_by:
         source = keep_first(source, keys, latest_by)
-    staged = scratch_path(spark, "upsert-source")
-    _laid_out(source, partition_by, sort_by).write.partitionBy(partition_by).parquet(staged)
-    touched = files.partition_values(spark, staged, partition_by)
-    if touched:
-        present = set(files.partition_values(spark, path, partition_by))
-        known = [v for v in touched if v in present]
-        complete = spark.read.schema(source.schema).parquet(staged)
-        merged = None
-        if known:
-            # Whole folders are named, so other partitions are not even listed.
-            old = (
-                spark.read.option("mergeSchema", "true").option("basePath", path)
-                .parquet(*[f"{path}/{partition_by}={v}" for v in known])
-            )
-            dtype = source.schema[partition_by].dataType
-            old = old.withColumn(partition_by, F.col(partition_by).cast(dtype))
-            result = merge_rows(old, complete, list(dict.fromkeys([*keys, partition_by])))
-            merged = scratch_path(spark, "upsert-merged")
-            _laid_out(result, partition_by, sort_by).write.partitionBy(partition_by).parquet(merged)
-            complete = spark.read.schema(result.schema).parquet(merged)
-        (
-            complete.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_by).parquet(path)
+    run = uuid.uuid4().hex[:12]
+    draft, staged = f"{path}/{_DRAFT}{run}", scratch_path(spark, "upsert-source")
+    present = set(files.partition_values(spark, path, partition_by))
+    first = staged if present else draft
+    _laid_out(source, partition_by, sort_by).write.partitionBy(partition_by).parquet(first)
+    touched = files.partition_values(spark, first, partition_by)
+    known = [v for v in touched if v in present]
+    if known:
+        # Whole folders are named, so other partitions are not even listed.
+        old = (
+            spark.read.option("mergeSchema", "true").option("basePath", path)
+            .parquet(*[f"{path}/{partition_by}={v}" for v in known])
         )
-        if merged:
-            files.delete(spark, merged)
+        dtype = source.schema[partition_by].dataType
+        old = old.withColumn(partition_by, F.col(partition_by).cast(dtype))
+        again = spark.read.schema(source.schema).option("basePath", staged).parquet(
+            *[f"{staged}/{partition_by}={v}" for v in known])
+        result = merge_rows(old, again, list(dict.fromkeys([*keys, partition_by])))
+        _laid_out(result, partition_by, sort_by).write.partitionBy(partition_by).parquet(draft)
+    if present and touched:  # what the table did not have is complete as it is
+        files.make_folder(spark, draft)
+        for value in touched:
+            if value not in present:
+                files.rename(spark, f"{staged}/{partition_by}={value}", f"{draft}/{partition_by}={value}")
+    if touched:
+        files.rename(spark, draft, f"{path}/{_READY}{run}")
+        _put_in_place(spark, path, f"{_READY}{run}")
+    elif not present:
+        files.delete(spark, path)
     files.delete(spark, staged)
     return touched
 
 
 def full_refresh(spark: SparkSession, path: str, df: DataFrame) -> None:
     """Replace a table. The new one is complete before it takes the old one's place."""
-    incoming = f"{path}.next-{uuid.uuid4().hex[:8]}"
+    settle(spark, path)
+    incoming = f"{path}.next"
+    files.delete(spark, incoming)  # the draft of a run that died
     df.write.parquet(incoming)
     swap(spark, incoming, path)
 
 
 def swap(spark: SparkSession, incoming: str, path: str) -> None:
-    """Put ``incoming`` in the place of ``path``, dropping what was there."""
-    outgoing = f"{path}.old-{uuid.uuid4().hex[:8]}"
-    had_table = files.exists(spark, path)
-    if had_table:
+    """Put ``incoming`` in the place of ``path``, dropping what was there.
+
+    Between the renames ``settle`` finds a complete table beside the path, whichever it is.
+    """
+    outgoing = f"{path}.old"
+    if files.exists(spark, path):
         files.rename(spark, path, outgoing)
     files.rename(spark, incoming, path)
-    if had_table:
-        files.delete(spark, outgoing)
+    files.delete(spark, outgoing)
 
 
 # --- versioned dimension -------------------------------------------------------------
@@ -123,8 +164,13 @@ def scd2_merge(
     A change in a checked column closes the open version and opens another; a key the
     source no longer has is closed; one that comes back gets a new version. One outer
     join of open versions and source decides all cases; closed versions pass through.
+    Columns only one side has are kept and NULL for the other.
     """
-    attributes = [c for c in source.columns if c != key]
+    fixed = {key, "valid_from", "valid_to"}
+    attributes = [c for c in dict.fromkeys([*table.columns, *source.columns]) if c not in fixed]
+    types = {f.name: f.dataType for f in [*source.schema, *table.schema]}
+    absent = lambda df: {c: F.lit(None).cast(types[c]) for c in attributes if c not in df.columns}
+    table, source = table.withColumns(absent(table)), source.withColumns(absent(source))
     stamp = F.lit(as_of).cast("timestamp")
     columns = [key, *attributes, "valid_from", "valid_to"]
     closed = table.filter(F.col("valid_to").isNotNull()).select(*columns)

@@ -46,6 +46,11 @@ def late_arrival(
     return date >= F.lit(mark - dt.timedelta(days=days))
 
 
+def month_of(day: dt.date) -> int:
+    """The month folder of a day, e.g. 202401."""
+    return day.year * 100 + day.month
+
+
 def window_start(
     spark: SparkSession, target_path: str, target_column: str, target_partition: str, days: int,
     backfill: tuple[dt.date, dt.date] | None = None,
@@ -61,12 +66,14 @@ def since_last_load(
     spark: SparkSession, source: DataFrame, target_path: str, source_column: str,
     target_partition: str, days: int, backfill: tuple[dt.date, dt.date] | None = None,
     target_column: str | None = None,
-    folder: tuple[str, Callable[[dt.date], dt.date]] | None = None,
+    folder: tuple[str, Callable[[dt.date], dt.date | int]] | None = None,
+    folder_end: Callable[[dt.date], dt.date | int] | None = None,
 ) -> DataFrame:
     """Rows of ``source`` the next merge into ``target_path`` has to look at.
 
     ``folder`` names the source's partition column and tells, for a first day, the
     earliest partition such a day can be in; older partitions are then not read at all.
+    ``folder_end`` tells the same of the last day of a backfill and the latest partition.
     """
     target_column = target_column or source_column
     start = window_start(spark, target_path, target_column, target_partition, days, backfill)
@@ -79,5 +86,8 @@ def since_last_load(
         recent = source.filter(date >= F.lit(start))
     if folder:
         column, earliest = folder
-        recent = recent.filter(F.col(column).isNull() | (F.col(column) >= F.lit(earliest(start))))
+        inside = F.col(column) >= F.lit(earliest(start))
+        if folder_end and backfill and all(backfill):
+            inside &= F.col(column) <= F.lit(folder_end(backfill[1]))
+        recent = recent.filter(F.col(column).isNull() | inside)
     return recent

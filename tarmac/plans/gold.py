@@ -11,7 +11,7 @@ from tarmac.functions.keys import change_marker, flight_surrogate, version_key
 from tarmac.functions.values import month_number
 from tarmac.operators.dedupe import keep_first
 from tarmac.operators.tables import scd2_merge, open_versions, upsert
-from tarmac.operators.windows import since_last_load
+from tarmac.operators.windows import month_of, since_last_load
 from tarmac.plans.silver import FLIGHTS_LATE_DAYS
 
 # Fixed value: an arrival up to this many minutes late is on time.
@@ -193,13 +193,17 @@ def agg_carrier_otp_daily(fact: DataFrame, run_ts: dt.datetime) -> DataFrame:
     ).withColumn("ingested_at", _stamp(run_ts))
 
 
+def _month_folder(table: DataFrame):
+    return ("flight_month", month_of) if "flight_month" in table.columns else None
+
+
 def load_fact(
     spark: SparkSession, path: str, silver: DataFrame, airports: DataFrame, run_ts: dt.datetime,
     backfill: tuple[dt.date, dt.date] | None = None,
 ) -> None:
     recent = since_last_load(
         spark, silver, path, "flight_date", "flight_month", FLIGHTS_LATE_DAYS, backfill,
-        target_column="flight_date_key",
+        target_column="flight_date_key", folder=_month_folder(silver), folder_end=month_of,
     )
     rows = fct_flight_event(recent, airports, run_ts).withColumn(
         "flight_month", month_number(F.col("flight_date_key")))
@@ -213,7 +217,7 @@ def load_daily(
 ) -> None:
     recent = since_last_load(
         spark, fact, path, "flight_date_key", "flight_month", FLIGHTS_LATE_DAYS, backfill,
-        target_column="flight_date",
+        target_column="flight_date", folder=_month_folder(fact), folder_end=month_of,
     )
     rows = agg_carrier_otp_daily(recent, run_ts).withColumn(
         "flight_month", month_number(F.col("flight_date")))

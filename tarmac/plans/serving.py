@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.operators.windows import month_of
 from tarmac.plans.gold import ON_TIME_MINUTES
 
 # Smallest number of flights a ranked route has, and default list sizes.
@@ -17,9 +18,21 @@ RECENT_FLIGHTS = 200
 ACTIVE_DAYS = 90
 
 
+def _days(table: DataFrame, column: str, start: dt.date, end: dt.date | None = None) -> DataFrame:
+    """Rows of a span of days; the month folders, where there are any, are bounded as well."""
+    rows = table.filter(F.col(column) >= F.lit(start))
+    if end is not None:
+        rows = rows.filter(F.col(column) <= F.lit(end))
+    if "flight_month" in table.columns:
+        rows = rows.filter(F.col("flight_month") >= month_of(start))
+        if end is not None:
+            rows = rows.filter(F.col("flight_month") <= month_of(end))
+    return rows
+
+
 def carrier_options(carriers: DataFrame, daily: DataFrame, as_of: dt.date) -> DataFrame:
     """Carriers with a flight in the last ninety days, by name."""
-    active = daily.filter(F.col("flight_date") >= F.lit(as_of - dt.timedelta(days=ACTIVE_DAYS)))
+    active = _days(daily, "flight_date", as_of - dt.timedelta(days=ACTIVE_DAYS))
     return (
         carriers.join(active.select("carrier_key"), "carrier_key", "left_semi")
         .select("carrier_key", "carrier_name").orderBy("carrier_name", "carrier_key")
@@ -30,7 +43,7 @@ def otp_overview(
     daily: DataFrame, carriers: DataFrame, start: dt.date, end: dt.date,
     only: Sequence[str] | None = None,
 ) -> DataFrame:
-    rows = daily.filter(F.col("flight_date").between(F.lit(start), F.lit(end)))
+    rows = _days(daily, "flight_date", start, end)
     if only:
         rows = rows.filter(F.col("carrier_key").isin(*only))
     return rows.join(carriers.select("carrier_key", "carrier_name"), "carrier_key").select(
@@ -52,9 +65,7 @@ def top_delay_routes(
 ) -> DataFrame:
     """Routes with the highest mean arrival delay; cancelled flights do not count."""
     delay = F.col("arr_delay_min")
-    flown = fact.filter(
-        F.col("flight_date_key").between(F.lit(start), F.lit(end)) & ~F.col("cancelled_flag")
-    )
+    flown = _days(fact, "flight_date_key", start, end).filter(~F.col("cancelled_flag"))
     return (
         flown.groupBy(F.col("origin_airport_key").alias("origin_iata"),
                       F.col("dest_airport_key").alias("dest_iata"))
@@ -74,7 +85,7 @@ def top_delay_routes(
 def recent_flights(fact: DataFrame, day: dt.date, carrier: str, limit: int = RECENT_FLIGHTS) -> DataFrame:
     """Flights of one carrier on one day in departure order."""
     return (
-        fact.filter((F.col("flight_date_key") == F.lit(day)) & (F.col("carrier_key") == carrier))
+        _days(fact, "flight_date_key", day, day).filter(F.col("carrier_key") == carrier)
         .orderBy("scheduled_dep_ts", "flight_event_sk").limit(limit)
         .select(
             F.col("flight_date_key").alias("flight_date"), "carrier_key", "flight_number",
@@ -96,6 +107,6 @@ def kpi_summary(daily: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
         "on_time_pct": F.avg("on_time_pct"),
         "total_delay_min": F.sum(F.coalesce("total_delay_min", F.lit(0))),
     }
-    return daily.filter(F.col("flight_date").between(F.lit(start), F.lit(end))).agg(*[
+    return _days(daily, "flight_date", start, end).agg(*[
         F.coalesce(value.cast("double"), F.lit(0.0)).alias(name) for name, value in measures.items()
     ])

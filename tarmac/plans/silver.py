@@ -12,7 +12,7 @@ from tarmac import files
 from tarmac.functions.values import month_number
 from tarmac.operators.dedupe import keep_latest, latest_aircraft, latest_sightings, sightings
 from tarmac.operators.landings import REPORT_COLUMNS, day_tails, landing_events, reports_from
-from tarmac.operators.tables import full_refresh, upsert
+from tarmac.operators.tables import full_refresh, settle, upsert
 from tarmac.operators.windows import since_last_load, window_start
 from tarmac.plans.flights import mapped_callsigns, reconcile_staged
 from tarmac.schemas import SILVER_FLIGHT_COLUMNS, SILVER_STATE_COLUMNS
@@ -78,20 +78,34 @@ class StateTables:
         return cls(f"{root}/silver_aircraft_state", f"{root}/aircraft_day_tail", f"{root}/aircraft_sighting")
 
 
-def load_silver_states(
-    spark: SparkSession, path: str, states: DataFrame, run_ts: dt.datetime,
-    backfill: tuple[dt.date, dt.date] | None = None,
-) -> list[str]:
-    """Merge new states into the table partitioned by the day of ``event_ts``.
+def recent_states(
+    spark: SparkSession, path: str, states: DataFrame, backfill: tuple[dt.date, dt.date] | None = None,
+) -> DataFrame:
+    """The staged reports a load has to look at; the bounds are fixed now.
 
     Bronze folders go by ingest day, which is never before the event; one day of slack
-    covers clocks that disagree. Returns the days that were rewritten.
+    covers clocks that disagree. A backfill ends as many days late as reports may be.
     """
-    recent = since_last_load(
+    return since_last_load(
         spark, states, path, "event_ts", "event_day", STATES_LATE_DAYS, backfill,
         folder=("event_date", lambda day: day - dt.timedelta(days=1))
         if "event_date" in states.columns else None,
+        folder_end=lambda day: day + dt.timedelta(days=STATES_LATE_DAYS + 1),
     )
+
+
+def load_silver_states(
+    spark: SparkSession, path: str, states: DataFrame, run_ts: dt.datetime,
+    backfill: tuple[dt.date, dt.date] | None = None,
+) -> list[str]:
+    """Merge new states into the table partitioned by the day of ``event_ts``.
+
+    Returns the days that were rewritten.
+    """
+    return _merge_states(spark, path, recent_states(spark, path, states, backfill), run_ts)
+
+
+def _merge_states(spark: SparkSession, path: str, recent: DataFrame, run_ts: dt.datetime) -> list[str]:
     rows = silver_aircraft_state(recent, run_ts).withColumn("event_day", F.to_date("event_ts"))
     return upsert(spark, path, rows, STATE_KEY, "event_day", sort_by=["icao24", "event_ts"])
 
@@ -100,23 +114,35 @@ def load_states(
     spark: SparkSession, tables: StateTables, states: DataFrame, run_ts: dt.datetime,
     backfill: tuple[dt.date, dt.date] | None = None, map_icao: DataFrame | None = None,
 ) -> list[str]:
-    """Merge new states and bring the two tables derived from them up to date."""
-    days = load_silver_states(spark, tables.states, states, run_ts, backfill)
+    """Merge new states and bring the two tables derived from them up to date.
+
+    Sightings come from all staged reports of the load, as in the plan, also from copies that
+    the silver states replace; the last of old and new ones is kept. They go first: if the
+    run dies, the next sees the same reports again and nothing is missed.
+    """
+    for path in (tables.states, tables.tails, tables.sightings):
+        settle(spark, path)
+    recent = recent_states(spark, tables.states, states, backfill)
+    seen = sightings(mapped_callsigns(recent, map_icao))
+    if files.holds_data(spark, tables.sightings):
+        seen = seen.unionByName(spark.read.parquet(tables.sightings))
+    full_refresh(spark, tables.sightings, latest_sightings(seen))
+    days = _merge_states(spark, tables.states, recent, run_ts)
     if days:
         touched = spark.read.option("basePath", tables.states).parquet(
             *[f"{tables.states}/event_day={d}" for d in days])
         day_tails(touched).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("event_day").parquet(tables.tails)
-        seen = sightings(mapped_callsigns(touched, map_icao))
-        if files.holds_data(spark, tables.sightings):
-            seen = seen.unionByName(spark.read.parquet(tables.sightings))
-        full_refresh(spark, tables.sightings, latest_sightings(seen))
     return days
 
 
-def landings_from(spark: SparkSession, tables: StateTables, start: dt.date | None) -> DataFrame:
-    """Landings from a day on, or all of them, out of the silver states."""
+def landings_from(
+    spark: SparkSession, tables: StateTables, start: dt.date | None, end: dt.date | None = None,
+) -> DataFrame:
+    """Landings from a day on and up to another, or all of them, out of the silver states."""
     states = spark.read.parquet(tables.states)
+    if end is not None:
+        states = states.filter(F.col("event_day") <= F.lit(end))
     if start is None:
         return landing_events(states, passed_on=())
     reports = reports_from(states, spark.read.parquet(tables.tails), start)
@@ -136,10 +162,12 @@ def load_silver_flights(
     window = (path, "flight_date", "flight_month", FLIGHTS_LATE_DAYS, backfill)
     recent = since_last_load(
         spark, flights, path, "flight_date", "flight_month", FLIGHTS_LATE_DAYS, backfill,
-        folder=("flight_date_partition", lambda day: day.replace(day=1)),
+        folder=("flight_date_partition", lambda day: day.replace(day=1)), folder_end=lambda day: day.replace(day=1),
     )
     start = window_start(spark, *window)
-    landings = landings_from(spark, tables, start and start - dt.timedelta(days=2))
+    margin = dt.timedelta(days=2)
+    end = backfill[1] + margin if backfill and all(backfill) else None
+    landings = landings_from(spark, tables, start and start - margin, end)
     aircraft = spark.read.parquet(tables.sightings).drop("event_ts")
     events = reconcile_staged(
         recent, unique_flights(recent), airports, aircraft, landings, **options)

@@ -196,8 +196,11 @@ def q_usage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_alerts_page(spark: SparkSession, d: str) -> DataFrame:
-    cursor = dt.datetime(2024, 1, 15)
-    page = m.alerts_after(alerts(spark, d), cursor)
+    """Two pages of alerts that come in bursts: the first ends inside one."""
+    bursts = alerts(spark, d).withColumn("detected_at", F.date_trunc("hour", "detected_at"))
+    first = m.alerts_after(bursts, dt.datetime(2024, 1, 15))
+    after = m.next_cursor(first, dt.datetime(2024, 1, 15)).first()
+    page = first.unionByName(m.alerts_after(bursts, after.cursor, after.cursor_id))
     return page.withColumn("severity", m.alert_severity()).drop("alert_description", "tags")
 
 
@@ -335,8 +338,9 @@ ORACLES = {
         "select event_type as warehouse_name, round(sum(value), 4) as credits from events "
         "where ts > timestamp '2024-01-30 12:00:00' - interval 75 minute group by 1",
     "alerts_after_cursor": sql(
-        f"select alert_id, detected_at, alert_class, model_unique_id, test_name, status, {_SEVERITY} as severity from alerts "
-        "where detected_at > timestamp '2024-01-15' order by detected_at, alert_id limit 100"),
+        "select * from (select alert_id, date_trunc('hour', detected_at) as detected_at, alert_class, model_unique_id, "
+        f"test_name, status, {_SEVERITY} as severity from alerts) "
+        "where detected_at > timestamp '2024-01-15' order by detected_at, alert_id limit 200"),
     "alert_severity": sql(f"select alert_id, {_SEVERITY} as severity from alerts"),
     "materialization_rate":
         "select case when event_type in ('view', 'click', 'signup') then 'silver_aircraft_state' else 'fct_flight_event' end "

@@ -144,8 +144,7 @@ def q_coerce(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_events_to_json(spark: SparkSession, d: str) -> DataFrame:
-    events = standins.state_events(standins.states_raw(spark, d))
-    return payload.events_to_json(events.select("icao24", "callsign", "event_ts", "on_ground", "velocity"))
+    return payload.events_to_json(standins.state_events(standins.states_raw(spark, d)))
 
 
 # --- landing ---------------------------------------------------------------------------
@@ -169,8 +168,7 @@ def zipped(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_expand_archives(spark: SparkSession, d: str) -> DataFrame:
-    names = [c for c in FLIGHTS_RAW_COLUMNS if c not in ("deptime", "arrtime", "depdelay", "arrdelay")]
-    return archives.records_to_columns(archives.expand_archives(zipped(spark, d)), names)
+    return archives.expand_archives(zipped(spark, d), FLIGHTS_RAW_COLUMNS).select(*FLIGHTS_RAW_COLUMNS)
 
 
 def q_idempotent_ingest(spark: SparkSession, d: str) -> DataFrame:
@@ -401,7 +399,8 @@ ORACLES = {
         "timestamp '1970-01-01 00:00:00' + to_seconds(event_ts) as timestamp from states_raw"),
     "expand_archives": sql(
         "select flightdate, reporting_airline, flight_number_reporting_airline, tail_number, origin, dest, "
-        "crsdeptime, crsarrtime, cancelled, cancellationcode, diverted, distance from flights_raw"),
+        "crsdeptime, deptime, depdelay, crsarrtime, arrtime, arrdelay, cancelled, cancellationcode, diverted, distance "
+        "from flights_raw"),
     "missing_partitions":
         "select cast(m as date) as partition from (select unnest(generate_series(timestamp '1994-01-01', "
         "timestamp '2002-02-01', interval 1 month)) as m) where cast(m as date) not in "

@@ -11,6 +11,7 @@ from tarmac import standins
 from tarmac.operators import delay_model
 from tarmac.operators.staging import stg_states
 from tarmac.operators.tables import read_table
+from tarmac.plans.silver import StateTables
 from tarmac.registry import frames
 from tarmac.registry.core import requests_by_id
 from tarmac.registry.oracle import sql
@@ -88,7 +89,7 @@ def q_windows(spark: SparkSession, d: str) -> DataFrame:
 
 def q_refresh(spark: SparkSession, d: str) -> DataFrame:
     """Three refreshes of the silver states; the second finds nothing new, the third a late file."""
-    landed, silver = scratch_path(spark, "landed"), scratch_path(spark, "silver-states")
+    landed, silver = scratch_path(spark, "landed"), StateTables.below(scratch_path(spark, "silver"))
     checkpoint = scratch_path(spark, "refresh-checkpoint")
     raw = standins.states_raw(spark, d)
     schema = raw.schema
@@ -103,7 +104,7 @@ def q_refresh(spark: SparkSession, d: str) -> DataFrame:
     refresh(2)
     raw.filter(~early).write.mode("append").parquet(landed)
     refresh(3)
-    return read_table(spark, silver)
+    return read_table(spark, silver.states)
 
 
 # --- delay model -----------------------------------------------------------------------

@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac import files
@@ -20,7 +20,13 @@ from tarmac.schemas import MANIFEST
 FIRST_MONTH = dt.date(2009, 1, 1)
 _RECORDS_PER_BATCH = 20_000
 
-RECORDS = "path string, partition date, member string, header array<string>, fields array<string>"
+
+class MissingMember(ValueError):
+    """Archives without a CSV member; ``paths`` names them."""
+
+    def __init__(self, paths: Sequence[str]) -> None:
+        super().__init__(f"no CSV member in {', '.join(paths)}")
+        self.paths = list(paths)
 
 
 def target_month(as_of: dt.date) -> dt.date:
@@ -54,45 +60,58 @@ def _csv_member(archive: zipfile.ZipFile) -> str | None:
     return next((n for n in archive.namelist() if n.lower().endswith(".csv")), None)
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for path, partition, content in zip(batch["path"], batch["partition"], batch["content"]):
+        found = []
+        for content in batch["content"]:
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                member = _csv_member(archive)
-                if member is None:
-                    continue
-                with archive.open(member) as raw:
-                    records = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
-                    header = next(records, [])
-                    while fields := list(islice(records, _RECORDS_PER_BATCH)):
-                        n = len(fields)
-                        yield pd.DataFrame({
-                            "path": [path] * n, "partition": [partition] * n,
-                            "member": [member] * n, "header": [header] * n, "fields": fields,
-                        })
-
-
-def expand_archives(archives: DataFrame) -> DataFrame:
-    """Records of the first CSV member of each archive, with that file's header.
+                found.append(_csv_member(archive))
+        yield batch.drop(columns=["content"]).assign(member=found)
 
-    Archives (path, partition, content) are unpacked in parallel, one row each; a member
-    is decompressed as a stream and leaves the task in batches, so its size does not
-    matter.
-    """
-    return archives.select("path", "partition", "content").mapInPandas(_unpack, RECORDS)
 
+def csv_members(archives: DataFrame) -> DataFrame:
+    """(path, partition, sha256, content_length, member) from the archives' directories; no data is unpacked.
 
-def field(name: str) -> Column:
-    """A record's value under a header name in any letter case; NULL if there is none."""
-    names = F.transform("header", lambda h: F.lower(F.trim(h)))
-    at = F.array_position(names, name.lower()).cast("int")
-    return F.when(at > 0, F.get("fields", at - 1))
+    ``member`` is the first CSV member and NULL for an archive that has none.
+    """
+    return archives.select(
+        "path", F.col("partition").cast("date").alias("partition"), F.sha2("content", 256).alias("sha256"),
+        F.octet_length("content").cast("bigint").alias("content_length"), "content",
+    ).mapInPandas(_members, "path string, partition date, sha256 string, content_length bigint, member string")
 
 
-def records_to_columns(
-    records: DataFrame, names: Sequence[str], *keep: str | Column
-) -> DataFrame:
-    return records.select(*keep, *[field(n).alias(n.lower()) for n in names])
+def expand_archives(archives: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Records of the first CSV member of each archive: the wanted columns, as text.
+
+    Archives (path, partition, content) are unpacked in parallel, one row each; a member
+    is decompressed as a stream and leaves the task in batches, so its size does not
+    matter. Columns are found by the header, in any letter case, once per archive; one that
+    the archive lacks is NULL. An archive without a CSV member has no records.
+    """
+    wanted = [n.lower() for n in names]
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, partition, content in zip(batch["path"], batch["partition"], batch["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    member = _csv_member(archive)
+                    if member is None:
+                        continue
+                    with archive.open(member) as raw:
+                        records = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
+                        header = [h.strip().lower() for h in next(records, [])]
+                        places = [header.index(n) if n in header else None for n in wanted]
+                        while rows := list(islice(records, _RECORDS_PER_BATCH)):
+                            yield pd.DataFrame({
+                                "path": path, "partition": partition, "member": member,
+                                **{f"c{i}": pd.Series(
+                                    [r[at] if at is not None and at < len(r) else None for r in rows], dtype=object)
+                                   for i, at in enumerate(places)}})
+
+    fields = "".join(f", c{i} string" for i in range(len(wanted)))
+    found = archives.select("path", "partition", "content").mapInPandas(
+        unpack, f"path string, partition date, member string{fields}")
+    return found.select("path", "partition", "member", *[F.col(f"c{i}").alias(n) for i, n in enumerate(wanted)])
 
 
 def latest_manifest(manifest: DataFrame) -> DataFrame:
@@ -127,19 +146,21 @@ def ingest_archives(
 
     An archive's rows are replaced as a whole and the manifest is written last: a run
     that dies in between is repeated without leaving rows twice. Returns the manifest
-    rows of this run.
+    rows of this run. An archive without a CSV member is not noted, so it comes again with
+    the next run; once the others have landed it is reported as an error.
     """
-    fresh = new_archives(incoming, read_manifest(spark, manifest_path), force)
     # One short row per archive: the months of a run, not their data.
-    chosen = fresh.select(
-        "path", F.col("partition").cast("date"), "sha256",
-        F.octet_length("content").cast("bigint").alias("content_length"),
-    ).collect()
+    chosen = csv_members(new_archives(incoming, read_manifest(spark, manifest_path), force)).collect()
+    broken = sorted(r.path for r in chosen if r.member is None)
+    chosen = [r for r in chosen if r.member is not None]
     if not chosen:
+        if broken:
+            raise MissingMember(broken)
         return spark.createDataFrame([], MANIFEST)
-    records = expand_archives(incoming.filter(F.col("path").isin(*[r.path for r in chosen])))
-    rows = records_to_columns(
-        records, columns, "path", "member", F.col("partition").alias("ds"), F.md5("path").alias("archive"))
+    wanted = spark.createDataFrame(
+        chosen, "path string, partition date, sha256 string, content_length bigint, member string")
+    records = expand_archives(incoming.join(wanted.select("path"), "path", "left_semi"), columns)
+    rows = records.withColumnRenamed("partition", "ds").withColumn("archive", F.md5("path"))
     (
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("ds", "archive").parquet(landing)
@@ -147,17 +168,16 @@ def ingest_archives(
     # What was landed is counted from the landed partitions, not by unpacking again.
     landed = (
         spark.read.parquet(landing).filter(F.col("ds").isin(*[r.partition for r in chosen]))
-        .groupBy("path").agg(
-            F.min("member").alias("member_filename"), F.count(F.lit(1)).alias("row_count_estimate"))
+        .groupBy("path").agg(F.count(F.lit(1)).alias("row_count_estimate"))
     )
-    wanted = spark.createDataFrame(
-        chosen, "path string, partition date, sha256 string, content_length bigint")
     notes = wanted.join(landed, "path", "left").select(
         F.col("path").alias("source_url"), F.lit(run_ts).cast("timestamp").alias("downloaded_at"),
-        "content_length", "sha256", "member_filename",
+        "content_length", "sha256", F.col("member").alias("member_filename"),
         F.coalesce("row_count_estimate", F.lit(0).cast("bigint")).alias("row_count_estimate"),
         "partition",
     )
     done = spark.createDataFrame(notes.collect(), MANIFEST)
     done.coalesce(1).write.mode("append").parquet(manifest_path)
+    if broken:
+        raise MissingMember(broken)
     return done

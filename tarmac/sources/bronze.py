@@ -24,21 +24,24 @@ def _all_strings(columns: list[str]) -> T.StructType:
 def read_csv_bronze(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
     """CSV files below ``ds=`` folders, every column a string, plus their load time.
 
-    Files of different months may have other columns, or the same in another order, and
-    Spark reads CSV by position. So each folder's header is looked up first (the first
-    line of one file; folders are months) and folders with equal headers are read together.
+    Files may have other columns, or the same in another order, also within a month, and
+    Spark reads CSV by position. So the header of each file is looked up first (its first
+    line; files are months or parts of them) and files with equal headers are read together.
     """
     found = dates if dates is not None else files.partition_values(spark, path, "ds")
-    folders = [f"{path}/ds={d}" for d in found]
+    paths = [
+        f"{path}/ds={d}/{name}" for d in found for name in files.names(spark, f"{path}/ds={d}")
+        if not name.startswith(("_", "."))
+    ]
 
-    def header(folder: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(folder).columns)
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).csv(file).columns)
 
     with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = list(pool.map(header, folders))
+        headers = list(pool.map(header, paths))
     alike: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for folder, columns in zip(folders, headers):
-        alike[columns].append(folder)
+    for file, columns in zip(paths, headers, strict=True):
+        alike[columns].append(file)
     parts = [
         spark.read.schema(_all_strings(list(columns))).option("header", True)
         .option("basePath", path).csv(group)
@@ -67,16 +70,20 @@ def _read_reference(
     ]
     if not days:
         raise FileNotFoundError(f"no {file_name} below {path}")
-    return spark.read.schema(schema).csv(f"{path}/ds={days[-1]}/{file_name}")
+    file = f"{path}/ds={days[-1]}/{file_name}"
+    first = spark.read.text(file).first()
+    # Every record starts with a number; a first line that does not is a header.
+    headed = first is not None and not first.value.split(",")[0].strip(' "\ufeff').lstrip("-").isdigit()
+    return spark.read.schema(schema).option("header", headed).option("enforceSchema", True).csv(file)
 
 
 def read_airports(spark: SparkSession, path: str, as_of: dt.date | None = None) -> DataFrame:
-    """The newest airport list (headerless; columns are named here)."""
+    """The newest airport list, with or without a header line (columns are named here)."""
     return _read_reference(spark, path, "airports.csv", AIRPORTS_RAW, as_of)
 
 
 def read_airlines(spark: SparkSession, path: str, as_of: dt.date | None = None) -> DataFrame:
-    """The newest airline list (headerless; columns are named here)."""
+    """The newest airline list, with or without a header line (columns are named here)."""
     return _read_reference(spark, path, "airlines.csv", AIRLINES_RAW, as_of)
 
 

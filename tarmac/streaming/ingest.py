@@ -9,21 +9,25 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tarmac.sources.payload import accepted, dead_letters, parse_messages
 
-# A roll is due after a minute or five thousand messages.
+# A file is closed after a minute or five thousand messages.
 ROLL_INTERVAL = "60 seconds"
-MAX_BATCH = 5000
+ROLL_ROWS = 5000
 
 
-def message_stream(spark: SparkSession, servers: str, topic: str, max_batch: int = MAX_BATCH) -> DataFrame:
+def message_stream(spark: SparkSession, servers: str, topic: str, max_batch: int | None = None) -> DataFrame:
     """Messages of a Kafka topic from its beginning (needs the Kafka connector).
 
     Offsets live in the checkpoint of the query that reads the stream; they advance
-    only after its batch has been written.
+    only after its batch has been written. Intake is not limited unless ``max_batch`` is
+    given; how large files get is the sink's concern.
     """
-    return (
+    reader = (
         spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic).option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_batch).load()
+        .option("subscribe", topic).option("startingOffsets", "earliest"))
+    if max_batch is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_batch)
+    return (
+        reader.load()
         .select(F.col("key").cast("string"), F.col("value").cast("string"), "timestamp")
     )
 
@@ -59,14 +63,16 @@ def _count_metrics(
 
 
 def roll_to_bronze(
-    messages: DataFrame, bronze: str, dead_letter: str, metrics: str, checkpoint: str
+    messages: DataFrame, bronze: str, dead_letter: str, metrics: str, checkpoint: str,
+    interval: str = ROLL_INTERVAL, rows_per_file: int = ROLL_ROWS,
 ) -> DataStreamWriter:
     """Write messages (key, value) to ``ds=/hr=`` folders, rejected ones to the dead letters.
 
     Folders go by ingest time, which is the start of the micro-batch and is kept in the
     checkpoint. A batch that is replayed after a failure therefore overwrites exactly
     the files it had written: no row is lost, none is written twice. A failed write is
-    counted and fails the batch, so its offsets are not committed.
+    counted and fails the batch, so its offsets are not committed. Batches start every
+    ``interval`` and take all that has arrived; files end at ``rows_per_file``.
     """
     parsed = parse_messages(messages).withColumn("ingest_ts", F.current_timestamp())
 
@@ -87,10 +93,10 @@ def roll_to_bronze(
             ):
                 (
                     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .option("compression", "zstd").partitionBy(*folders).parquet(path)
+                    .option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy(*folders).parquet(path)
                 )
         except Exception:
-            _count_metrics(spark, batch_id, {"FlushError": 1}, metrics, "consumer")
+            _count_metrics(spark, batch_id, {"FlushError": 1, "ConsumerError": 1}, metrics, "consumer")
             raise
         finally:
             batch.unpersist()
@@ -98,7 +104,9 @@ def roll_to_bronze(
             "RowsFlushed": flushed.get["rows"], "MessagesDLQ": rejected.get["rows"],
         }, metrics, "consumer")
 
-    return parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (
+        parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(processingTime=interval))
 
 
 def publish(
@@ -110,10 +118,18 @@ def publish(
     """
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        sent = Observation()
-        counted = batch.observe(sent, F.count(F.lit(1)).alias("rows"))
-        counted.write.format(fmt).options(**options).mode("append").save()
-        _count_metrics(
-            batch.sparkSession, batch_id, {"MessagesPublished": sent.get["rows"]}, metrics, "producer")
+        # A message without a key has no partition to go to and is dropped, but counted.
+        keyed, offered, sent = F.col("key").isNotNull(), Observation(), Observation()
+        counted = batch.observe(offered, F.count(F.lit(1)).alias("rows")).filter(keyed).observe(
+            sent, F.count(F.lit(1)).alias("rows"))
+        try:
+            counted.write.format(fmt).options(**options).mode("append").save()
+        except Exception:
+            _count_metrics(batch.sparkSession, batch_id, {"MessagesFailed": batch.count()}, metrics, "producer")
+            raise
+        counts = {"MessagesPublished": sent.get["rows"]}
+        if dropped := offered.get["rows"] - sent.get["rows"]:
+            counts["MessagesDropped"] = dropped
+        _count_metrics(batch.sparkSession, batch_id, counts, metrics, "producer")
 
     return events_json.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tarmac.functions.keys import row_hash
 from tarmac.operators.landings import MIN_APPROACH_MPS, REPORT_COLUMNS
 from tarmac.operators.monitoring import metric_windows
-from tarmac.plans.silver import STATE_KEY, load_silver_states
+from tarmac.plans.silver import STATE_KEY, StateTables, load_states
 
 # Fixed value: how late a report may come.
 LATE = "2 days"
@@ -137,16 +137,20 @@ def landings_stream(states: DataFrame, late: str = LATE) -> DataFrame:
 
 
 def merge_stream(
-    states: DataFrame, silver: str, checkpoint: str, run_ts: dt.datetime
+    states: DataFrame, tables: StateTables, checkpoint: str, run_ts: dt.datetime,
+    map_icao: DataFrame | None = None,
 ) -> DataStreamWriter:
-    """Merge each micro-batch into the silver table, the latest load of a report winning.
+    """Merge each micro-batch into the silver states, the latest load of a report winning.
+
+    The day tails and sightings follow, so flights can be loaded after any batch.
 
     Replays change nothing. The two-day window of the batch merge applies here too,
     measured against what the table already holds.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        load_silver_states(batch.sparkSession, silver, batch, run_ts)
+        load_states(batch.sparkSession, tables, batch.persist(), run_ts, map_icao=map_icao)
+        batch.unpersist()
 
     return states.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 

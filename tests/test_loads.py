@@ -7,10 +7,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tarmac import standins
+from tarmac.operators.dedupe import latest_aircraft
 from tarmac.operators.landings import landing_events
 from tarmac.operators.tables import read_table
-from tarmac.operators.windows import since_last_load
-from tarmac.plans import gold, silver
+from tarmac.operators.windows import month_of, since_last_load
+from tarmac.plans import gold, serving, silver
+from tarmac.plans.flights import mapped_callsigns
 from tarmac.registry import frames
 from tarmac.schemas import SILVER_FLIGHT_COLUMNS
 
@@ -39,6 +41,49 @@ def test_states_then_flights_in_steps(spark, tmp_path, staged):
     assert whole.filter("live_actual_arr_ts is not null").count() > 0
 
 
+def test_sightings_see_what_copies_replace(spark, tmp_path, staged):
+    """A report sent again without its callsign, or with another, has still been seen under the first."""
+    _, _, states = staged
+    tables = silver.StateTables.below(str(tmp_path))
+    day = F.col("event_ts") < F.lit(dt.date(2024, 1, 5))
+    first = states.filter(day)
+    later = F.col("bronze_loaded_at") + F.expr("interval 1 hour")
+    again = first.withColumn("bronze_loaded_at", later).withColumn(
+        "callsign", F.when(F.crc32(F.col("icao24").cast("binary")) % 2 == 0, "UAL9"))
+    for part in (first, first.unionByName(again)):
+        silver.load_states(spark, tables, part, RUN)
+    plan = latest_aircraft(mapped_callsigns(first.unionByName(again), None))
+    assert rows(spark.read.parquet(tables.sightings).drop("event_ts")) == rows(plan)
+
+
+def test_loads_and_serving_read_only_their_months(spark, tmp_path):
+    path, target = str(tmp_path / "fact"), str(tmp_path / "daily")
+    days = spark.sql("select explode(sequence(date'2023-11-01', date'2024-03-31')) as flight_date_key").withColumns({
+        "flight_month": F.year("flight_date_key") * 100 + F.month("flight_date_key"), "carrier_key": F.lit("AA"),
+        "origin_airport_key": F.lit("A"), "dest_airport_key": F.lit("B"), "arr_delay_min": F.lit(1),
+        "cancelled_flag": F.lit(False)})
+    days.write.partitionBy("flight_month").parquet(path)
+    fact = spark.read.parquet(path)
+
+    def months(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.split(chr(10)) if "PartitionFilters" in line and "flight_month" in line.split("PartitionFilters")[1]]
+
+    assert months(serving.top_delay_routes(fact, dt.date(2024, 1, 5), dt.date(2024, 2, 3)))
+    gold.load_daily(spark, target, fact, RUN)
+    late = since_last_load(
+        spark, fact, target, "flight_date_key", "flight_month", 35, target_column="flight_date",
+        folder=("flight_month", month_of), folder_end=month_of)
+    assert months(late) and {f.split("flight_month=")[1][:6] for f in late.inputFiles()} >= {"202402", "202403"}
+    backfill = since_last_load(
+        spark, fact, target, "flight_date_key", "flight_month", 35, (dt.date(2023, 12, 1), dt.date(2023, 12, 9)),
+        target_column="flight_date", folder=("flight_month", month_of), folder_end=month_of)
+    assert months(backfill) and backfill.count() == 9
+    daily = spark.read.parquet(target)
+    assert months(serving.kpi_summary(daily, dt.date(2024, 1, 5), dt.date(2024, 1, 6)))
+    assert daily.count() == days.count()
+
+
 def test_landings_from_a_day_see_reports_before_it(spark, tmp_path, staged):
     _, _, states = staged
     tables = silver.StateTables.below(str(tmp_path))

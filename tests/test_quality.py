@@ -152,8 +152,11 @@ def test_lag_usage_alerts(spark):
         ("1", "critical"), ("2", "warning"), ("3", "warning"), ("4", "critical"), ("5", "warning")]
     page = m.alerts_after(alerts, NOW, limit=2)
     assert [r.alert_id for r in page.collect()] == ["2", "3"]
-    assert m.next_cursor(page, NOW).first()[0] == NOW + H
-    assert m.next_cursor(m.alerts_after(alerts, NOW + 9 * H), NOW).first()[0] == NOW
+    assert tuple(m.next_cursor(page, NOW).first()) == (NOW + H, "3")
+    assert tuple(m.next_cursor(m.alerts_after(alerts, NOW + 9 * H), NOW).first()) == (NOW, None)
+    # A page that ends between alerts of one time: the next goes on inside it.
+    one = m.next_cursor(m.alerts_after(alerts, NOW, limit=1), NOW).first()
+    assert [r.alert_id for r in m.alerts_after(alerts, one.cursor, one.cursor_id).collect()] == ["3", "4", "5"]
 
 
 def test_materialization_rate(spark):

@@ -19,6 +19,24 @@ def write(path, text):
     path.write_text(text)
 
 
+def test_csv_headers_may_differ_within_a_month(spark, tmp_path):
+    folder = tmp_path / "ds=2024-01-01"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("Origin,Dest\nJFK,LAX\n")
+    (folder / "b.csv").write_text("Dest,Origin,More\nSFO,BOS,x\n")
+    got = bronze.read_csv_bronze(spark, str(tmp_path))
+    assert rows(got, "Origin", "Dest", "More") == [("BOS", "SFO", "x"), ("JFK", "LAX", None)]
+
+
+def test_reference_lists_with_a_header(spark, tmp_path):
+    folder = tmp_path / "ds=2024-01-01"
+    folder.mkdir(parents=True)
+    (folder / "airlines.csv").write_text('airline_id,name,alias,iata,icao,callsign,country,active\n1,"A, B",,AB,,,,Y\n')
+    assert bronze.read_airlines(spark, str(tmp_path)).count() == 1
+    (folder / "airlines.csv").write_text('1,"A, B",,AB,,,,Y\n-1,U,,,,,,N\n')
+    assert bronze.read_airlines(spark, str(tmp_path)).count() == 2
+
+
 def test_csv_headers_may_differ_between_months(spark, tmp_path):
     write(tmp_path / "ds=2024-01-01" / "raw.csv",
           "FlightDate,Reporting_Airline,Flight_Number_Reporting_Airline,DivAirportLandings\n2024-01-05,AA,1,1.00\n")
@@ -69,10 +87,17 @@ def test_ingest_is_idempotent_and_notices_changes(spark, tmp_path):
             spark, archives.read_archives(spark, str(src)), landing, manifest,
             FLIGHTS_RAW_COLUMNS, RUN + dt.timedelta(hours=hour), force)
 
-    first = {r.partition: r for r in ingest(1).collect()}
+    with pytest.raises(archives.MissingMember) as missing:
+        ingest(0)  # the others have landed and are noted all the same
+    assert [p.rsplit("/", 1)[1] for p in missing.value.paths] == ["c.zip"]
+    first = {r.partition: r for r in archives.read_manifest(spark, manifest).collect()}
+    assert set(first) == {dt.date(2024, 1, 1), dt.date(2024, 2, 1)}
     assert first[dt.date(2024, 1, 1)].row_count_estimate == 2
     assert first[dt.date(2024, 1, 1)].member_filename == "On_Time.CSV"
-    assert first[dt.date(2024, 3, 1)].row_count_estimate == 0
+    with pytest.raises(archives.MissingMember):
+        ingest(1)  # it has not been noted, so it is tried again
+    zip_file(src / "ds=2024-03-01" / "c.zip", "FlightDate,Origin\n")
+    assert [r.row_count_estimate for r in ingest(1).collect()] == [0]
     assert rows(spark.read.parquet(landing), "flightdate", "origin") == [
         ("2024-01-05", "A, B"), ("2024-01-06", "C"), ("2024-02-05", "X")]
     assert ingest(2).count() == 0

@@ -7,10 +7,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tarmac.operators.landings import landing_events
 from tarmac.operators.monitoring import metric_windows
 from tarmac.operators.tables import read_table
-from tarmac.plans.silver import silver_aircraft_state, unique_states
+from tarmac.operators.dedupe import latest_aircraft
+from tarmac.operators.landings import day_tails, landing_events
+from tarmac.plans.flights import mapped_callsigns
+from tarmac.plans.silver import StateTables, silver_aircraft_state, unique_states
 from tarmac.sources.payload import accepted, parse_messages
 from tarmac.streaming import ingest
 from tarmac.streaming import states as st
@@ -143,13 +145,14 @@ def test_failed_flush_is_counted_and_not_committed(spark, tmp_path):
         ingest.available_now(ingest.roll_to_bronze(
             stream, str(tmp_path / "bronze"), str(tmp_path / "blocked" / "dead"), str(tmp_path / "metrics"),
             str(tmp_path / "checkpoint")))
-    assert rows(spark.read.parquet(str(tmp_path / "metrics")), "metric_name", "value") == [("FlushError", 1.0)]
+    assert rows(spark.read.parquet(str(tmp_path / "metrics")), "metric_name", "value") == [
+        ("ConsumerError", 1.0), ("FlushError", 1.0)]
     ingest.available_now(ingest.roll_to_bronze(
         stream, str(tmp_path / "bronze"), str(tmp_path / "dead"), str(tmp_path / "metrics"),
         str(tmp_path / "checkpoint")))
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 1
     assert rows(spark.read.parquet(str(tmp_path / "metrics")), "metric_name", "value") == [
-        ("FlushError", 1.0), ("MessagesDLQ", 1.0), ("RowsFlushed", 1.0)]
+        ("ConsumerError", 1.0), ("FlushError", 1.0), ("MessagesDLQ", 1.0), ("RowsFlushed", 1.0)]
 
 
 def test_publish_counts_messages(spark, tmp_path):
@@ -164,7 +167,7 @@ def test_publish_counts_messages(spark, tmp_path):
 
 
 def test_merge_stream_equals_batch_and_resumes(spark, tmp_path, batches):
-    silver, checkpoint = str(tmp_path / "silver"), str(tmp_path / "checkpoint")
+    silver, checkpoint = StateTables.below(str(tmp_path / "silver")), str(tmp_path / "checkpoint")
     folder = str(tmp_path / "in")
 
     def refresh():
@@ -179,4 +182,8 @@ def test_merge_stream_equals_batch_and_resumes(spark, tmp_path, batches):
     refresh()
     whole = spark.createDataFrame([r for b in batches for r in b], REPORT)
     names = ["icao24", "event_ts", "on_ground", "velocity_mps", "bronze_loaded_at"]
-    assert rows(read_table(spark, silver), *names) == rows(silver_aircraft_state(whole, RUN), *names)
+    assert rows(read_table(spark, silver.states), *names) == rows(silver_aircraft_state(whole, RUN), *names)
+    seen = latest_aircraft(mapped_callsigns(whole, None))
+    assert rows(spark.read.parquet(silver.sightings).drop("event_ts")) == rows(seen)
+    days = day_tails(read_table(spark, silver.states))
+    assert rows(spark.read.parquet(silver.tails), *days.columns) == rows(days)

@@ -46,6 +46,66 @@ def test_upsert_into_nothing_with_empty_source(spark, tmp_path):
     assert not files.exists(spark, path)
 
 
+class Died(Exception):
+    pass
+
+
+def dying(monkeypatch, step):
+    """From now on the ``step``-th folder operation fails, after it has been done for even steps."""
+    done = [0]
+    for name in ("rename", "delete", "make_folder"):
+        def operation(*args, real=getattr(files, name)):
+            done[0] += 1
+            if done[0] == step // 2 + 1:
+                if step % 2:
+                    real(*args)
+                raise Died
+            return real(*args)
+        monkeypatch.setattr(files, name, operation)
+
+
+def test_upsert_that_dies_anywhere_loses_nothing(spark, tmp_path, monkeypatch):
+    before = [(1, D[0], "a"), (2, D[0], "b"), (3, D[1], "c")]
+    source = frame(spark, [(2, D[0], "B"), (3, D[1], "C"), (4, D[2], "d")])
+    after = [(1, D[0], "a"), (2, D[0], "B"), (3, D[1], "C"), (4, D[2], "d")]
+    died = 0
+    for step in range(40):
+        path = str(tmp_path / f"t{step}")
+        tables.upsert(spark, path, frame(spark, before), ["k"], "day")
+        with monkeypatch.context() as patch:
+            dying(patch, step)
+            try:
+                tables.upsert(spark, path, source, ["k"], "day")
+            except Died:
+                died += 1
+        tables.settle(spark, path)
+        assert read(spark, path) in (sorted(before), after)
+        tables.upsert(spark, path, source, ["k"], "day")
+        assert read(spark, path) == after
+        assert not [n for n in files.names(spark, path) if n.startswith("_") and n != "_SUCCESS"]
+        if died <= step:
+            break
+    assert died > 12
+
+
+def test_refresh_that_dies_anywhere_leaves_a_table(spark, tmp_path, monkeypatch):
+    old, new = frame(spark, [(1, D[0], "a")]), frame(spark, [(2, D[1], "b")])
+    for step in range(12):
+        path = str(tmp_path / f"t{step}")
+        tables.full_refresh(spark, path, old)
+        with monkeypatch.context() as patch:
+            dying(patch, step)
+            try:
+                tables.full_refresh(spark, path, new)
+            except Died:
+                pass
+        tables.settle(spark, path)
+        assert rows(spark.read.parquet(path)) in ([(1, D[0], "a")], [(2, D[1], "b")])
+        tables.full_refresh(spark, path, new)
+        assert rows(spark.read.parquet(path)) == [(2, D[1], "b")]
+        assert not [f for f in tmp_path.iterdir() if f.name.startswith(f"t{step}.")]
+
+
 def test_upsert_columns_come_and_go(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.upsert(spark, path, frame(spark, [(1, D[0], "a"), (9, D[1], "q")]), ["k"], "day")
@@ -98,6 +158,15 @@ def test_scd2_unchecked_columns_do_not_open_versions(spark):
     assert rows(table, "lat", "valid_from", "valid_to") == [(1.0, T[0], None)]
 
 
+def test_scd2_columns_come_and_go(spark):
+    table = tables.open_versions(frame(spark, [(1, "a", 1.0)], ATTR), T[0])
+    table = tables.scd2_merge(table, frame(spark, [(1, "a", "x")], "k int, name string, city string"), "k", ["name"], T[1])
+    assert rows(table, "k", "name", "lat", "city", "valid_to") == [(1, "a", 1.0, None, None)]
+    table = tables.scd2_merge(table, frame(spark, [(1, "b", "x")], "k int, name string, city string"), "k", ["name"], T[2])
+    assert rows(table, "name", "lat", "city", "valid_from", "valid_to") == [
+        ("a", 1.0, None, T[0], T[2]), ("b", None, "x", T[2], None)]
+
+
 def test_version_at_bounds(spark):
     versions = frame(spark, [(1, "old", T[1], T[3]), (1, "new", T[3], None)],
                      "k int, name string, valid_from timestamp, valid_to timestamp")

@@ -31,7 +31,8 @@ def test_safe_boolean(spark, text, expected):
 
 @pytest.mark.parametrize("text,expected", [
     ("2024-02-29", dt.date(2024, 2, 29)), ("2024-02-30", None), ("", None), (None, None), ("2024", None),
-    (" 2024-01-05 ", dt.date(2024, 1, 5)),
+    (" 2024-01-05 ", dt.date(2024, 1, 5)), ("2024-1-5", dt.date(2024, 1, 5)), ("2024-01", None),
+    ("2024-01-05 12:30:00", dt.date(2024, 1, 5)), ("2024-01-05T01:00Z", dt.date(2024, 1, 5)), ("2024-01-05x", None),
 ])
 def test_safe_date(spark, text, expected):
     assert one(spark, text, "string", values.safe_date(F.col("c"))) == expected
