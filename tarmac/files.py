@@ -34,6 +34,13 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """Copy one file, whatever file systems the two are on."""
+    fs, p = _fs_and_path(spark, source)
+    other, q = _fs_and_path(spark, target)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, other, q, False, True, spark._jsc.hadoopConfiguration())
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, p = _fs_and_path(spark, path)
     fs.mkdirs(p)

@@ -102,6 +102,7 @@ def alarm_states(
         else F.col("value") > alarm.threshold
     )
     breach = F.coalesce(crossed, F.lit(alarm.missing_breaches))
+    # Without groups one task orders the windows of the span: rows of time, not of data.
     back = Window.partitionBy(*groups or [F.lit(0)]).orderBy("window_start").rowsBetween(
         -(alarm.periods - 1), 0)
     in_row = F.sum(breach.cast("int")).over(back)

@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac import files
 from tarmac.functions.keys import change_marker, flight_surrogate, version_key
 from tarmac.functions.values import month_number
 from tarmac.operators.dedupe import keep_first
-from tarmac.operators.tables import scd2_merge, open_versions, upsert
+from tarmac.operators.tables import full_refresh, open_versions, scd2_merge, settle, upsert, version_at
 from tarmac.operators.windows import month_of, since_last_load
 from tarmac.plans.silver import FLIGHTS_LATE_DAYS
 
@@ -74,6 +75,13 @@ def airport_snapshot(airports: DataFrame, as_of: dt.datetime, table: DataFrame |
     return scd2_merge(table, source, "iata", AIRPORT_CHECK_COLUMNS, as_of)
 
 
+def load_airport_snapshot(spark: SparkSession, path: str, airports: DataFrame, as_of: dt.datetime) -> None:
+    """Bring the stored history of airports up to what a list says as of a time."""
+    settle(spark, path)
+    known = spark.read.parquet(path) if files.holds_data(spark, path) else None
+    full_refresh(spark, path, airport_snapshot(airports, as_of, known))
+
+
 def dim_airport(snapshot: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return snapshot.filter(F.col("iata").isNotNull()).select(
         version_key(F.col("iata"), F.col("valid_from")).alias("airport_sk"),
@@ -174,6 +182,20 @@ def fct_flight_event(silver: DataFrame, airports: DataFrame, run_ts: dt.datetime
     )
 
 
+def fct_flight_event_at(silver: DataFrame, airports: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """The fact with the airport versions valid on the day of the flight instead of the current ones.
+
+    Versions go by days: one is valid from its first day up to, not including, its last.
+    """
+    fact = fct_flight_event(silver, airports, run_ts)
+    versions = airports.select("airport_key", "airport_sk", "valid_from", "valid_to")
+    for end in ("origin", "dest"):
+        names = {f"dim_{c}" for c in versions.columns}
+        found = version_at(fact, versions, f"{end}_airport_key", "airport_key", "flight_date_key")
+        fact = found.withColumn(f"{end}_airport_sk", F.col("dim_airport_sk")).drop(*names)
+    return fact
+
+
 def agg_carrier_otp_daily(fact: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Daily punctuality per carrier.
 

@@ -81,7 +81,7 @@ def _live_fact(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_expression(spark: SparkSession, d: str) -> DataFrame:
-    return _live_fact(spark, d).filter(q.untrue(q.delay_matches_times()) | q.untrue(q.cancelled_never_departed())).select(
+    return _live_fact(spark, d).filter(q.violated(q.delay_matches_times()) | q.violated(q.cancelled_never_departed())).select(
         "flight_event_sk", "arr_delay_min", "cancelled_flag")
 
 
@@ -281,10 +281,9 @@ ORACLES = {
     "dq_accepted_values": sql(
         "select flight_event_sk, reconciliation_status from fact where reconciliation_status not in ('bts_only', 'matched')"),
     "dq_expression": sql(
-        "select flight_event_sk, arr_delay_min, cancelled_flag from fact where not coalesce(arr_delay_min is null "
+        "select flight_event_sk, arr_delay_min, cancelled_flag from fact where not (arr_delay_min is null "
         "or cancelled_flag or arr_delay_min = date_diff('minute', scheduled_arr_ts, "
-        "coalesce(live_actual_arr_ts, actual_arr_ts)), false) "
-        "or not coalesce(not cancelled_flag or actual_dep_ts is null, false)"),
+        "coalesce(live_actual_arr_ts, actual_arr_ts))) or not (not cancelled_flag or actual_dep_ts is null)"),
     "dq_recency": "select max(ts) as latest, max(ts) < timestamp '2024-02-01 02:00:00' - interval 25 hour as stale from events",
     "dq_source_freshness": sql(
         "select table_name, latest, lag_seconds, case when lag_seconds > error then 'error' when lag_seconds > warn "

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac import standins
+from tarmac import files, standins
 from tarmac.operators import tables
 from tarmac.operators.drift import append_drift, drift_rows, read_drift_log, schema_drift
 from tarmac.operators.windows import late_arrival, since_last_load
@@ -149,22 +149,20 @@ def q_events_to_json(spark: SparkSession, d: str) -> DataFrame:
 
 # --- landing ---------------------------------------------------------------------------
 
-def _zip_batches(batches):
-    """One archive per Arrow batch, as a publisher would hand them over."""
-    for i, batch in enumerate(batches):
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("readme.html", "<html></html>")
-            z.writestr("On_Time.csv", batch.drop(columns=["part"]).to_csv(index=False))
-        yield pd.DataFrame({
-            "path": [f"archive-{batch['part'].iloc[0]}-{i}.zip"],
-            "partition": [dt.date(2009, 1, 1)], "content": [packed.getvalue()]})
+def _zip_day(day: pd.DataFrame) -> pd.DataFrame:
+    """One archive per day, as a publisher would hand them over."""
+    packed, date = io.BytesIO(), next(c for c in day.columns if c.lower() == "flightdate")
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("readme.html", "<html></html>")
+        z.writestr("On_Time.csv", day.to_csv(index=False))
+    return pd.DataFrame({
+        "path": [f"archive-{day[date].iloc[0]}.zip"],
+        "partition": [dt.date(2009, 1, 1)], "content": [packed.getvalue()]})
 
 
 def zipped(spark: SparkSession, d: str) -> DataFrame:
     raw = standins.flights_raw(spark, d).drop("ds", "bronze_loaded_at")
-    parts = raw.withColumn("part", F.spark_partition_id())
-    return parts.mapInPandas(_zip_batches, "path string, partition date, content binary")
+    return raw.groupBy("flightdate").applyInPandas(_zip_day, "path string, partition date, content binary")
 
 
 def q_expand_archives(spark: SparkSession, d: str) -> DataFrame:
@@ -180,7 +178,23 @@ def q_idempotent_ingest(spark: SparkSession, d: str) -> DataFrame:
         archives.ingest_archives(
             spark, spark.read.parquet(stored), landing, manifest, FLIGHTS_RAW_COLUMNS,
             dt.datetime(2024, 2, 1, hour))
-    return archives.read_manifest(spark, manifest)
+    return archives.read_manifest(spark, manifest).select(
+        "source_url", "partition", "member_filename", "row_count_estimate")
+
+
+def q_land_seeds(spark: SparkSession, d: str) -> DataFrame:
+    """Two lists landed on three days: unchanged, then one of them changed."""
+    root, manifest = scratch_path(spark, "seeds"), scratch_path(spark, "seed-manifest")
+    airports, airlines = standins.airports_raw(spark, d), standins.airlines_raw(spark, d)
+    for day, some in ((1, airlines), (2, airlines), (3, airlines.filter("openflights_id % 2 = 0"))):
+        found = {}
+        for name, rows in (("airports.csv", airports), ("airlines.csv", some)):
+            folder = scratch_path(spark, "published")
+            rows.orderBy("openflights_id").coalesce(1).write.csv(folder)
+            part = next(n for n in files.names(spark, folder) if n.startswith("part-"))
+            found[name] = f"{folder}/{part}"
+        archives.land_seeds(spark, found, root, manifest, dt.date(2024, 1, day), dt.datetime(2024, 2, 1, day))
+    return archives.read_manifest(spark, manifest).select("member_filename", "partition", "row_count_estimate")
 
 
 def q_missing_partitions(spark: SparkSession, d: str) -> DataFrame:
@@ -190,6 +204,37 @@ def q_missing_partitions(spark: SparkSession, d: str) -> DataFrame:
         spark, loaded, dt.date(2002, 3, 5), first=dt.date(1994, 1, 1))
 
 
+# --- airport history -------------------------------------------------------------------
+
+HISTORY = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
+
+
+def airport_history(spark: SparkSession, d: str) -> DataFrame:
+    """The stored snapshot after three lists: the second renames airports, the third lacks some."""
+    path, listed = scratch_path(spark, "airport-history"), frames.airports(spark, d)
+    renamed = listed.withColumn("name", F.when(
+        F.col("openflights_id") % 3 == 0, F.concat("name", F.lit(" II"))).otherwise(F.col("name")))
+    fewer = renamed.filter("openflights_id % 5 <> 0")
+    for source, as_of in zip((listed, renamed, fewer), HISTORY, strict=True):
+        gold.load_airport_snapshot(spark, path, source, as_of)
+    return spark.read.parquet(path)
+
+
+def q_airport_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    return airport_history(spark, d).select("iata", "name", "valid_from", "valid_to")
+
+
+def q_fact_at(spark: SparkSession, d: str) -> DataFrame:
+    """Facts with the first day of the airport versions of their own day."""
+    dim = gold.dim_airport(airport_history(spark, d), frames.RUN_TS)
+    fact = gold.fct_flight_event_at(frames.gold_tables(spark, d)["silver_flight_event"], dim, frames.RUN_TS)
+    first = dim.select(F.col("airport_sk").alias("sk"), "valid_from")
+    for end in ("origin", "dest"):
+        fact = fact.join(first, F.col(f"{end}_airport_sk") == F.col("sk"), "left").withColumnRenamed(
+            "valid_from", f"{end}_from").drop("sk")
+    return fact.select("flight_event_sk", "flight_date_key", "origin_from", "dest_from")
+
+
 # --- merges ----------------------------------------------------------------------------
 
 _MERGED = ["flight_event_natural_key", "flight_date", "carrier_code", "dep_delay_min", "arr_delay_min"]
@@ -338,7 +383,10 @@ QUERIES = {
     "events_to_json": q_events_to_json,
     "expand_archives": q_expand_archives,
     "idempotent_ingest": q_idempotent_ingest,
+    "land_seeds": q_land_seeds,
     "missing_partitions": q_missing_partitions,
+    "airport_snapshot": q_airport_snapshot,
+    "fct_flight_event_at": q_fact_at,
     "upsert_merge": q_upsert,
     "late_arrival_merge": q_late_arrival,
     "incremental_window": q_incremental_window,
@@ -366,6 +414,26 @@ _EXPECTED_DRIFT = """
     select 'added' as kind, unnest(['div_airport_landings', 'divairportlandings', 'ds', 'bronze_loaded_at']) as column_name
     union all select 'removed', 'wheels_off'"""
 
+_TEXT_FIELDS = ("icao24", "callsign", "origin_country", "squawk")
+_EVENT_FIELDS = (
+    "icao24 callsign origin_country event_ts polled_at time_position last_contact longitude latitude baro_altitude "
+    "on_ground velocity true_track vertical_rate geo_altitude squawk spi position_source").split()
+_HISTORY_SQL = """with listed as (
+    select iata, name, openflights_id % 3 = 0 as renamed, openflights_id % 5 = 0 as gone from stg_airports
+    where iata is not null qualify row_number() over (partition by iata order by openflights_id nulls last) = 1),
+  versions_ as (
+    select iata, name, timestamp '2024-01-01' as valid_from, case when renamed then timestamp '2024-01-11'
+      when gone then timestamp '2024-01-21' end as valid_to from listed
+    union all select iata, name || ' II', timestamp '2024-01-11', case when gone then timestamp '2024-01-21' end
+      from listed where renamed) """
+PAYLOAD_SQL = (
+
+        "select event_id, " + _EVENT.format(squawk="squawk")
+        .replace("event_ts, event_ts + 5", f"{_PAYLOAD_TIME} as event_ts, event_ts + 5")
+        .replace("time_position,\n    last_contact,",
+                 "case when event_id % 4 = 0 then 0 else time_position end as time_position, "
+                 "case when event_id % 8 = 0 then 0 else last_contact end as last_contact,")
+        + " from states_raw")
 ORACLES = {
     "scan_csv_bronze": sql(
         f"select {_RAW_BLANK}, case when flightdate > '2024-01-15' then div_new end as div_airport_landings, "
@@ -382,25 +450,39 @@ ORACLES = {
         for i, (c, t) in enumerate([
             ("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
             ("value", "double"), ("props", "string")])),
-    "decode_state_payload": sql(
-        "select event_id, " + _EVENT.format(squawk="squawk")
-        .replace("event_ts, event_ts + 5", f"{_PAYLOAD_TIME} as event_ts, event_ts + 5")
-        .replace("time_position,\n    last_contact,",
-                 "case when event_id % 4 = 0 then 0 else time_position end as time_position, "
-                 "case when event_id % 8 = 0 then 0 else last_contact end as last_contact,")
-        + " from states_raw"),
+    "decode_state_payload": sql(PAYLOAD_SQL),
     "coerce_state_json": sql(f"select {_EVENT.format(squawk='squawk')} from states_raw where event_id % 13 > 3"),
     "dlq_split": sql(
         "select event_id, icao24 as key, case event_id % 13 when 0 then 'unparseable' when 1 then 'unparseable' "
         "when 2 then 'missing_key' when 3 then 'unparseable' else 'accepted' end as route from states_raw"),
     "events_to_json": sql(
-        "select icao24 as key, '{\"icao24\":\"' || icao24 || '\",\"callsign\":\"' || callsign || '\",\"event_ts\":' "
-        "|| event_ts || ',\"on_ground\":' || on_ground || ',\"velocity\":' || velocity || '}' as value, "
-        "timestamp '1970-01-01 00:00:00' + to_seconds(event_ts) as timestamp from states_raw"),
+        "select icao24 as key, '{' || concat_ws(',', " + ", ".join(
+            f"'\"{c}\":' || " + (f"('\"' || {c} || '\"')" if c in _TEXT_FIELDS else f"cast({c} as varchar)")
+            for c in _EVENT_FIELDS)
+        + ") || '}' as value, "
+        "timestamp '1970-01-01 00:00:00' + to_seconds(event_ts) as timestamp "
+        f"from (select {_EVENT.format(squawk='squawk')} from states_raw)"),
     "expand_archives": sql(
         "select flightdate, reporting_airline, flight_number_reporting_airline, tail_number, origin, dest, "
-        "crsdeptime, deptime, depdelay, crsarrtime, arrtime, arrdelay, cancelled, cancellationcode, diverted, distance "
-        "from flights_raw"),
+        "crsdeptime, crsarrtime, cancelled, cancellationcode, diverted, distance, "
+        + ", ".join(f"coalesce({c}, '') as {c}" for c in ("deptime", "depdelay", "arrtime", "arrdelay"))
+        + " from flights_raw"),
+    "idempotent_ingest": sql(
+        "select 'archive-' || flightdate || '.zip' as source_url, date '2009-01-01' as partition, "
+        "'On_Time.csv' as member_filename, count(*) as row_count_estimate from flights_raw group by flightdate"),
+    "land_seeds": sql(
+        "select 'airports.csv' as member_filename, date '2024-01-01' as partition, count(*) as row_count_estimate "
+        "from airports_raw union all select 'airlines.csv', date '2024-01-01', count(*) from airlines_raw "
+        "union all select 'airlines.csv', date '2024-01-03', count(*) from airlines_raw "
+        "where cast(openflights_id as integer) % 2 = 0"),
+    "airport_snapshot": sql(f"select iata, name, valid_from, valid_to from ({_HISTORY_SQL} select * from versions_)"),
+    "fct_flight_event_at": sql(
+        "select flight_event_sk, flight_date_key, cast(o.valid_from as date) as origin_from, "
+        "cast(e.valid_from as date) as dest_from from fact f "
+        f"left join ({_HISTORY_SQL} select * from versions_) o on o.iata = f.origin_airport_key "
+        "and o.valid_from <= f.flight_date_key and (o.valid_to is null or f.flight_date_key < o.valid_to) "
+        f"left join ({_HISTORY_SQL} select * from versions_) e on e.iata = f.dest_airport_key "
+        "and e.valid_from <= f.flight_date_key and (e.valid_to is null or f.flight_date_key < e.valid_to)"),
     "missing_partitions":
         "select cast(m as date) as partition from (select unnest(generate_series(timestamp '1994-01-01', "
         "timestamp '2002-02-01', interval 1 month)) as m) where cast(m as date) not in "

@@ -13,9 +13,10 @@ from tarmac.operators.staging import stg_states
 from tarmac.operators.tables import read_table
 from tarmac.plans.silver import StateTables
 from tarmac.registry import frames
+from tarmac.registry.core import ORACLES as CORE_ORACLES
 from tarmac.registry.core import requests_by_id
 from tarmac.registry.oracle import sql
-from tarmac.registry.storage import messages_of, payloads_of
+from tarmac.registry.storage import PAYLOAD_SQL, messages_of, payloads_of
 from tarmac.session import scratch_path
 from tarmac.sources.payload import decode_payload
 from tarmac.streaming import ingest
@@ -77,9 +78,13 @@ def q_dedupe_latest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_landings(spark: SparkSession, d: str) -> DataFrame:
+    before = spark.conf.get(st.STATE_STORE, None)
     st.with_state_store(spark)
-    reports = stg_states(standins.states_of(event_stream(spark, d)))
-    return _sink(spark, st.landings_stream(reports, LATE), "landings")
+    try:
+        reports = stg_states(standins.states_of(event_stream(spark, d)))
+        return _sink(spark, st.landings_stream(reports, LATE), "landings")
+    finally:
+        spark.conf.set(st.STATE_STORE, before) if before else spark.conf.unset(st.STATE_STORE)
 
 
 def q_windows(spark: SparkSession, d: str) -> DataFrame:
@@ -87,6 +92,36 @@ def q_windows(spark: SparkSession, d: str) -> DataFrame:
     return _sink(spark, stream, "windows").withColumn("sum_value", F.round("sum_value", 4))
 
 
+def _current(spark: SparkSession, stream: DataFrame, name: str, keys: list[str], day: str) -> DataFrame:
+    path, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
+    dated = stream.withColumn("day", F.to_date(day))
+    ingest.available_now(st.current_stream(dated, path, keys, "day", checkpoint))
+    return spark.read.schema(dated.schema).parquet(path).drop("day")
+
+
+def q_dedupe_current(spark: SparkSession, d: str) -> DataFrame:
+    """Each report in its latest copy, also those the watermark has not closed."""
+    stream = st.latest_stream(_sent_twice(spark, d), LATE)
+    return _current(spark, stream, "dedupe-current", ["icao24", "event_ts"], "event_ts")
+
+
+def q_windows_current(spark: SparkSession, d: str) -> DataFrame:
+    """All metric windows, also open ones."""
+    stream = st.windows_stream(frames.points_of(event_stream(spark, d)), 3600, LATE, "metric_name", "component")
+    keys = ["window_start", "metric_name", "component"]
+    return _current(spark, stream, "windows-current", keys, "window_start").withColumn(
+        "sum_value", F.round("sum_value", 4))
+
+
+def q_landings_current(spark: SparkSession, d: str) -> DataFrame:
+    """All landings, also of the last days."""
+    tables, path = StateTables.below(scratch_path(spark, "current")), scratch_path(spark, "landings-current")
+    reports = stg_states(standins.states_of(event_stream(spark, d)))
+    ingest.available_now(st.landings_current(
+        reports, tables, path, scratch_path(spark, "landings-current-checkpoint"), frames.RUN_TS))
+    return spark.read.parquet(path).select("icao24", "live_landing_ts", "approach_velocity_mps")
+
+
 def q_refresh(spark: SparkSession, d: str) -> DataFrame:
     """Three refreshes of the silver states; the second finds nothing new, the third a late file."""
     landed, silver = scratch_path(spark, "landed"), StateTables.below(scratch_path(spark, "silver"))
@@ -155,8 +190,12 @@ def q_mae(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_score_by_id(spark: SparkSession, d: str) -> DataFrame:
+    """Every request with its status, and whether it has a prediction within reason."""
     silver = frames.gold_tables(spark, d)["silver_flight_event"]
-    return delay_model.score_by_id(model(spark, d), requests_by_id(spark, d), silver)
+    scored = delay_model.score_by_id(model(spark, d), requests_by_id(spark, d), silver)
+    return scored.select(
+        "o_orderkey", "carrier_code", "flight_number", "status", "feature_source",
+        F.col("predicted_arr_delay_min").between(-300, 3000).alias("predicted"))
 
 
 QUERIES = {
@@ -167,6 +206,9 @@ QUERIES = {
     "stream_dedupe_latest": q_dedupe_latest,
     "stream_landings": q_landings,
     "stream_metric_windows": q_windows,
+    "stream_dedupe_latest_current": q_dedupe_current,
+    "stream_landings_current": q_landings_current,
+    "stream_metric_windows_current": q_windows_current,
     "incremental_refresh": q_refresh,
     "train_val_split": q_split,
     "train_delay_model": q_train,
@@ -176,6 +218,11 @@ QUERIES = {
 }
 
 _MARK = "(select max(event_ts) - interval 2 day from stg_states)"
+SCORED_SQL = f"""
+    select o_orderkey, carrier_code, flight_number, case when found then 'ok'
+        when regexp_full_match(carrier_code, '[A-Z0-9]{{2,3}}') then 'not_found' else 'invalid' end as status,
+      case when found then 'silver' end as feature_source, case when found then true end as predicted
+    from ({CORE_ORACLES["hydrate_features"]})"""
 ORACLES = {
     "stream_roll_sink": sql(
         "select icao24, callsign, origin_country, event_ts, event_ts + 5 as polled_at, time_position, last_contact, "
@@ -197,6 +244,21 @@ ORACLES = {
         "round(sum(value), 4) as sum_value, max(value) as max_value, count(*) as points "
         "from (select *, cast(floor(epoch(ts) / 3600) as bigint) as b from points) group by b, metric_name, component "
         "having timestamp '1970-01-01' + to_seconds(b * 3600 + 3600) <= (select max(ts) - interval 2 day from points)"),
+    "stream_dedupe_latest_current": sql(
+        "select * from replayed "
+        "qualify row_number() over (partition by icao24, event_ts order by bronze_loaded_at desc) = 1"),
+    "stream_landings_current": sql("select icao24, live_landing_ts, approach_velocity_mps from landings"),
+    "stream_metric_windows_current": sql(
+        "select timestamp '1970-01-01' + to_seconds(b * 3600) as window_start, "
+        "timestamp '1970-01-01' + to_seconds(b * 3600 + 3600) as window_end, metric_name, component, "
+        "round(sum(value), 4) as sum_value, max(value) as max_value, count(*) as points "
+        "from (select *, cast(floor(epoch(ts) / 3600) as bigint) as b from points) group by b, metric_name, component"),
+    "stream_source": sql(PAYLOAD_SQL),
+    "score_by_id": SCORED_SQL,
+    "train_val_split": sql(
+        "select flight_event_natural_key, ('0x' || substr(md5(flight_event_natural_key || ':42'), 1, 8))::bigint % 100 < 20 "
+        "as is_validation from silver where arr_delay_min is not null and scheduled_dep_ts is not null "
+        "and distance_miles is not null"),
     "incremental_refresh": sql(
         "select icao24, callsign, origin_country, event_ts, longitude, latitude, baro_altitude_m, "
         "geo_altitude_m, on_ground, velocity_mps, true_track_deg, vertical_rate_mps, squawk, position_source, "

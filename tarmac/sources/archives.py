@@ -6,7 +6,7 @@ import csv
 import datetime as dt
 import io
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import islice
 
 import pandas as pd
@@ -114,6 +114,38 @@ def expand_archives(archives: DataFrame, names: Sequence[str]) -> DataFrame:
     return found.select("path", "partition", "member", *[F.col(f"c{i}").alias(n) for i, n in enumerate(wanted)])
 
 
+def land_seeds(
+    spark: SparkSession, found: Mapping[str, str], root: str, manifest_path: str, day: dt.date, run_ts: dt.datetime,
+) -> DataFrame:
+    """Land reference files (name to path) that changed as ``ds=<day>/<name>`` and note them.
+
+    A file is as it was published; it is compared by hash with what was last landed under its
+    name, so an unchanged list is not landed again. The file is complete before it gets its
+    name, and the manifest comes last. Returns the manifest rows of this run.
+    """
+    paths = {name: path for name, path in sorted(found.items())}
+    read = spark.read.format("binaryFile").load(list(paths.values()))
+    place = F.create_map(*[F.lit(x) for name, path in paths.items() for x in (path.rsplit("/", 1)[1], name)])
+    listed = read.select(
+        place[F.element_at(F.split("path", "/"), -1)].alias("name"), F.sha2("content", 256).alias("sha256"),
+        F.col("length").alias("content_length"),
+        F.size(F.filter(F.split(F.col("content").cast("string"), "\n"), lambda line: F.trim(line) != "")).alias("lines"))
+    last = read_manifest(spark, manifest_path).groupBy(F.col("member_filename").alias("name")).agg(
+        F.max_by("sha256", "downloaded_at").alias("last"))
+    # One short row per file.
+    fresh = listed.join(last, "name", "left").filter(~F.col("sha256").eqNullSafe(F.col("last"))).collect()
+    for r in fresh:
+        target = f"{root}/ds={day.isoformat()}/{r.name}"
+        files.copy(spark, paths[r.name], f"{target}.incoming")
+        files.delete(spark, target)
+        files.rename(spark, f"{target}.incoming", target)
+    notes = spark.createDataFrame([
+        (paths[r.name], run_ts, r.content_length, r.sha256, r.name, r.lines, day) for r in fresh], MANIFEST)
+    if fresh:
+        notes.coalesce(1).write.mode("append").parquet(manifest_path)
+    return notes
+
+
 def latest_manifest(manifest: DataFrame) -> DataFrame:
     """What was last loaded from each archive of a partition."""
     return manifest.groupBy("partition", F.col("source_url").alias("path")).agg(

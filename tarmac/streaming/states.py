@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tarmac import files
 from tarmac.functions.keys import row_hash
 from tarmac.operators.landings import MIN_APPROACH_MPS, REPORT_COLUMNS
 from tarmac.operators.monitoring import metric_windows
-from tarmac.plans.silver import STATE_KEY, StateTables, load_states
+from tarmac.operators.tables import upsert
+from tarmac.plans.silver import STATE_KEY, StateTables, landings_from, load_states
 
 # Fixed value: how late a report may come.
 LATE = "2 days"
@@ -155,6 +157,51 @@ def merge_stream(
     return states.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
 
+def current_stream(
+    stream: DataFrame, path: str, keys: Sequence[str], partition_by: str, checkpoint: str,
+) -> DataStreamWriter:
+    """Keep a table of an aggregation's current results, open groups included.
+
+    Each micro-batch brings the groups that changed and replaces their rows; when the watermark
+    closes a group its row simply stays. What a stream has not closed when its source ends is
+    therefore in the table, with all that has arrived.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch.sparkSession, path, batch, keys, partition_by)
+
+    return stream.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint)
+
+
+def landings_current(
+    states: DataFrame, tables: StateTables, path: str, checkpoint: str, run_ts: dt.datetime,
+) -> DataStreamWriter:
+    """Keep a table of landings, by day, equal to the batch rule over all that has arrived.
+
+    A micro-batch is merged into the silver states, then the landings of the days it touched,
+    and of the day after, are made again from them: a late report can add, move or remove one.
+    No airframe's reports are held in one task's state.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        days = [dt.date.fromisoformat(d) for d in load_states(spark, tables, batch, run_ts)]
+        if not days:
+            return
+        after = max(days) + dt.timedelta(days=1)
+        found = landings_from(spark, tables, min(days), after).withColumn("day", F.to_date("live_landing_ts"))
+        found.filter(F.col("day") <= F.lit(after)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+        filled = set(files.partition_values(spark, path, "day"))
+        remade = [d.isoformat() for d in dict.fromkeys([*days, *[d + dt.timedelta(days=1) for d in days]])]
+        kept = {r.day.isoformat() for r in found.select("day").distinct().collect()}  # days, not landings
+        for day in remade:
+            if day in filled and day not in kept:
+                files.delete(spark, f"{path}/day={day}")
+
+    return states.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+
+
 def append_stream(stream: DataFrame, path: str, checkpoint: str, *partition_by: str) -> DataStreamWriter:
     """Append a stream's rows to Parquet files, exactly once."""
     writer = stream.writeStream.format("parquet").outputMode("append").option(
