@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegralType, LongType, NumericType
 
 from tarmac.functions.columns import column_or_null, first_present
 from tarmac.functions.keys import flight_key
@@ -67,7 +68,18 @@ def stg_states(raw: DataFrame) -> DataFrame:
     def text(name: str):
         return column_or_null(raw, name).cast("string")
 
-    epoch = safe_long(text("event_ts"))
+    columns = {f.name.lower(): f.dataType for f in raw.schema}
+
+    def value(name: str, parse, kind: str):
+        """A typed column as it is, so that filters reach the scan; text is parsed."""
+        exact = {"boolean": BooleanType, "double": NumericType}.get(kind, IntegralType)
+        if isinstance(columns.get(name), exact):
+            return F.col(name).try_cast(kind)
+        return parse(text(name))
+
+    epoch = value("event_ts", safe_long, "bigint")
+    if isinstance(columns.get("event_ts"), LongType):
+        epoch = F.col("event_ts")
     return (
         raw.filter(F.col("icao24").isNotNull() & epoch.between(EPOCH_MIN, EPOCH_MAX))
         .select(
@@ -75,18 +87,18 @@ def stg_states(raw: DataFrame) -> DataFrame:
             blank_to_null(text("callsign")).alias("callsign"),
             text("origin_country").alias("origin_country"),
             F.timestamp_seconds(epoch).alias("event_ts"),
-            F.timestamp_seconds(safe_long(text("time_position"))).alias("time_position_ts"),
-            F.timestamp_seconds(safe_long(text("last_contact"))).alias("last_contact_ts"),
-            safe_double(text("longitude")).alias("longitude"),
-            safe_double(text("latitude")).alias("latitude"),
-            safe_double(text("baro_altitude")).alias("baro_altitude_m"),
-            F.coalesce(safe_boolean(text("on_ground")), F.lit(False)).alias("on_ground"),
-            safe_double(text("velocity")).alias("velocity_mps"),
-            safe_double(text("true_track")).alias("true_track_deg"),
-            safe_double(text("vertical_rate")).alias("vertical_rate_mps"),
-            safe_double(text("geo_altitude")).alias("geo_altitude_m"),
+            F.timestamp_seconds(value("time_position", safe_long, "bigint")).alias("time_position_ts"),
+            F.timestamp_seconds(value("last_contact", safe_long, "bigint")).alias("last_contact_ts"),
+            value("longitude", safe_double, "double").alias("longitude"),
+            value("latitude", safe_double, "double").alias("latitude"),
+            value("baro_altitude", safe_double, "double").alias("baro_altitude_m"),
+            F.coalesce(value("on_ground", safe_boolean, "boolean"), F.lit(False)).alias("on_ground"),
+            value("velocity", safe_double, "double").alias("velocity_mps"),
+            value("true_track", safe_double, "double").alias("true_track_deg"),
+            value("vertical_rate", safe_double, "double").alias("vertical_rate_mps"),
+            value("geo_altitude", safe_double, "double").alias("geo_altitude_m"),
             blank_to_null(text("squawk")).alias("squawk"),
-            safe_int(text("position_source")).alias("position_source"),
+            value("position_source", safe_int, "int").alias("position_source"),
             column_or_null(raw, "ds", "date").cast("date").alias("event_date"),
             safe_int(text("hr")).alias("event_hour"),
             column_or_null(raw, "bronze_loaded_at", "timestamp").alias("bronze_loaded_at"),

@@ -153,11 +153,13 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model(spark: SparkSession, d: str) -> delay_model.DelayModel:
-    """A small model on all silver flights, trained once per session and input."""
+    """The model with its declared parameters on all silver flights, trained once per session and input.
+
+    It stops once a round improves the validation error by less than a hundredth."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _models:
         _models[key] = delay_model.train(
-            _rows(spark, d), frames.RUN_TS, trees=8, learning_rate=0.3, depth=4, max_categories=64)
+            _rows(spark, d), frames.RUN_TS, validation_tolerance=0.01)
     return _models[key]
 
 
@@ -172,21 +174,24 @@ def q_train(spark: SparkSession, d: str) -> DataFrame:
     loaded = delay_model.load(spark, path)
     importance = loaded.pipeline.stages[-1].featureImportances.toArray()
     rows = [
-        (name, float(weight), loaded.metadata["n_rows"], loaded.metadata["val_mae_minutes"])
-        for name, weight in zip(loaded.metadata["feature_order"], importance)
+        (name, 0.0 <= float(weight) <= 1.0, loaded.metadata["n_rows"], 0 < loaded.metadata["val_mae_minutes"] < 30)
+        for name, weight in zip(loaded.metadata["feature_order"], importance, strict=True)
     ]
     return spark.createDataFrame(
-        rows, "feature string, importance double, n_rows bigint, val_mae_minutes double")
+        rows, "feature string, importance_is_share boolean, n_rows bigint, error_is_plausible boolean")
 
 
 def q_score(spark: SparkSession, d: str) -> DataFrame:
     scored = delay_model.score(model(spark, d), _rows(spark, d))
-    return scored.select("flight_event_natural_key", "predicted_arr_delay_min", "model_version", "feature_source")
+    return scored.select(
+        "flight_event_natural_key", F.col("predicted_arr_delay_min").between(-300, 3000).alias("predicted"),
+        "feature_source")
 
 
 def q_mae(spark: SparkSession, d: str) -> DataFrame:
     held_back = _rows(spark, d).filter("is_validation")
-    return delay_model.model_mae(model(spark, d).pipeline.transform(held_back))
+    errors = delay_model.model_mae(model(spark, d).pipeline.transform(held_back))
+    return errors.select("rows", ((F.col("mae_minutes") > 0) & (F.col("mae_minutes") < 30)).alias("error_is_plausible"))
 
 
 def q_score_by_id(spark: SparkSession, d: str) -> DataFrame:
@@ -218,6 +223,8 @@ QUERIES = {
 }
 
 _MARK = "(select max(event_ts) - interval 2 day from stg_states)"
+_TRAINING = "arr_delay_min is not null and scheduled_dep_ts is not null and distance_miles is not null"
+_HELD_BACK = "('0x' || substr(md5(flight_event_natural_key || ':42'), 1, 8))::bigint % 100 < 20"
 SCORED_SQL = f"""
     select o_orderkey, carrier_code, flight_number, case when found then 'ok'
         when regexp_full_match(carrier_code, '[A-Z0-9]{{2,3}}') then 'not_found' else 'invalid' end as status,
@@ -255,10 +262,17 @@ ORACLES = {
         "from (select *, cast(floor(epoch(ts) / 3600) as bigint) as b from points) group by b, metric_name, component"),
     "stream_source": sql(PAYLOAD_SQL),
     "score_by_id": SCORED_SQL,
+    "train_delay_model": sql(
+        "select unnest(['carrier_code', 'origin_iata', 'dest_iata', 'distance_miles', 'scheduled_dep_hour', 'day_of_week', "
+        "'month', 'dep_delay_min']) as feature, true as importance_is_share, n_rows, true as error_is_plausible "
+        f"from (select count(*) as n_rows from silver where {_TRAINING})"),
+    "score_delays": sql(
+        "select flight_event_natural_key, true as predicted, 'request' as feature_source "
+        f"from silver where {_TRAINING}"),
+    "model_mae": sql(
+        f"select count(*) as rows, true as error_is_plausible from silver where {_TRAINING} and {_HELD_BACK}"),
     "train_val_split": sql(
-        "select flight_event_natural_key, ('0x' || substr(md5(flight_event_natural_key || ':42'), 1, 8))::bigint % 100 < 20 "
-        "as is_validation from silver where arr_delay_min is not null and scheduled_dep_ts is not null "
-        "and distance_miles is not null"),
+        f"select flight_event_natural_key, {_HELD_BACK} as is_validation from silver where {_TRAINING}"),
     "incremental_refresh": sql(
         "select icao24, callsign, origin_country, event_ts, longitude, latitude, baro_altitude_m, "
         "geo_altitude_m, on_ground, velocity_mps, true_track_deg, vertical_rate_mps, squawk, position_source, "
