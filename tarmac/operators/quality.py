@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tarmac import files
 from tarmac.functions.values import minute_boundaries
+from tarmac.operators.drift import unreviewed_drift
 
 # Accepted codes.
 CANCELLATION_CODES = ["A", "B", "C", "D"]
@@ -237,45 +238,79 @@ Check = RowCheck | TableCheck
 CRITICAL = frozenset({"critical"})
 
 
-def gold_checks(as_of: dt.datetime) -> list[Check]:
-    """The checks declared on the gold tables."""
+def _required(table: str, *columns: str) -> list[Check]:
+    return [RowCheck(f"{table}.{c}.not_null", table, is_null(c), tags=CRITICAL) for c in columns]
+
+
+def _unique(table: str, *keys: str) -> Check:
+    return TableCheck(f"{table}.{'_'.join(keys)}.unique", lambda t: duplicates(t[table], keys), tags=CRITICAL)
+
+
+def _refers(table: str, column: str, parent: str, key: str) -> Check:
+    return TableCheck(
+        f"{table}.{column}.relationships", lambda t: orphans(t[table], column, t[parent], key), tags=CRITICAL)
+
+
+def _accepted(table: str, column: str, values: Sequence[str], severity: str = "error") -> Check:
+    return RowCheck(f"{table}.{column}.accepted_values", table, not_in(column, values), severity,
+                    CRITICAL if severity == "error" else frozenset())
+
+
+def staging_checks() -> list[Check]:
+    """The checks declared on the staged tables."""
+    return [
+        *_required("stg_flights", "flight_event_natural_key", "flight_date", "carrier_code", "origin_iata", "dest_iata"),
+        RowCheck("stg_flights.carrier_code.length", "stg_flights", length_differs("carrier_code", 2), "warn"),
+        _accepted("stg_flights", "cancellation_code", CANCELLATION_CODES, "warn"),
+        *_required("stg_states", "icao24", "event_ts"),
+        *_required("stg_airports", "iata"), _unique("stg_airports", "iata"),
+        *_required("stg_airlines", "carrier_key"), _unique("stg_airlines", "carrier_key"),
+    ]
+
+
+def silver_checks() -> list[Check]:
+    """The checks declared on the silver tables; the status is that of the reconciled flights."""
+    return [
+        *_required("silver_flight_event", "flight_event_natural_key", "flight_date", "carrier_code"),
+        _unique("silver_flight_event", "flight_event_natural_key"),
+        _accepted("silver_flight_event", "reconciliation_status", RECONCILIATION_STATUSES),
+        *_required("silver_aircraft_state", "icao24", "event_ts"),
+    ]
+
+
+def drift_checks(as_of: dt.datetime) -> list[Check]:
+    """No change of a source's columns waits for review beyond its time."""
+    return [TableCheck("schema_drift.unreviewed", lambda t: unreviewed_drift(t["schema_drift"], as_of), tags=CRITICAL)]
 
-    def required(table: str, *columns: str) -> list[Check]:
-        return [RowCheck(f"{table}.{c}.not_null", table, is_null(c), tags=CRITICAL) for c in columns]
 
-    def unique(table: str, *keys: str) -> Check:
-        return TableCheck(
-            f"{table}.{'_'.join(keys)}.unique", lambda t: duplicates(t[table], keys), tags=CRITICAL)
+def all_checks(as_of: dt.datetime) -> list[Check]:
+    return [*staging_checks(), *silver_checks(), *gold_checks(as_of), *drift_checks(as_of)]
 
-    def refers(table: str, column: str, parent: str, key: str) -> Check:
-        return TableCheck(
-            f"{table}.{column}.relationships",
-            lambda t: orphans(t[table], column, t[parent], key), tags=CRITICAL)
 
+def gold_checks(as_of: dt.datetime) -> list[Check]:
+    """The checks declared on the gold tables."""
     fact, daily = "fct_flight_event", "agg_carrier_otp_daily"
     return [
-        *required(fact, "flight_event_sk", "flight_date_key", "carrier_key", "origin_airport_key",
+        *_required(fact, "flight_event_sk", "flight_date_key", "carrier_key", "origin_airport_key",
                   "dest_airport_key"),
-        *required("dim_carrier", "carrier_key"),
-        *required("dim_airport", "airport_sk", "airport_key"),
-        *required("dim_aircraft", "aircraft_key"),
-        *required("dim_date", "date_key"),
-        *required(daily, "flight_date", "carrier_key"),
-        unique(fact, "flight_event_sk"),
-        unique("dim_carrier", "carrier_key"),
-        unique("dim_airport", "airport_sk"),
-        unique("dim_aircraft", "aircraft_key"),
-        unique("dim_date", "date_key"),
-        unique(daily, "flight_date", "carrier_key"),
-        refers(fact, "flight_date_key", "dim_date", "date_key"),
-        refers(fact, "carrier_key", "dim_carrier", "carrier_key"),
-        refers(fact, "origin_airport_key", "dim_airport", "airport_key"),
-        refers(fact, "dest_airport_key", "dim_airport", "airport_key"),
-        refers(daily, "carrier_key", "dim_carrier", "carrier_key"),
-        RowCheck(f"{fact}.cancellation_code.accepted_values", fact,
-                 not_in("cancellation_code", CANCELLATION_CODES), "warn"),
-        RowCheck(f"{fact}.reconciliation_status.accepted_values", fact,
-                 not_in("reconciliation_status", RECONCILIATION_STATUSES), tags=CRITICAL),
+        *_required("dim_carrier", "carrier_key"),
+        *_required("dim_airport", "airport_sk", "airport_key"),
+        *_required("dim_aircraft", "aircraft_key"),
+        *_required("dim_date", "date_key"),
+        *_required(daily, "flight_date", "carrier_key"),
+        _unique(fact, "flight_event_sk"),
+        _unique("dim_carrier", "carrier_key"),
+        _unique("dim_airport", "airport_sk"),
+        _unique("dim_aircraft", "aircraft_key"),
+        _unique("dim_date", "date_key"),
+        _unique(daily, "flight_date", "carrier_key"),
+        _refers(fact, "flight_date_key", "dim_date", "date_key"),
+        _refers(fact, "carrier_key", "dim_carrier", "carrier_key"),
+        _refers(fact, "origin_airport_key", "dim_airport", "airport_key"),
+        _refers(fact, "dest_airport_key", "dim_airport", "airport_key"),
+        _refers(daily, "carrier_key", "dim_carrier", "carrier_key"),
+        _accepted(fact, "cancellation_code", CANCELLATION_CODES, "warn"),
+        _accepted(fact, "reconciliation_status", RECONCILIATION_STATUSES),
         RowCheck(f"{fact}.arr_delay_matches_timestamps", fact, violated(delay_matches_times()), tags=CRITICAL),
         RowCheck(f"{fact}.cancelled_means_no_actual_dep", fact, violated(cancelled_never_departed()),
                  tags=CRITICAL),

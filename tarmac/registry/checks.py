@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tarmac import standins
 from tarmac.operators import monitoring as m
 from tarmac.operators import quality as q
-from tarmac.operators.drift import unreviewed_drift, unreviewed_drift_count
+from tarmac.operators.drift import REVIEW_DAYS, unreviewed_drift, unreviewed_drift_count
 from tarmac.plans import silver
 from tarmac.registry import frames
 from tarmac.registry.oracle import RUN_TS as RUN_SQL
@@ -136,9 +136,19 @@ def q_trailing(spark: SparkSession, d: str) -> DataFrame:
         "trailing_avg", F.round("trailing_avg", 6))
 
 
+def _all_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    staged = {
+        "stg_flights": frames.flights(spark, d), "stg_states": frames.states(spark, d),
+        "stg_airports": frames.airports(spark, d), "stg_airlines": frames.airlines(spark, d),
+    }
+    states = silver.silver_aircraft_state(staged["stg_states"], RUN_TS)
+    return {**frames.gold_tables(spark, d), **staged, "silver_aircraft_state": states, "schema_drift": drift_log(spark, d)}
+
+
 def q_report(spark: SparkSession, d: str) -> DataFrame:
+    """Failures of the checks of all layers, as noted in the history."""
     path = scratch_path(spark, "dq-history")
-    report = q.run_checks(frames.gold_tables(spark, d), q.gold_checks(RUN_TS))
+    report = q.run_checks(_all_tables(spark, d), q.all_checks(RUN_TS))
     q.record_report(report, path, RUN_TS)
     return spark.read.parquet(path)
 
@@ -182,6 +192,25 @@ def q_alarms(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
+SERVICE_METRICS = list(dict.fromkeys(a.metric for a in m.ALARMS))
+
+
+def q_alarms_in_service(spark: SparkSession, d: str) -> DataFrame:
+    """The declared alarms over two days of counters: windows, breaches and windows in alarm."""
+    names = F.array(*[F.lit(n) for n in SERVICE_METRICS])
+    counters = standins.table(spark, d, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), "value",
+        F.when(F.col("user_id") % 2 == 0, "producer").otherwise("consumer").alias("component"),
+        F.get(names, (F.col("event_id") % len(SERVICE_METRICS)).cast("int")).alias("metric_name"))
+    span = (dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 7))
+    return reduce(DataFrame.unionByName, [
+        m.evaluate_alarm(counters, alarm, *span).agg(
+            F.count(F.lit(1)).alias("windows"), F.count_if("breach").alias("breaches"),
+            F.count_if(F.col("state") == "ALARM").alias("alarms"))
+        .select(F.lit(alarm.name).alias("alarm"), "windows", "breaches", "alarms")
+        for alarm in m.ALARMS])
+
+
 def q_lag(spark: SparkSession, d: str) -> DataFrame:
     """Lag of every airframe against the last evening of the data."""
     latest = frames.states(spark, d).groupBy("icao24").agg(F.max("event_ts").alias("latest"))
@@ -231,6 +260,7 @@ QUERIES = {
     "sla_status": q_sla,
     "metric_windows": q_metric_windows,
     "alarm_evaluate": q_alarms,
+    "alarms_in_service": q_alarms_in_service,
     "lag_status": q_lag,
     "usage_last_window": q_usage,
     "alerts_after_cursor": q_alerts_page,
@@ -248,6 +278,90 @@ def _freshness(tables: dict[str, str]) -> str:
     return " union all ".join(f"select '{n}' as table_name, {e}" for n, e in tables.items())
 
 
+def _report_sql() -> str:
+    """The checks again, each in plain SQL."""
+    views = {
+        "fct_flight_event": "fact", "agg_carrier_otp_daily": "daily", "dim_aircraft": "aircraft_dim", "dim_date": "days",
+        "silver_flight_event": "silver", "silver_aircraft_state": "uniq_states"}
+    keys = {
+        "stg_flights": ["flight_event_natural_key", "flight_date", "carrier_code", "origin_iata", "dest_iata"],
+        "stg_states": ["icao24", "event_ts"], "stg_airports": ["iata"], "stg_airlines": ["carrier_key"],
+        "silver_flight_event": ["flight_event_natural_key", "flight_date", "carrier_code"],
+        "silver_aircraft_state": ["icao24", "event_ts"],
+        "fct_flight_event": ["flight_event_sk", "flight_date_key", "carrier_key", "origin_airport_key", "dest_airport_key"],
+        "dim_carrier": ["carrier_key"], "dim_airport": ["airport_sk", "airport_key"], "dim_aircraft": ["aircraft_key"],
+        "dim_date": ["date_key"], "agg_carrier_otp_daily": ["flight_date", "carrier_key"]}
+    unique = [
+        ("stg_airports", "iata"), ("stg_airlines", "carrier_key"), ("silver_flight_event", "flight_event_natural_key"),
+        ("fct_flight_event", "flight_event_sk"), ("dim_carrier", "carrier_key"), ("dim_airport", "airport_sk"),
+        ("dim_aircraft", "aircraft_key"), ("dim_date", "date_key"), ("agg_carrier_otp_daily", "flight_date, carrier_key")]
+    refers = [
+        ("fct_flight_event", "flight_date_key", "dim_date", "date_key"),
+        ("fct_flight_event", "carrier_key", "dim_carrier", "carrier_key"),
+        ("fct_flight_event", "origin_airport_key", "dim_airport", "airport_key"),
+        ("fct_flight_event", "dest_airport_key", "dim_airport", "airport_key"),
+        ("agg_carrier_otp_daily", "carrier_key", "dim_carrier", "carrier_key")]
+    view = lambda t: views.get(t, t)
+    late = "date_diff('minute', scheduled_arr_ts, actual_arr_ts)"
+    lines = [(f"{t}.{c}.not_null", "error", f"select 1 from {view(t)} where {c} is null") for t, cs in keys.items() for c in cs]
+    lines += [
+        (f"{t}.{k.replace(', ', '_')}.unique", "error",
+         f"select {k} from {view(t)} where {' and '.join(f'{c} is not null' for c in k.split(', '))} group by {k} having count(*) > 1")
+        for t, k in unique]
+    lines += [
+        (f"{t}.{c}.relationships", "error",
+         f"select distinct {c} from {view(t)} where {c} is not null and {c} not in (select {k} from {view(p)})")
+        for t, c, p, k in refers]
+    codes = "where cancellation_code is not null and cancellation_code not in ('A', 'B', 'C', 'D')"
+    status = "where reconciliation_status not in ('live_only', 'bts_only', 'matched', 'mismatch')"
+    lines += [
+        ("stg_flights.carrier_code.length", "warn", "select 1 from stg_flights where length(carrier_code) <> 2"),
+        ("stg_flights.cancellation_code.accepted_values", "warn", f"select 1 from stg_flights {codes}"),
+        ("fct_flight_event.cancellation_code.accepted_values", "warn", f"select 1 from fact {codes}"),
+        ("silver_flight_event.reconciliation_status.accepted_values", "error", f"select 1 from silver {status}"),
+        ("fct_flight_event.reconciliation_status.accepted_values", "error", f"select 1 from fact {status}"),
+        ("fct_flight_event.arr_delay_matches_timestamps", "error",
+         f"select 1 from fact where not (arr_delay_min is null or cancelled_flag or arr_delay_min = {late})"),
+        ("fct_flight_event.cancelled_means_no_actual_dep", "error",
+         "select 1 from fact where cancelled_flag and actual_dep_ts is not null"),
+        ("fct_flight_event.no_future_actual_arrivals", "error", f"select 1 from fact where actual_arr_ts > {RUN_SQL}"),
+        ("fct_flight_event.arr_delay_min.p95", "warn",
+         "select 1 from (select quantile_cont(arr_delay_min, 0.95) p from fact where not cancelled_flag) "
+         "where not coalesce(p between -30 and 240, false)"),
+        ("fct_flight_event.ingested_at.recency", "error",
+         f"select 1 from (select max(ingested_at) m from fact) where not coalesce(m >= {RUN_SQL} - interval 25 hour, false)"),
+        ("agg_carrier_otp_daily.matches_detail", "error",
+         "select 1 from (select flight_date_key as flight_date, carrier_key, count(*) n from fact group by 1, 2) "
+         "full join daily using (flight_date, carrier_key) where n is distinct from flights_scheduled"),
+        ("schema_drift.unreviewed", "error",
+         "select 1 from log where reviewed_at is null and kind in ('added', 'removed') "
+         f"and detected_at < {RUN_SQL} - interval {REVIEW_DAYS} day"),
+    ]
+    return sql(" union all ".join(
+        f"select '{name}' as check_name, '{severity}' as severity, (select count(*) from ({text})) as failures, "
+        f"{RUN_SQL} as run_ts" for name, severity, text in lines))
+
+
+def _service_sql() -> str:
+    parts = []
+    for alarm in m.ALARMS:
+        step, statistic = alarm.period_seconds, alarm.statistic
+        sign = "<" if alarm.comparison == "less" else ">"
+        component = f"and component = '{alarm.component}'" if alarm.component else ""
+        parts.append(f"""
+            select '{alarm.name}' as alarm, count(*) as windows, count(*) filter (breach) as breaches,
+              count(*) filter (in_row = {alarm.periods}) as alarms from (
+              select breach, sum(breach::int) over (order by window_start rows {alarm.periods - 1} preceding) as in_row from (
+                select window_start, coalesce(v {sign} {alarm.threshold}, {str(alarm.missing_breaches).lower()}) as breach
+                from (select unnest(generate_series(timestamp '2024-01-05',
+                  timestamp '2024-01-07' - interval {step} second, interval {step} second)) as window_start) s
+                left join (select timestamp '1970-01-01' + to_seconds(cast(floor(epoch(ts) / {step}) * {step} as bigint)) as w,
+                  {statistic}(value) as v from counters where metric_name = '{alarm.metric}' {component} group by 1) on w = window_start))""")
+    metrics = ", ".join(f"'{name}'" for name in SERVICE_METRICS)
+    return (f"with counters as (select ts, value, case when user_id % 2 = 0 then 'producer' else 'consumer' end as component, "
+            f"([{metrics}])[event_id % {len(SERVICE_METRICS)} + 1] as metric_name from events) " + " union all ".join(parts))
+
+
 def _alarm_sql() -> str:
     spine = ("select unnest(generate_series(timestamp '2024-01-01', timestamp '2024-01-31' - interval {s} second, "
              "interval {s} second)) as window_start")
@@ -328,6 +442,8 @@ ORACLES = {
         "timestamp '1970-01-01' + to_seconds(b * 300 + 300) as window_end, metric_name, component, "
         "round(sum(value), 4) as sum_value, max(value) as max_value, count(*) as points "
         "from (select *, cast(floor(epoch(ts) / 300) as bigint) as b from points) group by b, metric_name, component"),
+    "dq_report": _report_sql(),
+    "alarms_in_service": _service_sql(),
     "alarm_evaluate": _alarm_sql(),
     "lag_status": sql(
         "select *, case when lag_seconds > 600 then 'fatal' when lag_seconds > 120 then 'warn' else 'ok' end as status "
