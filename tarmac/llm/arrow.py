@@ -12,6 +12,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+# Rows whose results a task holds at once.
+ROWS = 256
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
@@ -35,10 +39,13 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
-            made = [v if isinstance(v, pa.Array) else pa.array(v, f.type)
-                    for v, f in zip(compute(batch), arrow, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in kept), *made], names=[*kept, *arrow.names])
+        for whole in batches:
+            for begin in range(0, max(whole.num_rows, 1), ROWS):
+                batch = whole.slice(begin, ROWS)
+                made = [v if isinstance(v, pa.Array) else pa.array(v, f.type)
+                        for v, f in zip(compute(batch), arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(column(batch, c) for c in kept), *made], names=[*kept, *arrow.names])
 
     return docs.mapInArrow(run, StructType([docs.schema[c] for c in kept] + added.fields))
 

@@ -16,16 +16,18 @@ import codecs
 import hashlib
 import re
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tarmac.llm.arrow import add_columns, texts
 
 SPACE = "▁"
 # Units longer than this are not cached; the cache holds twice GENERATION units at most.
-CACHED_LENGTH, GENERATION = 48, 400_000
+CACHED_LENGTH, GENERATION = 48, 250_000
 
 
 class PieceModel:
@@ -239,21 +241,33 @@ DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 def _mapped(docs: DataFrame, path: str, fields: str, row: Callable[[PieceModel, str], tuple]) -> DataFrame:
     def make():
         model = load(path)
-        return lambda batch: list(zip(*[row(model, text) for text in texts(batch, "text")], strict=True)) or EMPTY
+
+        def compute(batch):
+            columns = list(zip(*[row(model, text) for text in texts(batch, "text")], strict=True)) or [()] * 3
+            return [_lists(c) if c and isinstance(c[0], np.ndarray) else c for c in columns]
+        return compute
     return add_columns(docs, fields, make, drop=["text"])
 
 
-EMPTY = ((), (), ())
+def _lists(rows: Sequence[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
+
+
+def _numbers(joined: str) -> np.ndarray:
+    return np.fromstring(joined, np.int32, sep=" ")
 
 
 def _ids_row(model: PieceModel, text: str) -> tuple:
-    ids = model.encode(text).split(" ")
-    return len(ids), list(map(int, ids)), model.decode(ids)
+    joined = model.encode(text)
+    ids = joined.split(" ")
+    return len(ids), _numbers(joined), model.decode(ids)
 
 
 def _checked_row(model: PieceModel, text: str) -> tuple:
-    ids = model.encode(text).split(" ")
-    return len(ids), list(map(int, ids)), model.decode(ids) == text
+    joined = model.encode(text)
+    ids = joined.split(" ")
+    return len(ids), _numbers(joined), model.decode(ids) == text
 
 
 def _digest_row(model: PieceModel, text: str) -> tuple:
