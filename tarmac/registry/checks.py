@@ -278,10 +278,10 @@ def _freshness(tables: dict[str, str]) -> str:
     return " union all ".join(f"select '{n}' as table_name, {e}" for n, e in tables.items())
 
 
-def _report_sql() -> str:
-    """The checks again, each in plain SQL."""
+def _check_lines(fact: str = "fact", as_of: str = RUN_SQL) -> list[tuple[str, str, str]]:
+    """The checks again, each in plain SQL: name, severity and a query of its violations."""
     views = {
-        "fct_flight_event": "fact", "agg_carrier_otp_daily": "daily", "dim_aircraft": "aircraft_dim", "dim_date": "days",
+        "fct_flight_event": fact, "agg_carrier_otp_daily": "daily", "dim_aircraft": "aircraft_dim", "dim_date": "days",
         "silver_flight_event": "silver", "silver_aircraft_state": "uniq_states"}
     keys = {
         "stg_flights": ["flight_event_natural_key", "flight_date", "carrier_code", "origin_iata", "dest_iata"],
@@ -317,29 +317,44 @@ def _report_sql() -> str:
     lines += [
         ("stg_flights.carrier_code.length", "warn", "select 1 from stg_flights where length(carrier_code) <> 2"),
         ("stg_flights.cancellation_code.accepted_values", "warn", f"select 1 from stg_flights {codes}"),
-        ("fct_flight_event.cancellation_code.accepted_values", "warn", f"select 1 from fact {codes}"),
+        ("fct_flight_event.cancellation_code.accepted_values", "warn", f"select 1 from {fact} {codes}"),
         ("silver_flight_event.reconciliation_status.accepted_values", "error", f"select 1 from silver {status}"),
-        ("fct_flight_event.reconciliation_status.accepted_values", "error", f"select 1 from fact {status}"),
+        ("fct_flight_event.reconciliation_status.accepted_values", "error", f"select 1 from {fact} {status}"),
         ("fct_flight_event.arr_delay_matches_timestamps", "error",
-         f"select 1 from fact where not (arr_delay_min is null or cancelled_flag or arr_delay_min = {late})"),
+         f"select 1 from {fact} where not (arr_delay_min is null or cancelled_flag or arr_delay_min = {late})"),
         ("fct_flight_event.cancelled_means_no_actual_dep", "error",
-         "select 1 from fact where cancelled_flag and actual_dep_ts is not null"),
-        ("fct_flight_event.no_future_actual_arrivals", "error", f"select 1 from fact where actual_arr_ts > {RUN_SQL}"),
+         f"select 1 from {fact} where cancelled_flag and actual_dep_ts is not null"),
+        ("fct_flight_event.no_future_actual_arrivals", "error", f"select 1 from {fact} where actual_arr_ts > {as_of}"),
         ("fct_flight_event.arr_delay_min.p95", "warn",
-         "select 1 from (select quantile_cont(arr_delay_min, 0.95) p from fact where not cancelled_flag) "
+         f"select 1 from (select quantile_cont(arr_delay_min, 0.95) p from {fact} where not cancelled_flag) "
          "where not coalesce(p between -30 and 240, false)"),
         ("fct_flight_event.ingested_at.recency", "error",
-         f"select 1 from (select max(ingested_at) m from fact) where not coalesce(m >= {RUN_SQL} - interval 25 hour, false)"),
+         f"select 1 from (select max(ingested_at) m from {fact}) where not coalesce(m >= {as_of} - interval 25 hour, false)"),
         ("agg_carrier_otp_daily.matches_detail", "error",
-         "select 1 from (select flight_date_key as flight_date, carrier_key, count(*) n from fact group by 1, 2) "
+         f"select 1 from (select flight_date_key as flight_date, carrier_key, count(*) n from {fact} group by 1, 2) "
          "full join daily using (flight_date, carrier_key) where n is distinct from flights_scheduled"),
         ("schema_drift.unreviewed", "error",
          "select 1 from log where reviewed_at is null and kind in ('added', 'removed') "
          f"and detected_at < {RUN_SQL} - interval {REVIEW_DAYS} day"),
     ]
+    return lines
+
+
+def _report_sql() -> str:
     return sql(" union all ".join(
         f"select '{name}' as check_name, '{severity}' as severity, (select count(*) from ({text})) as failures, "
-        f"{RUN_SQL} as run_ts" for name, severity, text in lines))
+        f"{RUN_SQL} as run_ts" for name, severity, text in _check_lines()))
+
+
+def _stored_sql() -> str:
+    """Checks of single rows keep a folder only if they found some; the others always do."""
+    whole = (".unique", ".relationships", ".p95", ".recency", ".matches_detail")
+    gold = ("fct_", "dim_", "agg_")
+    live = ("(select * replace (coalesce(live_actual_arr_ts, actual_arr_ts) as actual_arr_ts) from fact)")
+    return sql(" union all ".join(
+        f"select '{name}' as check_name, count(*) as failures from ({text}) "
+        + ("" if name.endswith(whole) else "having count(*) > 0")
+        for name, _, text in _check_lines(live, "timestamp '2024-01-30 12:00:00'") if name.startswith(gold)))
 
 
 def _service_sql() -> str:
@@ -443,6 +458,7 @@ ORACLES = {
         "round(sum(value), 4) as sum_value, max(value) as max_value, count(*) as points "
         "from (select *, cast(floor(epoch(ts) / 300) as bigint) as b from points) group by b, metric_name, component"),
     "dq_report": _report_sql(),
+    "store_failures": _stored_sql(),
     "alarms_in_service": _service_sql(),
     "alarm_evaluate": _alarm_sql(),
     "lag_status": sql(
