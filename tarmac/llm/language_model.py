@@ -33,6 +33,7 @@ from tarmac.llm.words import chunks, mix, word_hashes
 
 # Tokens of a block, and tokens for each shard.
 BLOCK_TOKENS, SHARD_TOKENS, LEAST_SHARDS = 400_000, 1_500_000, 12
+BLOCKS_PER_TASK = 4
 PRIOR, DISCOUNT = 100.0, 0.5
 _END = np.uint64(0x6A09E667F3BCC908)
 
@@ -271,7 +272,7 @@ def score_documents(docs: DataFrame, held_out: Column, block_tokens: int = BLOCK
     replies = written(
         blocks.select("block", "flags", "sizes", "vocabulary", "tokens")
         .mapInArrow(_word_messages(shards), _MESSAGE)
-        .repartition(shards, "shard").sortWithinPartitions("shard", "block")
+        .repartitionById(shards, "shard").sortWithinPartitions("shard", "block")
         .mapInArrow(_word_shards, _REPLY), "words")
     sizes = replies.groupBy("shard").agg(F.sum("words").alias("words"), F.sum("known").alias("known")).collect()
     offsets = np.zeros(shards + 1, np.int64)
@@ -280,6 +281,7 @@ def score_documents(docs: DataFrame, held_out: Column, block_tokens: int = BLOCK
     offsets = np.cumsum(offsets)
     train_docs = docs.filter(~F.coalesce(held_out, F.lit(True))).count()
     facts = {"train_tokens": tokens, "train_words": sum(r.known for r in sizes), "train_docs": train_docs, "shards": shards}
+    tasks = max(LEAST_SHARDS, (rows.blocks or 0) // BLOCKS_PER_TASK)
     content = blocks.select(
         "block", F.lit(0).alias("kind"), F.lit(0).alias("shard"), "docs", "flags", "sizes", "tokens",
         F.lit(None).cast("binary").alias("a"), F.lit(None).cast("binary").alias("b"))
@@ -289,11 +291,11 @@ def score_documents(docs: DataFrame, held_out: Column, block_tokens: int = BLOCK
         return frame.select("block", "kind", "shard", *none, "a", "b")
 
     def by_block(frame: DataFrame) -> DataFrame:
-        return frame.repartition("block").sortWithinPartitions("block", "kind", "shard")
+        return frame.repartition(tasks, "block").sortWithinPartitions("block", "kind", "shard")
 
     joined = content.unionByName(answers(replies))
     pairs = written(
         by_block(joined).mapInArrow(_pair_messages(offsets, facts), _MESSAGE)
-        .repartition(shards, "shard").sortWithinPartitions("shard", "block")
+        .repartitionById(shards, "shard").sortWithinPartitions("shard", "block")
         .mapInArrow(_pair_shards(int(offsets[-1]) + 1), _REPLY), "pairs")
     return by_block(joined.unionByName(answers(pairs))).mapInArrow(_score(offsets, facts), _SCORES)
