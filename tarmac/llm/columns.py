@@ -30,8 +30,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def split_of_rows(df: DataFrame, rows: int, least: int = 1) -> int:
-    """How many tasks of about ``rows`` rows the table makes (one row is read: a count)."""
-    return max(least, -(-df.count() // rows))
