@@ -38,6 +38,7 @@ def add_columns(
     arrow = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()
         compute = make()
         for whole in batches:
             for begin in range(0, max(whole.num_rows, 1), ROWS):

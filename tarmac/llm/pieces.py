@@ -26,18 +26,20 @@ from pyspark.sql import DataFrame
 from tarmac.llm.arrow import add_columns, texts
 
 SPACE = "▁"
-# Units longer than this are not cached; the cache holds twice GENERATION units at most.
-CACHED_LENGTH, GENERATION = 48, 250_000
+# Units longer than this are not cached; a worker's cache holds twice ``generation`` units at most,
+# some 250 bytes each, for as long as the worker lives. Checked pairs are kept likewise.
+CACHED_LENGTH, GENERATION, PAIRS = 48, 400_000, 150_000
 
 
 class PieceModel:
     """Vocabulary of a merge-type model with byte fallback, and encoding and decoding by it."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, generation: int = GENERATION) -> None:
         import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.generation = generation
         size = model.get_piece_size()
         self.end = model.eos_id()
         self.rank: dict[str, float] = {}
@@ -102,7 +104,7 @@ class PieceModel:
         """Whether two pieces stay as they are when their characters are merged anew."""
         known = self.agreed.get((left, right))
         if known is None:
-            if len(self.agreed) > 500_000:
+            if len(self.agreed) >= PAIRS:
                 self.agreed.clear()
             known = self.agreed[left, right] = self.merge(left + right) == ([left, right] if left else [right])
         return known
@@ -177,7 +179,7 @@ class PieceModel:
             if ids is None:
                 ids = " ".join(map(str, self.encode_unit(unit)))
             if len(unit) <= CACHED_LENGTH:
-                if len(self.young) >= GENERATION:
+                if len(self.young) >= self.generation:
                     self.old, self.young = self.young, {}
                 self.young[unit] = ids
         return ids
@@ -222,9 +224,9 @@ def _replace_each(error: UnicodeError) -> tuple[str, int]:
 codecs.register_error("each-byte", _replace_each)
 
 
-@lru_cache(maxsize=2)
-def load(path: str) -> PieceModel:
-    return PieceModel(path)
+@lru_cache(maxsize=1)
+def load(path: str, generation: int = GENERATION) -> PieceModel:
+    return PieceModel(path, generation)
 
 
 def default_model() -> str:
@@ -238,9 +240,11 @@ CHECKED = "n_tokens bigint, ids array<int>, round_trip boolean"
 DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def _mapped(docs: DataFrame, path: str, fields: str, row: Callable[[PieceModel, str], tuple]) -> DataFrame:
+def _mapped(
+    docs: DataFrame, path: str, fields: str, row: Callable[[PieceModel, str], tuple], generation: int = GENERATION,
+) -> DataFrame:
     def make():
-        model = load(path)
+        model = load(path, generation)
 
         def compute(batch):
             columns = list(zip(*[row(model, text) for text in texts(batch, "text")], strict=True)) or [()] * 3
@@ -287,9 +291,9 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     return _mapped(docs, model or default_model(), ENCODED, _ids_row)
 
 
-def encode_checked(docs: DataFrame, model: str | None = None) -> DataFrame:
+def encode_checked(docs: DataFrame, model: str | None = None, generation: int = GENERATION) -> DataFrame:
     """As ``encode_documents``, with whether the decoded text is the text instead of the text itself."""
-    return _mapped(docs, model or default_model(), CHECKED, _checked_row)
+    return _mapped(docs, model or default_model(), CHECKED, _checked_row, generation)
 
 
 def encode_digests(docs: DataFrame, model: str | None = None) -> DataFrame:

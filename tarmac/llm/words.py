@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text hashed at once; a longer text is hashed alone.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint8)
