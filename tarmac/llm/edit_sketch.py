@@ -159,20 +159,21 @@ def likeness(one: str, other: str) -> float:
 
 
 def bands(fingerprint: str) -> list[int]:
-    """Keys of sampled groups of places, at the own level and the next: neighbours in length can meet.
+    """Keys of sampled groups of places: those of the own level, and those shared with the level below and above.
 
-    Places are drawn by a hash and only below half of the level, where every path of it runs.
+    Places are drawn by a hash, of the own level below its half, and of two levels below a quarter
+    of the upper one: there every path of them runs, so both texts draw the same places.
     """
     level, length, symbols = _parse(fingerprint)
     keys = []
-    for to in (level, level + 1):
+    for to, below, salt in ((level, level - 1, level + 100), (level, level - 2, level), (level + 1, level - 1, level + 1)):
         own = _raised(level, symbols, to)
-        low = np.flatnonzero(sampled_places(to) < 2 ** (level - 1))
+        low = np.flatnonzero(sampled_places(to) < 2 ** below)
         if not len(low) or not length:
             continue
-        draw = low[(_mix(np.arange(BANDS * BAND_PLACES) + np.uint64(_SEED * 7 + to)) % np.uint64(len(low))).astype(int)]
+        draw = low[(_mix(np.arange(BANDS * BAND_PLACES) + np.uint64(_SEED * 7 + salt)) % np.uint64(len(low))).astype(int)]
         picked = own[draw].reshape(BANDS, BAND_PLACES).astype(np.uint64)
-        key = np.arange(BANDS, dtype=np.uint64) + np.uint64(to * 1000)
+        key = np.arange(BANDS, dtype=np.uint64) + np.uint64(salt * 1000)
         for k in range(BAND_PLACES):
             key = _mix(key * np.uint64(257) + picked[:, k] + np.uint64(1))
         keys += key.astype(np.int64).tolist()

@@ -96,6 +96,22 @@ def test_fingerprint_search(spark, documents):
     assert got == {(0, 0), (0, 100), (1, 1), (1, 101)}
 
 
+def test_search_across_levels(spark, documents):
+    """Near copies whose path lengths lie on two sides of a power of two are found as by likeness alone."""
+    rng = random.Random(9)
+    rows, level = [], lambda m: int(m.split("-")[0])
+    for at in range(6, 14):
+        for _ in range(4):
+            text = "".join(rng.choice("abcdefghijkl mnop") for _ in range(2 ** at))
+            rows += [(len(rows) + k, text[:int(2 ** at / 1.87 * share)]) for k, share in enumerate((0.92, 0.98, 1.02, 1.08))]
+    prints = edit_sketch.fingerprint_documents(documents(rows))
+    marks = {r.doc_id: r.fingerprint for r in prints.collect()}
+    want = {(a, b) for a in marks for b in marks if a // 4 == b // 4 and edit_sketch.likeness(marks[a], marks[b]) >= 0.8}
+    across = {level(marks[a]) for a, b in want if level(marks[a]) < level(marks[b])}
+    assert across >= set(range(8, 14)) - {10, 11} and len(across) >= 6
+    assert {(r.query_id, r.doc_id) for r in edit_sketch.search(prints, prints).collect()} >= want
+
+
 NEAR = r"""
 with recursive docs as (
     select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
