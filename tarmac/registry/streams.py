@@ -153,13 +153,10 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model(spark: SparkSession, d: str) -> delay_model.DelayModel:
-    """The model with its declared parameters on all silver flights, trained once per session and input.
-
-    It stops once a round improves the validation error by less than a hundredth."""
+    """The model with its declared parameters on all silver flights, trained once per session and input."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _models:
-        _models[key] = delay_model.train(
-            _rows(spark, d), frames.RUN_TS, validation_tolerance=0.01)
+        _models[key] = delay_model.train(_rows(spark, d), frames.RUN_TS)
     return _models[key]
 
 

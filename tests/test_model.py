@@ -58,6 +58,15 @@ def test_split_ignores_partitioning(spark, silver):
     assert one != rows(dm.split(silver, "flight_event_natural_key", seed=1), "flight_event_natural_key", "is_validation")
 
 
+def test_registered_model_has_the_declared_parameters(spark, silver, monkeypatch):
+    from tarmac.registry import frames, streams
+
+    monkeypatch.setattr(frames, "gold_tables", lambda *_: {"silver_flight_event": silver})
+    monkeypatch.setattr(dm, "train", lambda *given, **changed: (len(given), changed))
+    monkeypatch.setattr(streams, "_models", {})
+    assert streams.model(spark, "declared") == (2, {})
+
+
 def test_train_save_load_score(spark, silver, tmp_path):
     data = dm.split(dm.training_rows(silver), "flight_event_natural_key")
     model = dm.train(data, RUN, trees=6, learning_rate=0.5, depth=3, max_categories=32)
