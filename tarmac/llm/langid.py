@@ -158,11 +158,13 @@ def identify(docs: DataFrame, model: LanguageModel, drop: Sequence[str] = (), fi
     return add_columns(docs, fields, make, drop)
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.28) -> DataFrame:
-    """The documents whose language is known with a score of ``least`` or more, all columns as they came.
+def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The documents whose language is known, all columns as they came.
 
-    What goes has no text, no letter, or a language that the model tells from no other.
+    What goes has no text or no letter, whatever the number of languages; a model that has
+    learned no language tells nothing against a text with letters.
     """
+    if not model.classes:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = identify(docs, model, fields="_lang_found string, _lang_score double")
-    known = (F.col("_lang_found") != UNKNOWN) & (F.col("_lang_score") >= least)
-    return found.filter(known).select(*docs.columns)
+    return found.filter(F.col("_lang_found") != UNKNOWN).select(*docs.columns)

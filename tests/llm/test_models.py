@@ -45,6 +45,23 @@ def test_language_edges(spark, documents):
     assert langid.identify(documents([]), model).count() == 0
 
 
+@pytest.mark.parametrize("count", [2, 4, 24])
+def test_no_identified_document_goes_with_many_languages(spark, documents, count):
+    rng = np.random.default_rng(11)
+    rows = []
+    for lang in range(count):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 8))) for _ in range(60)]
+        rows += [(1000 * lang + i, " ".join(rng.choice(words, 2 if i % 2 else 25)), f"l{lang}") for i in range(40)]
+    docs = documents(rows)
+    model = langid.fit_languages(docs.filter("doc_id % 4 > 1"))
+    asked = docs.filter("doc_id % 4 < 2")
+    right = {r.doc_id for r in langid.identify(asked, model).filter("lang = lang_pred").collect()}
+    assert len(right) > 0.8 * asked.count()
+    assert {r.doc_id for r in langid.keep_identified(asked, model).collect()} >= right
+    unlabelled = langid.fit_languages(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert langid.keep_identified(asked, unlabelled).count() == asked.count()
+
+
 def test_language_kernel_is_the_definition():
     model = langid.LanguageModel(["ab abc", "bcd"], "abcd")
     grams = lambda t: {t[i:i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
