@@ -19,30 +19,53 @@ from tarmac.llm.arrow import add_columns, code_points, sample_by_class, texts
 
 UNKNOWN = "und"
 FIELDS = "lang_pred string, score double"
-# Bounds of the labelled sample and of its landmarks per language, of the length of sampled texts
-# (scored texts have none), and of the letters that have a code of their own.
-SAMPLE_PER_CLASS, LANDMARKS_PER_CLASS, SAMPLE_CHARS, LETTERS = 240, 24, 20_000, 94
+# Bounds of the labelled sample and of its landmarks per language, of the length of texts that are
+# sampled whole (of longer ones, their distinct n-grams), and of the letters that have a code of
+# their own. N-grams with other letters are hashed to so many codes.
+SAMPLE_PER_CLASS, LANDMARKS_PER_CLASS, SAMPLE_CHARS, LETTERS, HASHED = 240, 24, 20_000, 94, 1 << 17
 _ROWS = 32
+# A character has 21 bits of a packed n-gram; what is no letter is 1.
+_BITS, _POINT = 21, (1 << 21) - 1
+_ALPHA = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+
+
+def packed_grams(text: str) -> np.ndarray:
+    """The distinct n-grams with n up to 3 as numbers; none for a text without letters."""
+    c = code_points(f" {text.lower()} ").astype(np.int64)
+    c[~_ALPHA[c]] = 1
+    if (c == 1).all():
+        return np.zeros(0, np.int64)
+    c = c[np.r_[True, (c[1:] > 1) | (c[:-1] > 1)]]
+    two = c[:-1] << _BITS | c[1:]
+    return np.unique(np.concatenate([c, two, two[:-1] << _BITS | c[2:]]))
 
 
 @dataclass
 class Grams:
-    """Codes of the n-grams of a text over an alphabet: 0 between words, 1 for rare letters."""
+    """Codes of the n-grams of a text: exact over an alphabet, hashed with other letters; 0 between words."""
 
     letters: str
 
     def __post_init__(self) -> None:
         self.base = len(self.letters) + 2
-        self.size = self.base + self.base ** 2 + self.base ** 3
-        self._code = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.uint8, 0x110000)
+        self.exact = self.base + self.base ** 2 + self.base ** 3
+        self.size = self.exact + HASHED
+        self._code = _ALPHA.astype(np.uint8)
         for i, letter in enumerate(self.letters):
             self._code[ord(letter)] = i + 2
 
-    def codes(self, text: str) -> np.ndarray:
-        """Every n-gram with n up to 3, repeated ones too; none for a text without letters."""
+    def codes(self, text: str | np.ndarray) -> np.ndarray:
+        """Every n-gram with n up to 3, repeated ones too; none for a text without letters.
+
+        Distinct n-grams of a text, packed, stand for it.
+        """
+        if not isinstance(text, str):
+            return self._of_packed(text)
         c = self._code[code_points(f" {text.lower()} ")]
         if not c.any():
             return np.zeros(0, np.int32)
+        if (c == 1).any():
+            return self._of_packed(packed_grams(text))
         once = np.r_[True, (c[1:] > 0) | (c[:-1] > 0)]
         c = c[once].astype(np.int32)
         b = self.base
@@ -50,11 +73,24 @@ class Grams:
         three = two[:-1] * b + c[2:]
         return np.concatenate([c, two + b, three + b + b * b])
 
+    def _of_packed(self, packed: np.ndarray) -> np.ndarray:
+        parts = [packed >> 2 * _BITS, packed >> _BITS & _POINT, packed & _POINT]
+        places = [self._code[p].astype(np.int64) for p in parts]
+        b, other = self.base, np.zeros(len(packed), bool)
+        for place in places:
+            other |= place == 1
+        exact = (places[0] * b + places[1]) * b + places[2]
+        exact += np.where(parts[0] > 0, b + b * b, np.where(parts[1] > 0, b, 0))
+        mixed = packed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        hashed = self.exact + (mixed >> np.uint64(32)).astype(np.int64) % HASHED
+        return np.where(other, hashed, exact).astype(np.int32)
+
 
 class LanguageModel:
     """Landmarks, and regression weights for kernels with them."""
 
-    def __init__(self, landmarks: Sequence[str], letters: str) -> None:
+    def __init__(self, landmarks: Sequence[str | np.ndarray], letters: str) -> None:
         self.grams = Grams(letters)
         known = [np.unique(self.grams.codes(t)) for t in landmarks]
         self.features = np.unique(np.concatenate(known)) if known else np.zeros(0, np.int32)
@@ -77,7 +113,7 @@ class LanguageModel:
         self.__dict__.update(state)
         self._index()
 
-    def kernels(self, batch: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    def kernels(self, batch: Sequence[str | np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Kernels with the landmarks (and a constant), and which texts have letters."""
         present = np.zeros((len(batch), len(self.features)), np.float32)
         own, lettered = np.ones(len(batch), np.float32), np.zeros(len(batch), bool)
@@ -94,7 +130,7 @@ class LanguageModel:
         k = (present @ self.presence) / np.sqrt(own)[:, None]
         return np.hstack([k, np.ones((len(batch), 1), np.float32)]), lettered
 
-    def fit(self, batch: Sequence[str], labels: Sequence[str], ridge: float = 1e-3) -> LanguageModel:
+    def fit(self, batch: Sequence[str | np.ndarray], labels: Sequence[str], ridge: float = 1e-3) -> LanguageModel:
         self.classes = sorted(set(labels))
         k = np.vstack([self.kernels(batch[i:i + _ROWS])[0] for i in range(0, len(batch), _ROWS)]).astype(float)
         among = (self.presence.T @ self.presence).astype(float)
@@ -128,21 +164,31 @@ def fit_languages(
 ) -> LanguageModel:
     """A model from rows with doc_id, text and lang: at most ``per_class`` of each language.
 
-    Rows with a NULL id, text or language, or without a letter, teach nothing. Sampled are texts
-    of up to ``SAMPLE_CHARS`` characters, chosen by a hash of the id, whole.
+    Rows with a NULL id, text or language, or without a letter, teach nothing. Texts are chosen by
+    a hash of the id; of those over ``SAMPLE_CHARS`` characters tasks send the distinct n-grams.
     """
     frame = labelled.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-        & (F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"\p{L}"))
-    rows = sample_by_class(frame, "lang", F.col("doc_id").cast("string"), per_class).orderBy("lang", "_rank").collect()
+        & F.col("text").rlike(r"\p{L}"))
+    few = sample_by_class(frame, "lang", F.col("doc_id").cast("string"), per_class)
+    long = F.length("text") > SAMPLE_CHARS
+
+    @F.pandas_udf("binary")
+    def packed(texts_):
+        return texts_.map(lambda t: None if t is None else packed_grams(t).tobytes())
+
+    rows = few.select(
+        "lang", "_rank", F.when(~long, F.col("text")).alias("text"), packed(F.when(long, F.col("text"))).alias("grams"),
+    ).orderBy("lang", "_rank").collect()
+    taught = [np.frombuffer(r.grams, np.int64) if r.text is None else r.text for r in rows]
     counts: dict[str, int] = {}
-    for r in rows:
-        for c in r.text.lower():
-            if c.isalpha():
-                counts[c] = counts.get(c, 0) + 1
+    for t in taught:
+        points = code_points(t.lower()) if isinstance(t, str) else t & _POINT
+        for p, n in zip(*np.unique(points[_ALPHA[points]], return_counts=True), strict=True):
+            counts[chr(p)] = counts.get(chr(p), 0) + int(n)
     letters = "".join(sorted(sorted(counts, key=lambda c: (-counts[c], c))[:LETTERS]))
-    model = LanguageModel([r.text for r in rows if r["_rank"] <= landmarks], letters)
-    return model.fit([r.text for r in rows], [r.lang for r in rows]) if rows else model
+    model = LanguageModel([t for r, t in zip(rows, taught, strict=True) if r["_rank"] <= landmarks], letters)
+    return model.fit(taught, [r.lang for r in rows]) if rows else model
 
 
 def identify(docs: DataFrame, model: LanguageModel, drop: Sequence[str] = (), fields: str = FIELDS) -> DataFrame:

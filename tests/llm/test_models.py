@@ -62,6 +62,31 @@ def test_no_identified_document_goes_with_many_languages(spark, documents, count
     assert langid.keep_identified(asked, unlabelled).count() == asked.count()
 
 
+def test_language_of_rare_letters_and_of_long_texts(spark, documents):
+    """Two languages whose letters have no code of their own, and one whose documents are all long."""
+    rng, rows = np.random.default_rng(12), []
+    for k, first in enumerate((0x4E00, 0x5E00)):  # few characters each, beside a language with 150 letters
+        letters = [chr(first + i) for i in range(80)]
+        rows += [(100 * k + i, "".join(rng.choice(letters, 30)), f"rare{k}") for i in range(40)]
+    common = [chr(0xAC00 + i) for i in range(150)]
+    rows += [(200 + i, "".join(rng.choice(common, 3000)), "common") for i in range(40)]
+    words = ["".join(rng.choice(list("abcdefg"), 5)) for _ in range(50)]
+    rows += [(300 + i, " ".join(rng.choice(words, 5000)), "long") for i in range(12)]
+    docs = documents(rows)
+    model = langid.fit_languages(docs.filter("doc_id % 4 > 0"))
+    assert model.classes == ["common", "long", "rare0", "rare1"]
+    got = langid.identify(docs.filter("doc_id % 4 = 0"), model).collect()
+    assert all(r.lang == r.lang_pred for r in got)
+
+
+def test_packed_grams_have_the_codes_of_the_text():
+    for letters in ("abcd", "ab"):
+        grams = langid.Grams(letters)
+        for text in ("ab abc", "  d, cab!! bad", "a"):
+            assert set(grams.codes(text)) == set(grams.codes(langid.packed_grams(text)))
+    assert len(set(langid.Grams("").codes("漢字語"))) == len(langid.packed_grams("漢字語")) == 11
+
+
 def test_language_kernel_is_the_definition():
     model = langid.LanguageModel(["ab abc", "bcd"], "abcd")
     grams = lambda t: {t[i:i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
