@@ -16,7 +16,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    return sorted((tuple(r) for r in (df.select(*order) if order else df).collect()), key=repr)

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from tarmac.plans import gold, serving

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from tarmac import standins

@@ -3,7 +3,7 @@ import json
 import zipfile
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from tarmac.operators.drift import append_drift, drift_rows, read_drift_log, schema_drift, unreviewed_drift, unreviewed_drift_count
