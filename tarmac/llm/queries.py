@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, edit_sketch, langid, language_model, near_dedup, pieces, reference, secrets, toxicity, url_filter
+from tarmac.llm import (
+    chat, decontaminate, edit_sketch, laesa, langid, language_model, near_dedup, pieces, reference, secrets, sharding,
+    toxicity, url_filter, walsh)
 from tarmac.llm.columns import id_remainder, table
 from tarmac.session import scratch_path
 
@@ -89,6 +91,23 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.joined_spans(all_found).alias("spans"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return walsh.with_inertia(*walsh.cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laesa.code_digests(*laesa.encode_vectors(table(spark, sf_dir, "embeddings"))).drop("label")
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents sorted into eight shards of near equal bytes; the digest of each text is taken where it has arrived."""
+    found = sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", sharding.size_of("text").alias("size"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("long")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontaminate": op2_decontaminate,
@@ -100,10 +119,16 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_pieces": op10_pieces,
+    "op11_centroids": op11_centroids,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_shards": op13_shards,
 }
 ORACLES = {
     "op1_url_filter": reference.URLS,
     "op2_decontaminate": reference.CONTAMINATION,
     "op5_chat_format": reference.CHAT,
     "op8_secret_scan": reference.SECRETS,
+    "op11_centroids": reference.CENTROIDS,
+    "op12_vector_codes": reference.VECTOR_CODES,
+    "op13_shards": reference.SHARDS,
 }

@@ -134,3 +134,110 @@ from docs left join found using (row)
 
 
 SECRETS = _secret_sql()
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """Common tables c0 to c<rounds> of (k, p, y), and d0 to d<rounds> of (vec_id, k, d)."""
+    out = []
+    for r in range(rounds + 1):
+        if r:
+            out.append(f"""
+m{r} as (
+    select k, p, sum(x)::bigint s, count(*)::bigint n from d{r - 1} join x using (vec_id) group by k, p),
+c{r} as (
+    select k, p, case when n is null then y else (s - ((s % n) + n) % n) // n end y from c{r - 1} left join m{r} using (k, p))""")
+        out.append(f"""
+d{r} as (
+    select vec_id, arg_min(k, (d, k)) k, min(d) d from (
+        select vec_id, k, sum((x - y) * (x - y))::bigint d from x join c{r} using (p) group by vec_id, k)
+    group by vec_id)""")
+    return ",".join(out)
+
+
+CENTROIDS = f"""
+with kept as (
+    select vec_id, embedding v from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64),
+x as (
+    select vec_id, p, floor(256 * v[p]::double)::bigint x from (select vec_id, v, unnest(range(1, 65)) p from kept)),
+starts as (
+    select vec_id, row_number() over (order by sha256('2:' || vec_id)) - 1 k from kept
+    order by k limit 40),
+c0 as (select k, p, x y from starts join x using (vec_id)),{_centroid_rounds(5)},
+sums as (select k, sum(d)::bigint inertia from d5 group by k),
+digests as (select k, sha256(string_agg(y::bigint::varchar, ',' order by p)) sha from c5 group by k)
+select vec_id, k::int as cluster, d as distance, sums.inertia as cluster_inertia,
+    (select sum(d)::bigint from d5) as inertia, sha as centroid_sha256
+from d5 join sums using (k) join digests using (k)
+"""
+
+
+def _code_rounds(rounds: int) -> str:
+    """Common tables e0 to e<rounds> of (part, k, p, y), and g0 to g<rounds> of (vec_id, part, k, d)."""
+    out = []
+    for r in range(rounds + 1):
+        if r:
+            out.append(f"""
+m{r} as (
+    select part, k, p, sum(x)::bigint s, count(*)::bigint n from g{r - 1} join x using (vec_id, part) group by part, k, p),
+e{r} as (
+    select part, k, p, case when n is null then y else (s - ((s % n) + n) % n) // n end y
+    from e{r - 1} left join m{r} using (part, k, p))""")
+        out.append(f"""
+g{r} as (
+    select vec_id, part, arg_min(k, (d, k)) k, min(d) d from (
+        select x.vec_id, x.part, k, sum((x - y) * (x - y))::bigint d from x join e{r} using (part, p) group by all)
+    group by vec_id, part)""")
+    return ",".join(out)
+
+
+VECTOR_CODES = f"""
+with kept as (
+    select vec_id, label, embedding v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = len(embedding)),
+x as (
+    select vec_id, (p - 1) // 16 part, (p - 1) % 16 p, floor(1024 * v[p]::double)::bigint x
+    from (select vec_id, v, unnest(range(1, 65)) p from kept)),
+starts as (select vec_id, row_number() over (order by vec_id) - 1 k from kept order by k limit 256),
+e0 as (select part, k, p, x y from starts join x using (vec_id)),{_code_rounds(4)},
+coded as (
+    select vec_id, string_agg(lpad(lower(to_hex(k)), 2, '0'), '' order by part) code, sum(d)::bigint error from g4 group by vec_id),
+labelled as (select coded.*, label from coded join kept using (vec_id)),
+sums as (select label, sum(error)::bigint label_error from labelled group by label)
+select vec_id, code, error, label_error,
+    (select sha256(string_agg(y::bigint::varchar, ',' order by part, k, p)) from e4) as codebooks_sha256
+from labelled join sums on labelled.label is not distinct from sums.label
+"""
+
+SHARDS = """
+with recursive bits(i, v, k) as (
+    select range::bigint, range::bigint, 0 from range(256)
+    union all
+    select i, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from bits where k < 8),
+crc as (select list(v order by i) t from bits where k = 8),
+docs as (
+    select doc_id, coalesce(strlen(text), 0) + 1 size, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::bigint a,
+        list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::bigint) bytes
+    from documents),
+placed as (
+    select doc_id, size, a, bytes,
+        row_number() over w n, sum(size) over w s, sum(size) over (order by a) group_end,
+        sum(size) over (order by a) - sum(size) over (partition by a) group_begin
+    from docs window w as (order by a, doc_id nulls first rows unbounded preceding)),
+targets as (
+    select k, (select sum(size) from docs) // 1 * k // 8 want, (select sum(size) from docs) * 0.01 / 8 near from range(1, 8) t(k)),
+-- The border of texts nearest to each even share if it is near enough, else the border of documents.
+borders as (
+    select k, want, near, min((abs(g - want), g)) text_border from targets, (select distinct group_end g from placed union select 0) group by all),
+rows_below as (
+    select k, min((abs(s - want), s)) row_border from targets, (select s from placed union select 0) group by k),
+ends as (
+    select k, case when struct_extract_at(text_border, 1) <= near then struct_extract_at(text_border, 2)
+        else struct_extract_at(row_border, 2) end s
+    from borders join rows_below using (k)),
+sharded as (select placed.*, (select count(*) from ends where ends.s < placed.s) shard from placed)
+select doc_id, size::bigint as size,
+    xor(list_reduce(list_prepend(4294967295::bigint, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) as text_crc32,
+    'bytes' as law, shard::int as shard, row_number() over (partition by shard order by n) - 1 as slot, null::int as grown_shard
+from sharded, crc
+"""
