@@ -22,6 +22,8 @@ SCALE = 1024
 PIVOTS = 8
 # Entries with the least bounds that are evaluated first.
 FIRST = 4
+# Share of pairs that the bounds leave beyond which they are evaluated as a matrix product.
+PRODUCT_SHARE = 1 / 16
 ROWS = 2048
 # A table of sums by label is sent to all executors up to this many rows, else shuffled.
 BROADCAST_ROWS = 100_000
@@ -63,7 +65,8 @@ def nearest(x: np.ndarray, entries: np.ndarray, to_pivots: np.ndarray, entry_piv
 
     The difference of two distances to one pivot is at most the distance between the two, so the
     largest over the pivots is a lower bound. Entries with the least bounds are evaluated first;
-    of the others only those whose bound does not exceed the best distance found.
+    of the others only those whose bound does not exceed the best distance found, one by one where
+    few are left, as a matrix product where the bounds prune little.
     """
     bound = np.abs(to_pivots[:, :1] - entry_pivots[:, 0])
     for p in range(1, entry_pivots.shape[1]):
@@ -78,9 +81,16 @@ def nearest(x: np.ndarray, entries: np.ndarray, to_pivots: np.ndarray, entry_piv
     # Roots are rounded: the margin is far above their errors, so no tie is lost.
     margin = 1e-12 * (to_pivots.max(initial=0) + entry_pivots.max(initial=0))
     bound[row, least] = np.inf
-    rows, cols = np.nonzero(bound - margin <= (best * (1 + 1e-12))[:, None])
-    gap = x[rows] - entries[cols]
-    exact[rows, cols] = (gap * gap).sum(axis=1)
+    left = bound - margin <= (best * (1 + 1e-12))[:, None]
+    if x.dtype != object and left.mean() > PRODUCT_SHARE:
+        # Exact as well: every term is an integer that float64 holds. Entries that all rows have pruned stay out.
+        some = left.any(axis=0)
+        e = entries[some]
+        exact[:, some] = (x * x).sum(axis=1)[:, None] + (e * e).sum(axis=1) - 2 * (x @ e.T)
+    else:
+        rows, cols = np.nonzero(left)
+        gap = x[rows] - entries[cols]
+        exact[rows, cols] = (gap * gap).sum(axis=1)
     which = exact.argmin(axis=1)
     return which, exact[np.arange(len(x)), which]
 
