@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac import files
+from tarmac.operators import keyindex
 from tarmac.operators.dedupe import keep_first
 from tarmac.session import scratch_path
 
@@ -68,12 +70,16 @@ def settle(spark: SparkSession, path: str) -> None:
 
 
 def _put_in_place(spark: SparkSession, path: str, name: str) -> None:
-    """Move each merged partition over the old one; each is either still to be moved or done."""
+    """Move each merged partition over the old one; each is either still to be moved or done.
+
+    A partition that the merge has left without rows is an empty folder here, and goes.
+    """
     staged = f"{path}/{name}"
     for folder in files.names(spark, staged):
         if "=" in folder:
             files.delete(spark, f"{path}/{folder}")
-            files.rename(spark, f"{staged}/{folder}", f"{path}/{folder}")
+            if files.names(spark, f"{staged}/{folder}"):
+                files.rename(spark, f"{staged}/{folder}", f"{path}/{folder}")
     files.delete(spark, staged)
 
 
@@ -125,6 +131,73 @@ def upsert(
     return touched
 
 
+def upsert_by_key(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str,
+    latest_by: Sequence[Column] | None = None, sort_by: Sequence[str] = (),
+) -> list[str]:
+    """Merge by key alone: a key whose partition has changed leaves no row in the old one.
+
+    Returns the partition values rewritten: those of the source, and those that lose rows to it.
+    Keys the source's own partitions do not have are looked up in the key filters that each merge
+    leaves inside the folders it writes (``keyindex``); only folders that these do not rule out are
+    listed, and only their key columns read, to see which hold an old version. Folders that other
+    writers made have no filter and are looked into; ``keyindex.write_filters`` gives them one.
+    ``latest_by`` settles repeated keys in the source, whatever their partitions. A NULL in a key
+    matches nothing. Commit and failures are those of ``upsert``; filters move with their folders.
+    """
+    settle(spark, path)
+    if latest_by:
+        source = keep_first(source, keys, latest_by)
+    run = uuid.uuid4().hex[:12]
+    draft, staged = f"{path}/{_DRAFT}{run}", scratch_path(spark, "upsert-source")
+    present = files.partition_values(spark, path, partition_by)
+    _laid_out(source, partition_by, sort_by).write.partitionBy(partition_by).parquet(staged)
+    touched = files.partition_values(spark, staged, partition_by)
+    if not touched:
+        files.delete(spark, staged)
+        return []
+    dtype = source.schema[partition_by].dataType
+    again = spark.read.schema(source.schema).option("basePath", staged).parquet(
+        *[f"{staged}/{partition_by}={v}" for v in touched])
+
+    def folders(values: Sequence[str]) -> DataFrame:
+        old = (
+            spark.read.option("mergeSchema", "true").option("basePath", path)
+            .parquet(*[f"{path}/{partition_by}={v}" for v in values])
+        )
+        return old.withColumn(partition_by, F.col(partition_by).cast(dtype))
+
+    # Keys that are new to their partition: inserted, or moved here from another.
+    known = [v for v in touched if v in set(present)]
+    asked = again.select(*keys, partition_by)
+    if known:
+        asked = asked.join(folders(known).select(*keys, partition_by), [*keys, partition_by], "left_anti")
+    asked_path = scratch_path(spark, "upsert-new-keys")
+    asked.select(*keys).write.parquet(asked_path)
+    asked = spark.read.schema(source.select(*keys).schema).parquet(asked_path)
+    maybe = [v for v in keyindex.folders_that_may_hold(
+        spark, path, [v for v in present if v not in set(known)], asked, keys, partition_by)]
+    losing: list[str] = []
+    if maybe:
+        held = folders(maybe).select(*keys, partition_by).join(asked, list(keys), "left_semi")
+        losing = sorted(str(r[0]) for r in held.select(F.col(partition_by).cast("string")).distinct().collect())
+        losing = [v for v in maybe if unquote(v) in set(losing)]
+    result = again
+    if known or losing:
+        result = merge_rows(folders([*known, *losing]), again, keys)
+    _laid_out(result, partition_by, sort_by).write.partitionBy(partition_by).parquet(draft)
+    written = files.partition_values(spark, draft, partition_by)
+    keyindex.write_filters(spark, draft, written, keys, partition_by)
+    for value in losing:
+        if value not in set(written):
+            files.make_folder(spark, f"{draft}/{partition_by}={value}")
+    files.rename(spark, draft, f"{path}/{_READY}{run}")
+    _put_in_place(spark, path, f"{_READY}{run}")
+    for used in (staged, asked_path):
+        files.delete(spark, used)
+    return sorted({*touched, *losing})
+
+
 def full_refresh(spark: SparkSession, path: str, df: DataFrame) -> None:
     """Replace a table. The new one is complete before it takes the old one's place."""
     settle(spark, path)

@@ -264,6 +264,21 @@ def q_upsert(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_table(spark, path).drop("load")
 
 
+def q_upsert_moved(spark: SparkSession, d: str) -> DataFrame:
+    """Flights that change their day: a third of ten days moves three weeks on, twice; some come back."""
+    unique = silver.unique_flights(frames.flights(spark, d)).select(*_MERGED)
+    path, key = scratch_path(spark, "moving-target"), ["flight_event_natural_key"]
+    tables.upsert_by_key(spark, path, unique, key, "flight_date")
+    place = F.conv(F.substring("flight_event_natural_key", 1, 6), 16, 10).cast("long")
+    early = unique.filter(F.col("flight_date") <= F.lit(dt.date(2024, 1, 10)))
+    moved = early.filter(place % 3 == 0).withColumns({
+        "flight_date": F.date_add("flight_date", 21), "dep_delay_min": F.col("dep_delay_min") + 1000})
+    for _ in range(2):
+        tables.upsert_by_key(spark, path, moved, key, "flight_date", sort_by=["carrier_code"])
+    tables.upsert_by_key(spark, path, early.filter(place % 6 == 0), key, "flight_date")
+    return tables.read_table(spark, path)
+
+
 def q_late_arrival(spark: SparkSession, d: str) -> DataFrame:
     """Only changes inside the window before the table's latest day are merged."""
     path, changed = _first_load(spark, d)
@@ -390,6 +405,7 @@ QUERIES = {
     "airport_snapshot": q_airport_snapshot,
     "fct_flight_event_at": q_fact_at,
     "upsert_merge": q_upsert,
+    "upsert_moved_key": q_upsert_moved,
     "late_arrival_merge": q_late_arrival,
     "incremental_window": q_incremental_window,
     "backfill_window": q_backfill_window,
@@ -496,6 +512,11 @@ ORACLES = {
         f"select {_C} from uniq_flights where flight_date < date '2024-01-16' union all "
         "select * replace (dep_delay_min + 1002 as dep_delay_min) from "
         f"(select {_C} from uniq_flights where flight_date >= date '2024-01-16')"),
+    "upsert_moved_key": sql(
+        "select flight_event_natural_key, case when moves then flight_date + 21 else flight_date end as flight_date, "
+        "carrier_code, case when moves then dep_delay_min + 1000 else dep_delay_min end as dep_delay_min, arr_delay_min from ("
+        f"select {_C}, flight_date <= date '2024-01-10' and "
+        "('0x' || substr(flight_event_natural_key, 1, 6))::bigint % 6 = 3 as moves from uniq_flights)"),
     "late_arrival_merge": sql(
         f"select {_C} from uniq_flights where flight_date < date '2024-01-10' union all "
         "select * replace (dep_delay_min + 1000 as dep_delay_min) from "
