@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +25,10 @@ LEARNING_RATE = 0.05
 VALIDATION_PERCENT = 20
 MIN_ROWS_PER_LEAF = 40
 SEED = 42
-# Share of the error by which a round has to improve on the best so far.
-VALIDATION_TOLERANCE = 0.0001
+# Boosting ends once so many rounds have passed without a lower validation error.
+PATIENCE = 25
+# Rows that one task passes over at each level of each tree.
+ROWS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -50,41 +53,68 @@ def split(rows: DataFrame, key: str, seed: int = SEED, percent: int = VALIDATION
     return rows.withColumn("is_validation", place < percent)
 
 
+def kept_rounds(curve: Sequence[float], patience: int = PATIENCE) -> int:
+    """Rounds up to the best one that is seen before ``patience`` rounds bring no lower error."""
+    best = 0
+    for i, error in enumerate(curve):
+        if error < curve[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1 if curve else 0
+
+
+def first_trees(model: GBTRegressionModel, count: int) -> GBTRegressionModel:
+    """The ensemble of the first ``count`` rounds."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, count)
+    weights = gateway.new_array(gateway.jvm.double, count)
+    all_trees, all_weights = java.trees(), java.treeWeights()
+    for i in range(count):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights)
+    return GBTRegressionModel(java.copyValues(cut, java.extractParamMap()))
+
+
 def train(
     rows: DataFrame, trained_at: dt.datetime, trees: int = TREES,
     learning_rate: float = LEARNING_RATE, depth: int = 6, max_categories: int = 1024,
-    seed: int = SEED, validation_tolerance: float = VALIDATION_TOLERANCE,
+    seed: int = SEED, patience: int = PATIENCE,
 ) -> DelayModel:
-    """Boosted trees on absolute error; boosting stops once validation no longer improves.
+    """Boosted trees on absolute error, as many rounds as lower the validation error.
 
-    ``rows`` come from ``split``. Codes never seen in training share one extra category.
-    Spark has no patience counted in rounds: it stops at the first round whose validation error
-    is not lower, by ``validation_tolerance`` times the larger of the error and 0.01, than the
-    best one before. A small tolerance makes it stop late.
+    ``rows`` come from ``split``. Codes never seen in training share one extra category. Spark's own
+    early stop has no patience, so all rounds are trained; then one pass over the validation rows
+    gives the error after each round, and the ensemble is cut at the round that boosting with
+    ``patience`` rounds would have kept. Without validation rows all are kept. The metadata hold
+    the errors, and that of the training rows' median for comparison.
     """
     indexed = [f"{c}_index" for c in CATEGORICAL_FEATURES]
-    stages = [
-        StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=indexed, handleInvalid="keep",
-                      stringOrderType="alphabetAsc"),
-        VectorAssembler(inputCols=indexed + NUMERIC_FEATURES, outputCol="features"),
-        GBTRegressor(
+    n_rows = rows.count()
+    # Boosting passes over the rows once per tree level; cached blocks that are lost with an
+    # executor are computed again from the plan. Few rows in many tasks would cost more than the rows.
+    rows = rows.repartition(-(-n_rows // ROWS_PER_TASK) or 1, "is_validation", *FEATURE_ORDER).persist()
+    try:
+        training, validation = rows.filter("not is_validation"), rows.filter("is_validation")
+        prepared = Pipeline(stages=[
+            StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=indexed, handleInvalid="keep",
+                          stringOrderType="alphabetAsc"),
+            VectorAssembler(inputCols=indexed + NUMERIC_FEATURES, outputCol="features"),
+        ]).fit(training)  # codes of training rows only
+        boosted = GBTRegressor(
             labelCol=TARGET, featuresCol="features", predictionCol="prediction",
             lossType="absolute", maxIter=trees, stepSize=learning_rate, maxDepth=depth,
             minInstancesPerNode=MIN_ROWS_PER_LEAF, maxBins=max_categories, seed=seed,
-            validationIndicatorCol="is_validation", validationTol=validation_tolerance,
-        ),
-    ]
-    # Boosting passes over the rows once per tree level; cached blocks that are lost
-    # with an executor are computed again from the plan.
-    rows = rows.persist()
-    try:
-        indexer = stages[0].fit(rows.filter("not is_validation"))  # codes of training rows only
-        pipeline = Pipeline(stages=[indexer, *stages[1:]]).fit(rows)
-        mae = mean_error(pipeline.transform(rows.filter("is_validation")))
-        n_rows = rows.count()
+        ).fit(prepared.transform(training))
+        curve = []
+        if not validation.isEmpty():
+            curve = [float(e) for e in boosted.evaluateEachIteration(prepared.transform(validation), "absolute")]
+        rounds = kept_rounds(curve, patience) or trees
+        median = training.agg(F.median(TARGET)).first()[0]
+        constant = validation.agg(F.avg(F.abs(F.col(TARGET) - F.lit(median)))).first()[0]
     finally:
         rows.unpersist()
-    return DelayModel(pipeline, {
+    return DelayModel(PipelineModel([*prepared.stages, first_trees(boosted, rounds)]), {
         "trained_at": trained_at.isoformat(),
         "n_rows": n_rows,
         "seed": seed,
@@ -92,19 +122,18 @@ def train(
         "categorical_features": CATEGORICAL_FEATURES,
         "numeric_features": NUMERIC_FEATURES,
         "target": TARGET,
-        "val_mae_minutes": round(mae, 3),
-        "best_iteration": pipeline.stages[-1].getNumTrees,
+        "val_mae_minutes": round(curve[rounds - 1], 3) if curve else None,
+        "median_mae_minutes": None if constant is None else round(constant, 3),
+        "best_iteration": rounds,
+        "val_mae_by_round": [round(e, 4) for e in curve],
     })
 
 
-def mean_error(predictions: DataFrame) -> float:
-    return RegressionEvaluator(
-        labelCol=TARGET, predictionCol="prediction", metricName="mae").evaluate(predictions)
-
-
-def model_mae(predictions: DataFrame) -> DataFrame:
+def model_mae(predictions: DataFrame, constant: float | None = None) -> DataFrame:
+    """Mean absolute error of the predictions, and of ``constant`` in their place."""
+    error = lambda guess: F.avg(F.abs(F.col(TARGET) - guess))
     return predictions.agg(
-        F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae_minutes"),
+        error(F.col("prediction")).alias("mae_minutes"), error(F.lit(constant).cast("double")).alias("constant_mae_minutes"),
         F.count(F.lit(1)).alias("rows"))
 
 

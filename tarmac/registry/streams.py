@@ -165,17 +165,28 @@ def q_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_train(spark: SparkSession, d: str) -> DataFrame:
-    """Trains, saves, loads again, and shows what the model was made of."""
+    """Trains, saves, loads again, and shows what the model was made of and what it is worth."""
     path = scratch_path(spark, "model")
     delay_model.save(spark, model(spark, d), path)
     loaded = delay_model.load(spark, path)
     importance = loaded.pipeline.stages[-1].featureImportances.toArray()
+    about = loaded.metadata
     rows = [
-        (name, 0.0 <= float(weight) <= 1.0, loaded.metadata["n_rows"], 0 < loaded.metadata["val_mae_minutes"] < 30)
-        for name, weight in zip(loaded.metadata["feature_order"], importance, strict=True)
+        (name, 0.0 <= float(weight) <= 1.0, about["n_rows"], 1 <= about["best_iteration"] <= delay_model.TREES,
+         about["median_mae_minutes"], about["val_mae_minutes"] < about["median_mae_minutes"])
+        for name, weight in zip(about["feature_order"], importance, strict=True)
     ]
     return spark.createDataFrame(
-        rows, "feature string, importance_is_share boolean, n_rows bigint, error_is_plausible boolean")
+        rows, "feature string, importance_is_share boolean, n_rows bigint, rounds_within_limit boolean, "
+        "median_mae_minutes double, mae_below_median boolean")
+
+
+def q_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Validation error after each round, beside that of the median, and whether the round was kept."""
+    about = model(spark, d).metadata
+    rows = [(i, mae, about["median_mae_minutes"], i <= about["best_iteration"])
+            for i, mae in enumerate(about["val_mae_by_round"], 1)]
+    return spark.createDataFrame(rows, "round int, mae_minutes double, median_mae_minutes double, kept boolean")
 
 
 def q_score(spark: SparkSession, d: str) -> DataFrame:
@@ -186,9 +197,13 @@ def q_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_mae(spark: SparkSession, d: str) -> DataFrame:
-    held_back = _rows(spark, d).filter("is_validation")
-    errors = delay_model.model_mae(model(spark, d).pipeline.transform(held_back))
-    return errors.select("rows", ((F.col("mae_minutes") > 0) & (F.col("mae_minutes") < 30)).alias("error_is_plausible"))
+    """The model's error on held-back rows against that of the training rows' median."""
+    rows = _rows(spark, d)
+    median = rows.filter("not is_validation").agg(F.median("arr_delay_min")).first()[0]
+    errors = delay_model.model_mae(model(spark, d).pipeline.transform(rows.filter("is_validation")), median)
+    return errors.select(
+        "rows", F.round("constant_mae_minutes", 6).alias("median_mae_minutes"),
+        (F.col("mae_minutes") < F.col("constant_mae_minutes")).alias("mae_below_median"))
 
 
 def q_score_by_id(spark: SparkSession, d: str) -> DataFrame:
@@ -216,12 +231,14 @@ QUERIES = {
     "train_delay_model": q_train,
     "score_delays": q_score,
     "model_mae": q_mae,
+    "delay_model_rounds": q_rounds,
     "score_by_id": q_score_by_id,
 }
 
 _MARK = "(select max(event_ts) - interval 2 day from stg_states)"
 _TRAINING = "arr_delay_min is not null and scheduled_dep_ts is not null and distance_miles is not null"
 _HELD_BACK = "('0x' || substr(md5(flight_event_natural_key || ':42'), 1, 8))::bigint % 100 < 20"
+_MEDIAN = f"(select median(arr_delay_min) as middle from silver where {_TRAINING} and not ({_HELD_BACK}))"
 SCORED_SQL = f"""
     select o_orderkey, carrier_code, flight_number, case when found then 'ok'
         when regexp_full_match(carrier_code, '[A-Z0-9]{{2,3}}') then 'not_found' else 'invalid' end as status,
@@ -261,13 +278,16 @@ ORACLES = {
     "score_by_id": SCORED_SQL,
     "train_delay_model": sql(
         "select unnest(['carrier_code', 'origin_iata', 'dest_iata', 'distance_miles', 'scheduled_dep_hour', 'day_of_week', "
-        "'month', 'dep_delay_min']) as feature, true as importance_is_share, n_rows, true as error_is_plausible "
-        f"from (select count(*) as n_rows from silver where {_TRAINING})"),
+        "'month', 'dep_delay_min']) as feature, true as importance_is_share, n_rows, true as rounds_within_limit, "
+        "median_mae_minutes, true as mae_below_median "
+        f"from (select count(*) as n_rows from silver where {_TRAINING}), "
+        f"(select round(avg(abs(arr_delay_min - middle)), 3) as median_mae_minutes from silver, {_MEDIAN} where {_TRAINING} and {_HELD_BACK})"),
     "score_delays": sql(
         "select flight_event_natural_key, true as predicted, 'request' as feature_source "
         f"from silver where {_TRAINING}"),
     "model_mae": sql(
-        f"select count(*) as rows, true as error_is_plausible from silver where {_TRAINING} and {_HELD_BACK}"),
+        "select count(*) as rows, round(avg(abs(arr_delay_min - middle)), 6) as median_mae_minutes, true as mae_below_median "
+        f"from silver, {_MEDIAN} where {_TRAINING} and {_HELD_BACK}"),
     "train_val_split": sql(
         f"select flight_event_natural_key, {_HELD_BACK} as is_validation from silver where {_TRAINING}"),
     "incremental_refresh": sql(

@@ -67,10 +67,38 @@ def test_registered_model_has_the_declared_parameters(spark, silver, monkeypatch
     assert streams.model(spark, "declared") == (2, {})
 
 
+def test_patience_counts_rounds():
+    curve = [5.0, 4.0, 4.5, 4.2, 3.9, 4.0, 4.0, 4.0, 1.0]
+    assert dm.kept_rounds(curve, 3) == 5 and dm.kept_rounds(curve, 2) == 2 and dm.kept_rounds(curve, 25) == 9
+    assert dm.kept_rounds([2.0, 2.0, 2.0]) == 1 and dm.kept_rounds([]) == 0
+
+
+def test_model_is_cut_at_the_best_round(spark, silver):
+    """A rate far too high makes later rounds worse: those go, and the errors of what is left are those of the curve."""
+    data = dm.split(dm.training_rows(silver), "flight_event_natural_key")
+    model = dm.train(data, RUN, trees=8, learning_rate=1.0, depth=2, max_categories=32, patience=2)
+    about, forest = model.metadata, model.pipeline.stages[-1]
+    assert forest.getNumTrees == about["best_iteration"] == dm.kept_rounds(about["val_mae_by_round"], 2)
+    assert dm.first_trees(forest, 1).getNumTrees == 1 and forest.getFeaturesCol() == "features"
+    one = dm.DelayModel(type(model.pipeline)([*model.pipeline.stages[:-1], dm.first_trees(forest, 1)]), about)
+    errors = dm.model_mae(one.pipeline.transform(data.filter("is_validation")), 0.0).first()
+    assert round(errors.mae_minutes, 4) == about["val_mae_by_round"][0] and errors.constant_mae_minutes > errors.mae_minutes
+
+
+def test_training_without_validation_rows_keeps_all_rounds(spark, silver):
+    data = dm.training_rows(silver).withColumn("is_validation", F.lit(False))
+    about = dm.train(data, RUN, trees=3, depth=2, max_categories=32).metadata
+    assert about["best_iteration"] == 3 and about["val_mae_minutes"] is None and about["val_mae_by_round"] == []
+
+
 def test_train_save_load_score(spark, silver, tmp_path):
     data = dm.split(dm.training_rows(silver), "flight_event_natural_key")
     model = dm.train(data, RUN, trees=6, learning_rate=0.5, depth=3, max_categories=32)
-    assert 0 < model.metadata["val_mae_minutes"] < 30
+    about = model.metadata
+    assert 0 < about["val_mae_minutes"] < about["median_mae_minutes"] and len(about["val_mae_by_round"]) == 6
+    held_back = model.pipeline.transform(data.filter("is_validation"))
+    assert round(dm.model_mae(held_back).first().mae_minutes, 3) == about["val_mae_minutes"]
+    assert about["best_iteration"] == model.pipeline.stages[-1].getNumTrees == dm.kept_rounds(about["val_mae_by_round"])
     assert model.metadata["n_rows"] == 1176 and model.metadata["feature_order"] == rq.FEATURE_ORDER
     again = dm.train(data, RUN, trees=6, learning_rate=0.5, depth=3, max_categories=32)
     assert again.metadata == model.metadata
