@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,21 +59,29 @@ def windows_stream(points: DataFrame, period_seconds: int, late: str, *groups: s
 LANDINGS = "icao24 string, live_landing_ts timestamp, approach_velocity_mps double"
 
 
-class LandingProcessor(StatefulProcessor):
-    """Orders an airframe's reports by event time before looking for landings.
+_WAITING = np.dtype([("at", "<i8"), ("on_ground", "?"), ("velocity", "<f8")])
+_HOUR, _DAY = 3_600_000_000, 86_400_000_000
+STEPS = "icao24 string, step string, at bigint, on_ground boolean, velocity double"
+
+
+def _landed(report: tuple, before: tuple) -> bool:
+    return bool(report[1]) and not before[1] and before[2] > MIN_APPROACH_MPS  # an unknown speed is NaN
 
-    Reports wait until the watermark has passed them, so late ones are put in their
-    place. State per airframe: the waiting reports, the last one judged, and the time of
-    the one timer that wakes it up, set to its earliest waiting report. Whoever wakes up
-    judges everything that has become due.
-    """
 
-    REPORT = "at bigint, on_ground boolean, velocity double"
+class DayProcessor(StatefulProcessor):
+    """Orders the reports of one airframe-day by event time and looks for landings within it.
+
+    Reports wait, in buffers of an hour, until the watermark has passed them, so late ones are put
+    in their place; whoever wakes up reads the hours that have become due and no others. State of a
+    day: the waiting hours, the last report judged, the time of the one timer. All of it goes when
+    the watermark passes the end of the day. What a day cannot know leaves it as ``first`` and
+    ``last``: its two outer reports.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.REPORT)
-        self.last = handle.getValueState("last", self.REPORT)
+        self.waiting = handle.getMapState("waiting", "hour int", "reports binary")
+        self.last = handle.getValueState("last", "at bigint, on_ground boolean, velocity double")
         self.wake_at = handle.getValueState("wake_at", "ms bigint")
 
     def _wake(self, ms: int) -> None:
@@ -87,33 +96,81 @@ class LandingProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         reports = pd.concat(list(rows), ignore_index=True)
-        micros = reports["event_ts"].astype("datetime64[us]").astype("int64")
-        self.waiting.appendList([
-            (int(at), bool(ground), None if pd.isna(v) else float(v))
-            for at, ground, v in zip(micros, reports["on_ground"], reports["velocity_mps"])
-        ])
-        self._wake(int(micros.min()) // 1000)
+        new = np.zeros(len(reports), _WAITING)
+        new["at"] = reports["event_ts"].astype("datetime64[us]").astype("int64")
+        # Whether it is on the ground may be unknown: that is neither a landing nor a flight.
+        new["on_ground"] = reports["on_ground"].fillna(False).astype(bool)
+        new["velocity"] = reports["velocity_mps"].astype(float).where(reports["on_ground"].notna(), np.nan)
+        hours = new["at"] % _DAY // _HOUR
+        for hour in np.unique(hours).tolist():
+            held = self.waiting.getValue((hour,))[0] if self.waiting.containsKey((hour,)) else b""
+            self.waiting.updateValue((hour,), (bytes(held) + new[hours == hour].tobytes(),))
+        self._wake(int(new["at"].min()) // 1000)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        icao24, day = key
+        begin = (day - dt.date(1970, 1, 1)).days * _DAY
         watermark = timerValues.getCurrentWatermarkInMs()
-        held = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[0])
-        due = [r for r in held if r[0] // 1000 <= watermark]
-        later = held[len(due):]
         last = tuple(self.last.get()) if self.last.exists() else None
-        found = []
-        for at, on_ground, velocity in due:
-            if last is not None and on_ground and not last[1] and (last[2] or 0.0) > MIN_APPROACH_MPS:
-                found.append((at, last[2]))
-            last = (at, on_ground, velocity)
-        if due:
-            self.last.update(last)
+        found, next_wake = [], (begin + _DAY) // 1000
+        for hour in sorted(k[0] for k in self.waiting.keys()):
+            if (begin + hour * _HOUR) // 1000 > watermark:
+                next_wake = min(next_wake, (begin + hour * _HOUR) // 1000)
+                break
+            held = np.sort(np.frombuffer(self.waiting.getValue((hour,))[0], _WAITING), order="at")
+            due = int(np.searchsorted(held["at"] // 1000, watermark, "right"))
+            for report in held[:due].tolist():
+                if last is None:
+                    found.append(("first", *report))
+                elif _landed(report, last):
+                    found.append(("landing", report[0], True, last[2]))
+                last = report
+            if due < len(held):
+                self.waiting.updateValue((hour,), (held[due:].tobytes(),))
+                next_wake = min(next_wake, int(held["at"][due]) // 1000)
+            else:
+                self.waiting.removeKey((hour,))
         self.wake_at.clear()
-        if later:
-            self.waiting.put(later)
-            self._wake(later[0][0] // 1000)
+        if watermark >= (begin + _DAY) // 1000:
+            found.append(("last", *last))
+            self.last.clear()
         else:
-            self.waiting.clear()
+            if last is not None:
+                self.last.update(last)
+            self._wake(next_wake)
+        if found:
+            step, at, on_ground, velocity = zip(*found, strict=True)
+            yield pd.DataFrame({
+                "icao24": [icao24] * len(found), "step": step, "at": at, "on_ground": on_ground, "velocity": velocity})
+
+    def close(self) -> None:
+        pass
+
+
+class BorderProcessor(StatefulProcessor):
+    """Puts an airframe's days together: the first report of a day is judged by the last one before.
+
+    A day hands on its reports in the order of time, and not before the days that precede it have
+    ended, so one report is all the state an airframe has.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "at bigint, on_ground boolean, velocity double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        steps = pd.concat(list(rows), ignore_index=True).sort_values(["at", "step"])  # first, landing, last
+        last = tuple(self.last.get()) if self.last.exists() else None
+        found = []
+        for step, *report in steps[["step", "at", "on_ground", "velocity"]].itertuples(index=False):
+            if step == "landing":
+                found.append((report[0], report[2]))
+            elif step == "last":
+                last = (int(report[0]), bool(report[1]), float(report[2]))
+            elif last is not None and _landed(tuple(report), last):
+                found.append((report[0], last[2]))
+        if last is not None:
+            self.last.update(last)
         if found:
             yield pd.DataFrame({
                 "icao24": [key[0]] * len(found),
@@ -128,14 +185,16 @@ class LandingProcessor(StatefulProcessor):
 def landings_stream(states: DataFrame, late: str = LATE) -> DataFrame:
     """Landings of a stream of reports, each emitted when no earlier report can come any more.
 
-    Copies are settled first; that is keyed by airframe and time and so spreads a busy
-    airframe, and it leaves at most one report per second for the keyed state. Needs the
-    RocksDB state store.
+    Copies are settled first. Then two keyed operators follow: one has an airframe-day, so an
+    airframe with very many reports is spread over its days and no state outlives its day; the
+    other has an airframe and sees the landings and two reports of each day. Needs the RocksDB
+    state store.
     """
-    unique = latest_stream(states.select(*STATE_KEY, *REPORT_COLUMNS, "bronze_loaded_at"), late)
-    return unique.drop("bronze_loaded_at").groupBy("icao24").transformWithStateInPandas(
-        LandingProcessor(), outputStructType=LANDINGS, outputMode="Append", timeMode="EventTime"
-    )
+    unique = latest_stream(states.select(*STATE_KEY, *REPORT_COLUMNS, "bronze_loaded_at"), late).drop("bronze_loaded_at")
+    days = unique.withColumn("event_day", F.to_date("event_ts")).groupBy("icao24", "event_day").transformWithStateInPandas(
+        DayProcessor(), outputStructType=STEPS, outputMode="Append", timeMode="EventTime")
+    return days.groupBy("icao24").transformWithStateInPandas(
+        BorderProcessor(), outputStructType=LANDINGS, outputMode="Append", timeMode="None")
 
 
 def merge_stream(

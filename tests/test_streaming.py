@@ -88,6 +88,34 @@ def test_landings_equal_batch_up_to_the_watermark(spark, tmp_path, batches):
     assert expected.count() > 20
 
 
+def test_landings_across_days_with_state_that_does_not_grow(spark, tmp_path):
+    """Thirty days: landings at midnight are found, a busy airframe has many keys, and closed days leave no state."""
+    st.with_state_store(spark)
+    rng = random.Random(9)
+    days = []
+    for day in range(30):
+        some = [report(f"a{rng.randrange(3)}", day * 1440 + m, rng.random() < 0.5, rng.choice([None, 10.0, 80.0]))
+                for m in rng.sample(range(1440), 12)]
+        some += [report("hot", day * 1440 + m, m < 200, 90.0) for m in (0, 100, 700, 1439)]  # lands at each midnight
+        days.append(some)
+    files = [sum(days[i:i + 3], []) for i in range(0, 30, 3)]
+    for f in files:
+        rng.shuffle(f)
+    source = write_files(spark, str(tmp_path / "in"), files, REPORT)
+    stream = st.landings_stream(ingest.file_stream(spark, source, REPORT, files_per_trigger=1), "2 hours")
+    query = st.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "out-checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    whole = spark.createDataFrame([r for f in files for r in f], REPORT)
+    mark = max(r[3] for f in files for r in f) - dt.timedelta(hours=2)
+    expected = landing_events(unique_states(whole)).filter(F.col("live_landing_ts") <= F.lit(mark))
+    names = ["icao24", "live_landing_ts", "approach_velocity_mps"]
+    assert rows(got, *names) == rows(expected, *names)
+    assert got.filter("icao24 = 'hot'").count() == 29
+    held = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
+    assert len(held) >= 10 and max(held[-4:]) <= 1.5 * max(held[2:6])
+
+
 def test_windows_equal_batch_up_to_the_watermark(spark, tmp_path):
     schema = "metric_name string, value double, ts timestamp"
     rng = random.Random(2)
