@@ -138,9 +138,75 @@ def test_subsequence_kernel_is_the_definition():
     kernel = lambda a, b: sum(v * b[x] for x, v in a.items())
     one, two = features("banana"), features("bandana")
     want = (kernel(one, two) / math.sqrt(kernel(one, one) * kernel(two, two))) ** toxicity.POWER
-    model = toxicity.ToxicityModel(["bandana"], "abdn")
-    got = model.embed(["banana"])[0] @ model.embed(["bandana"])[0]
-    assert got == pytest.approx(want, rel=1e-4)
+    got = toxicity.WordKernels(["bandana", "x"])(["banana", "bandana", "qqq"])
+    assert got[0, 0] == pytest.approx(want, rel=1e-4) and got[1, 0] == pytest.approx(1) and got[2, 0] == 0
+
+
+def area(scores, toxic):
+    """Share of (toxic, clean) pairs in the right order, ties half."""
+    scores, toxic = np.asarray(scores), np.asarray(toxic, bool)
+    gap = scores[toxic][:, None] - scores[~toxic][None]
+    return ((gap > 0) + 0.5 * (gap == 0)).mean()
+
+
+CLEAN = "abcdefghijklmnoprstuvwz"
+PROBES = {
+    "one insult": (CLEAN, lambda rng, words: ["zorkling"]),
+    "tail": (CLEAN, lambda rng, words: ["quibnark" if rng.random() < 0.05 else "zorkling"]),
+    "two words, each common": (CLEAN, lambda rng, words: [words[3], words[8]]),
+    "fixed phrase": (CLEAN, lambda rng, words: ["well", "you", "absolute", "zorkling", "today."]),
+    "gaps and insertions": (CLEAN, lambda rng, words: [["zorkling", "z.o.r.k.l.i.n.g", "zorrkling", "zorklng"][rng.integers(4)]]),
+    "another script": ("".join(chr(0x4E00 + i) for i in range(300)), lambda rng, words: ["侮辱者的"]),
+}
+
+
+@pytest.mark.parametrize("name", PROBES)
+def test_toxicity_is_learned_whatever_its_form(name):
+    letters, insult = PROBES[name]
+    rng = np.random.default_rng(7)
+    words = list({"".join(rng.choice(list(letters), rng.integers(2, 8))) for _ in range(600)})
+    rank = 1 / np.arange(1, len(words) + 1)
+    rows = []
+    for i in range(560):
+        run, toxic = [], bool(i % 3 == 0)
+        for _ in range(rng.integers(3, 9)):
+            sentence = list(rng.choice(words, rng.integers(4, 14), p=rank / rank.sum()))
+            sentence = [w for k, w in enumerate(sentence) if k == 0 or (sentence[k - 1], w) != (words[3], words[8])]
+            run.append(sentence)
+        if toxic:
+            at = run[rng.integers(len(run))]
+            k = rng.integers(len(at) + 1)
+            at[k:k] = insult(rng, words)
+        rows.append((" ".join(" ".join(s) + "." for s in run), toxic))
+    rng.shuffle(rows)
+    rows = [(str(t), y in (True, "True")) for t, y in rows]
+    model = toxicity.train(rows[:400])
+    scores, toxic = model.scores([t for t, _ in rows[400:]]), np.array([y for _, y in rows[400:]])
+    assert area(scores, toxic) >= 0.9 and (scores[~toxic] >= 0.3).mean() <= 0.1 and (scores[toxic] >= 0.3).mean() >= 0.8
+
+
+def test_text_without_evidence_scores_no_more_than_the_share():
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list(CLEAN), 6)) for _ in range(300)]
+    rows = [(" ".join(rng.choice(words, 20)), bool(i % 5 == 0)) for i in range(300)]  # labels say nothing
+    model = toxicity.train(rows)
+    assert (model.scores([t for t, _ in rows] + [""]) < 0.5).all()
+    model = toxicity.train([(t + (" zorkling" if y else ""), y) for t, y in rows], share=0.02)
+    assert model.scores([rows[1][0]])[0] < 0.05 and model.scores([""])[0] < 0.05 < model.scores(["a zorkling"])[0]
+    one_class = toxicity.train([(t, True) for t, _ in rows], share=1.0)
+    assert 0 <= one_class.scores(["x"])[0] <= 1
+
+
+def test_toxicity_held_out(spark):
+    """On the given labels; about one toxic text in eight holds none of the insults that the others have."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    kept_out = id_remainder("doc_id", 4) == 2
+    model = toxicity.fit_toxicity(docs, labels.filter(~kept_out))
+    known = labels.filter(kept_out & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    got = toxicity.score_toxicity(docs.join(known, "doc_id").select("doc_id", "text", "toxic"), model).collect()
+    scores, toxic = np.array([r.score for r in got]), np.array([r.toxic > 0 for r in got])
+    assert area(scores, toxic) >= 0.9 and (scores[~toxic] >= 0.3).mean() <= 0.05 and (scores[toxic] >= 0.3).mean() >= 0.8
 
 
 def test_elias_fano_levels(tmp_path):
