@@ -19,6 +19,7 @@ scores no more than the share of toxic texts.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Sequence
@@ -32,9 +33,9 @@ from tarmac.llm.arrow import add_columns, sample_by_class, texts
 
 FIELDS = "score double"
 # Bounds of the labelled sample: texts of each class, and characters after which no further text is taken.
-SAMPLE_PER_CLASS, SAMPLE_CHARS = 2100, 12_000_000
+SAMPLE_PER_CLASS, SAMPLE_CHARS = 1500, 5_000_000
 # Landmarks that stand out in toxic texts, and clean words that are near to them.
-MARKS, NEAR_MARKS = 240, 60
+MARKS, NEAR_MARKS = 160, 40
 # Clean words among which those are looked for, and sentences that a fit counts as clean, the highest.
 NEAR_POOL, NEGATIVES = 30_000, 6000
 # What slack costs in each round of labelling.
@@ -43,7 +44,7 @@ DECAY = 0.6
 # The normalised kernel is raised to this power: words that share a part only are far apart.
 POWER = 1.5
 # A smaller kernel of two words counts as none.
-LEAST = 0.3
+LEAST = 0.5
 # Letters of a word that are compared together; longer ones are cut into overlapping windows.
 WINDOW, STEP = 18, 8
 # Kernels of words are kept per worker, twice so many words at most.
@@ -100,26 +101,31 @@ class WordKernels:
     def __init__(self, fixed: Sequence[str]) -> None:
         self.fixed = list(fixed)
         word, feature, weight = subsequences(self.fixed)
-        used = np.unique(feature)
         norm = np.sqrt(np.bincount(word, weight ** 2, len(self.fixed)))
+        order = np.argsort(feature, kind="stable")
+        used, begin = np.unique(feature[order], return_index=True)
         self.column = np.full(1 << _SPACE, -1, np.int32)
         self.column[used] = np.arange(len(used))
-        self.matrix = np.zeros((len(used), len(self.fixed)), np.float32)
-        self.matrix[self.column[feature], word] = weight / norm[word]
+        # The fixed words that have a feature stand together, with their weights.
+        self.begin = np.r_[begin, len(feature)].astype(np.int64)
+        self.word, self.weight = word[order], (weight / norm[word])[order]
 
-    def __call__(self, words: Sequence[str]) -> np.ndarray:
-        """(words, fixed words): normalised kernels, raised to POWER."""
+    def __call__(self, words: Sequence[str], least: float = 0.0) -> np.ndarray:
+        """(words, fixed words): normalised kernels, raised to POWER; 0 for words that have none of ``least``."""
         word, feature, weight = subsequences(words)
         norm = np.sqrt(np.bincount(word, weight ** 2, len(words)))
         place = self.column[feature]
-        hit = np.flatnonzero(place >= 0)  # in the order of words
-        out = np.zeros((len(words), len(self.fixed)), np.float32)
-        for begin in range(0, len(hit), 8192):  # a word cut in two is added up
-            some = hit[begin:begin + 8192]
-            shared = self.matrix[place[some]] * (weight[some] / norm[word[some]]).astype(np.float32)[:, None]
-            start = np.flatnonzero(np.r_[True, word[some][1:] != word[some][:-1]])
-            out[word[some][start]] += np.add.reduceat(shared, start, axis=0)
-        return out ** POWER
+        known = place >= 0
+        # What a word has in common with all fixed words together bounds its kernel with each.
+        reach = np.sqrt(np.bincount(word[known], weight[known] ** 2, len(words))) / norm
+        hit = np.flatnonzero(known & (reach ** POWER >= least)[word])  # in the order of words
+        place = place[hit]
+        count = self.begin[place + 1] - self.begin[place]
+        each = np.repeat(np.arange(len(hit)), count)
+        entry = self.begin[place][each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
+        shared = self.weight[entry] * (weight[hit] / norm[word[hit]])[each]
+        cell = word[hit][each] * len(self.fixed) + self.word[entry]
+        return np.bincount(cell, shared, len(words) * len(self.fixed)).reshape(len(words), -1) ** POWER
 
 
 class ToxicityModel:
@@ -163,7 +169,7 @@ class ToxicityModel:
         found: dict[str, dict[int, float]] = {}
         for begin in range(0, len(parts), 2048):
             some = parts[begin:begin + 2048]
-            k = self.kernels([w for _, w in some])
+            k = self.kernels([w for _, w in some], LEAST)
             for i, j in zip(*np.nonzero(k >= LEAST), strict=True):
                 best = found.setdefault(some[i][0], {})
                 best[int(j)] = max(best.get(int(j), 0.0), float(k[i, j]))
@@ -344,7 +350,7 @@ def train(labelled: Iterable[tuple[str, bool]], share: float | None = None, roun
     kept, docs, rows, seen = [], [], [0, 0], (set(), set())
     for text, toxic in labelled:
         toxic = bool(toxic)
-        runs = sentences(text)
+        runs = [list(map(sys.intern, run)) for run in sentences(text)]
         marks = {hash(tuple(r)) for r in runs}
         copy = len(marks) > 1 and len(marks & seen[toxic]) > 0.5 * len(marks)
         seen[toxic].update(marks)
