@@ -65,3 +65,32 @@ def holds_data(spark: SparkSession, path: str) -> bool:
         not status.getPath().getName().startswith(("_", "."))
         for status in fs.listStatus(p)
     )
+
+
+def sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of the files below a folder, by full path; hidden ones left out."""
+    fs, p = _fs_and_path(spark, path)
+    found, walk = {}, fs.listFiles(p, True) if fs.exists(p) else None
+    while walk is not None and walk.hasNext():
+        status = walk.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            found[status.getPath().toString()] = status.getLen()
+    return found
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    fs, draft = _fs_and_path(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename(spark, f"{path}.draft", path)
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    fs, p = _fs_and_path(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()

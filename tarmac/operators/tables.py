@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
@@ -315,10 +316,46 @@ def promote_parity(
     )
 
 
+def _promotion(prod_root: str) -> str:
+    return f"{prod_root}.promotion"
+
+
+def settle_promotion(spark: SparkSession, prod_root: str) -> None:
+    """Finish an exchange that a run which died has begun.
+
+    The note names the folders; which of them exist tells the steps that are done. Every promotion
+    starts with this; a reader that finds no prod folder can call it too.
+    """
+    note = _promotion(prod_root)
+    if not files.exists(spark, note):
+        return
+    about = json.loads(files.read_note(spark, note))
+    dev_root, parked = about["dev"], about["parked"]
+    if files.exists(spark, parked):
+        if not files.exists(spark, prod_root):
+            files.rename(spark, dev_root, prod_root)
+        files.rename(spark, parked, dev_root)
+    files.delete(spark, note)
+
+
+def exchange(spark: SparkSession, dev_root: str, prod_root: str) -> None:
+    """Put each of two folders in the other's place; a run that dies anywhere is finished by the next."""
+    settle_promotion(spark, prod_root)
+    parked = f"{prod_root}.swap-{uuid.uuid4().hex[:8]}"
+    files.write_note(spark, _promotion(prod_root), json.dumps({"dev": dev_root, "parked": parked}))
+    files.rename(spark, prod_root, parked)
+    settle_promotion(spark, prod_root)
+
+
 def promote(
     spark: SparkSession, dev_root: str, prod_root: str, tables: Sequence[str], dry_run: bool = False
 ) -> DataFrame:
-    """Exchange the dev and prod folders if every common table passes the parity check."""
+    """Exchange the dev and prod folders if every common table passes the parity check.
+
+    What is to be done is noted beside the prod folder first, so a run that dies between the
+    renames never leaves prod missing for good (``settle_promotion``).
+    """
+    settle_promotion(spark, prod_root)
 
     def present(root: str) -> dict[str, DataFrame]:
         return {
@@ -333,13 +370,49 @@ def promote(
     parity = promote_parity(dev, prod)
     report = spark.createDataFrame(parity.collect(), parity.schema)
     if not dry_run and report.filter("status = 'FAIL'").isEmpty():
-        parked = f"{prod_root}.swap-{uuid.uuid4().hex[:8]}"
-        files.rename(spark, prod_root, parked)
-        files.rename(spark, dev_root, prod_root)
-        files.rename(spark, parked, dev_root)
+        exchange(spark, dev_root, prod_root)
     return report
 
 
+# --- compaction ----------------------------------------------------------------------
+
+TARGET_BYTES = 128 << 20
+
+
+def compact(
+    spark: SparkSession, path: str, folder: str, values: Sequence[str], into: str,
+    target_bytes: int = TARGET_BYTES, sort_by: Sequence[str] = (),
+) -> list[str]:
+    """Rewrite partitions of many small files as few of about ``target_bytes``; returns those rewritten.
+
+    ``values`` of the partition column ``folder`` name folders that nobody writes to any more. Each
+    gets one subfolder ``into`` (``column=value``; what the subfolders were goes). A partition that
+    has no more files than it needs is left alone, so repeating this changes nothing. The commit is
+    that of ``upsert``: readers see a partition as it was or as it is, and ``settle`` finishes what
+    a run that died has left.
+    """
+    settle(spark, path)
+    column = into.split("=", 1)[0]
+    wanted: dict[str, int] = {}
+    for value in values:
+        sizes = files.sizes(spark, f"{path}/{folder}={value}")
+        count = max(1, -(-sum(sizes.values()) // target_bytes))
+        if len(sizes) > count:
+            wanted[value] = count
+    if not wanted:
+        return []
+    run = uuid.uuid4().hex[:12]
+    draft = f"{path}/{_DRAFT}{run}"
+    for value, count in wanted.items():
+        rows = spark.read.option("mergeSchema", "true").parquet(f"{path}/{folder}={value}").drop(column)
+        # Each task reads whole neighbouring files: nothing is shuffled unless rows are to be sorted.
+        rows = rows.repartitionByRange(count, *sort_by).sortWithinPartitions(*sort_by) if sort_by else rows.coalesce(count)
+        rows.write.option("compression", "zstd").parquet(f"{draft}/{folder}={value}/{into}")
+    files.rename(spark, draft, f"{path}/{_READY}{run}")
+    _put_in_place(spark, path, f"{_READY}{run}")
+    return list(wanted)
+
+
 # --- retention -----------------------------------------------------------------------
 
 # Days that partitions of the two bronze tables are kept.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import json
 import zipfile
 
 import pandas as pd
@@ -356,6 +357,21 @@ def q_promote_parity(spark: SparkSession, d: str) -> DataFrame:
     return tables.promote_parity(t, prod)
 
 
+def q_promote(spark: SparkSession, d: str) -> DataFrame:
+    """Dev takes the place of prod, back, and again; the last run dies between the renames and is finished."""
+    dev, prod = scratch_path(spark, "dev"), scratch_path(spark, "prod")
+    orders = standins.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    orders.write.parquet(f"{prod}/orders")
+    orders.withColumn("o_custkey", F.col("o_custkey") + 1).write.parquet(f"{dev}/orders")
+    for _ in range(2):
+        tables.promote(spark, dev, prod, ["orders"])
+    files.write_note(spark, f"{prod}.promotion", json.dumps({"dev": dev, "parked": f"{prod}.swap"}))
+    files.rename(spark, prod, f"{prod}.swap")
+    tables.settle_promotion(spark, prod)
+    return spark.read.parquet(f"{prod}/orders").withColumn("place", F.lit("prod")).unionByName(
+        spark.read.parquet(f"{dev}/orders").withColumn("place", F.lit("dev")))
+
+
 def q_expire(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "retention")
     staged = frames.flights(spark, d).select(
@@ -414,6 +430,7 @@ QUERIES = {
     "scd2_snapshot": versions,
     "scd2_asof_join": q_scd2_asof,
     "promote_parity": q_promote_parity,
+    "promote_exchange": q_promote,
     "expire_partitions": q_expire,
     "schema_drift": q_schema_drift,
     "schema_drift_log": q_drift_log,
@@ -547,6 +564,9 @@ ORACLES = {
           both_sides as (select *, cast(dev_rows as double) / nullif(prod_rows, 0) as ratio from dev join prod using (table_name))
         select *, case when prod_rows = 0 then 'SKIP' when ratio between 0.99 and 1.05 then 'OK' else 'FAIL' end as status
         from both_sides""",
+    "promote_exchange":
+        "select o_orderkey, o_custkey + 1 as o_custkey, 'prod' as place from orders union all "
+        "select o_orderkey, o_custkey, 'dev' from orders",
     "expire_partitions": sql(
         "select carrier_code, flight_number, bronze_loaded_at, flight_date as ds from stg_flights "
         "where flight_date >= date '2024-01-17'"),

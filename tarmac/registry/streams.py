@@ -56,6 +56,15 @@ def q_roll(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(_rolled(spark, d)["bronze"]).drop("ds", "hr", "batch")
 
 
+def q_compaction(spark: SparkSession, d: str) -> DataFrame:
+    """Messages rolled to bronze, their hours closed and compacted twice: one file an hour, no row changed."""
+    bronze = _rolled(spark, d)["bronze"]
+    for _ in range(2):
+        ingest.compact_bronze(spark, bronze, dt.datetime(2200, 1, 1))
+    rows = spark.read.parquet(bronze)
+    return rows.drop("ds", "hr").withColumn("compacted", F.col("batch") == -1).drop("batch")
+
+
 def q_batch_metrics(spark: SparkSession, d: str) -> DataFrame:
     counters = spark.read.parquet(_rolled(spark, d)["metrics"])
     return counters.groupBy("metric_name", "unit", "component").agg(F.sum("value").alias("value"))
@@ -219,6 +228,7 @@ QUERIES = {
     "stream_source": q_source,
     "stream_roll_sink": q_roll,
     "batch_metrics": q_batch_metrics,
+    "stream_compaction": q_compaction,
     "stream_dedupe": q_dedupe,
     "stream_dedupe_latest": q_dedupe_latest,
     "stream_landings": q_landings,
@@ -244,11 +254,13 @@ SCORED_SQL = f"""
         when regexp_full_match(carrier_code, '[A-Z0-9]{{2,3}}') then 'not_found' else 'invalid' end as status,
       case when found then 'silver' end as feature_source, case when found then true end as predicted
     from ({CORE_ORACLES["hydrate_features"]})"""
+_ROLLED = (
+    "select icao24, callsign, origin_country, event_ts, event_ts + 5 as polled_at, time_position, last_contact, "
+    "longitude, latitude, baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, "
+    "squawk, false as spi, position_source{} from states_raw where event_id % 13 > 3")
 ORACLES = {
-    "stream_roll_sink": sql(
-        "select icao24, callsign, origin_country, event_ts, event_ts + 5 as polled_at, time_position, last_contact, "
-        "longitude, latitude, baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, "
-        "squawk, false as spi, position_source from states_raw where event_id % 13 > 3"),
+    "stream_roll_sink": sql(_ROLLED.format("")),
+    "stream_compaction": sql(_ROLLED.format(", true as compacted")),
     "batch_metrics":
         "select 'RowsFlushed' as metric_name, 'Count' as unit, 'consumer' as component, "
         "cast(count(*) filter (event_id % 13 > 3) as double) as value from events union all "

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from tarmac import files
+from tarmac.operators.tables import TARGET_BYTES, compact
 from tarmac.sources.payload import accepted, dead_letters, parse_messages
 
 # A file is closed after a minute or five thousand messages.
@@ -109,6 +113,22 @@ def roll_to_bronze(
         .trigger(processingTime=interval))
 
 
+def compact_bronze(spark: SparkSession, bronze: str, before: dt.datetime, target_bytes: int = TARGET_BYTES) -> list[str]:
+    """Turn the batch folders of closed hours into few files; returns the hours rewritten.
+
+    An hour is closed if it ends by ``before``, which the caller takes no later than the hour of the
+    stream's last committed batch: only that batch can be written again. What is compacted stands
+    under ``batch=-1``. An hour of 60 s rolls is 60 folders before, and one of a few files after.
+    """
+    done = []
+    for day in files.partition_values(spark, bronze, "ds"):
+        begin = dt.datetime.fromisoformat(day)
+        hours = [h for h in files.partition_values(spark, f"{bronze}/ds={day}", "hr")
+                 if begin + dt.timedelta(hours=int(h) + 1) <= before]
+        done += [f"{day} {h}" for h in compact(spark, f"{bronze}/ds={day}", "hr", hours, "batch=-1", target_bytes)]
+    return done
+
+
 def publish(
     events_json: DataFrame, fmt: str, checkpoint: str, metrics: str, **options: str
 ) -> DataStreamWriter:
