@@ -199,6 +199,53 @@ def upsert_by_key(
     return sorted({*touched, *losing})
 
 
+def change_feed(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: str, columns: Sequence[str],
+) -> DataFrame:
+    """What merging ``source`` by key into a table will change, in ``columns``: rows with a ``sign``.
+
+    A row the merge replaces counts -1, also where it lies in another partition than the new one; a
+    row it brings counts 1; rows that stay the same in all ``columns`` are left out. Only partitions
+    of the source are read, and those that the key filters do not rule out (``keyindex``). The
+    source has each key once. To be taken before the merge.
+    """
+    settle(spark, path)
+    present = files.partition_values(spark, path, partition_by)
+    new = source.select(*keys, *columns, F.lit(1).alias("sign"))
+    if not present:
+        return new.select(*columns, "sign")
+    touched = {str(r[0]) for r in source.select(F.col(partition_by).cast("string")).distinct().collect()}
+    known = [v for v in present if unquote(v) in touched]
+    maybe = keyindex.folders_that_may_hold(
+        spark, path, [v for v in present if v not in set(known)], source.select(*keys), keys, partition_by)
+    if not [*known, *maybe]:
+        return new.select(*columns, "sign")
+    old = (
+        spark.read.option("mergeSchema", "true").option("basePath", path)
+        .parquet(*[f"{path}/{partition_by}={v}" for v in [*known, *maybe]])
+        .join(source.select(*keys), list(keys), "left_semi").select(*keys, *columns, F.lit(-1).alias("sign")))
+    # Equal versions cancel out.
+    same = [*keys, *columns]
+    return new.unionByName(old).groupBy(*same).agg(F.sum("sign").cast("int").alias("sign")).filter(
+        "sign <> 0").select(*columns, "sign")
+
+
+def replace_partitions(
+    spark: SparkSession, path: str, rows: DataFrame, partition_by: str, values: Sequence[str], sort_by: Sequence[str] = (),
+) -> None:
+    """Put ``rows`` in the place of the partitions ``values``; one without rows goes. Commits as ``upsert`` does."""
+    settle(spark, path)
+    if not values:
+        return
+    run = uuid.uuid4().hex[:12]
+    draft = f"{path}/{_DRAFT}{run}"
+    _laid_out(rows, partition_by, sort_by).write.partitionBy(partition_by).parquet(draft)
+    for value in set(values) - set(files.partition_values(spark, draft, partition_by)):
+        files.make_folder(spark, f"{draft}/{partition_by}={value}")
+    files.rename(spark, draft, f"{path}/{_READY}{run}")
+    _put_in_place(spark, path, f"{_READY}{run}")
+
+
 def full_refresh(spark: SparkSession, path: str, df: DataFrame) -> None:
     """Replace a table. The new one is complete before it takes the old one's place."""
     settle(spark, path)

@@ -11,9 +11,11 @@ from tarmac import files
 from tarmac.functions.keys import change_marker, flight_surrogate, version_key
 from tarmac.functions.values import month_number
 from tarmac.operators.dedupe import keep_first
-from tarmac.operators.tables import full_refresh, open_versions, scd2_merge, settle, upsert, version_at
+from tarmac.operators.tables import (
+    change_feed, full_refresh, open_versions, replace_partitions, scd2_merge, settle, upsert, upsert_by_key, version_at)
 from tarmac.operators.windows import month_of, since_last_load
 from tarmac.plans.silver import FLIGHTS_LATE_DAYS
+from tarmac.session import scratch_path
 
 # Fixed value: an arrival up to this many minutes late is on time.
 ON_TIME_MINUTES = 14
@@ -245,3 +247,89 @@ def load_daily(
         "flight_month", month_number(F.col("flight_date")))
     upsert(spark, path, rows, ["flight_date", "carrier_key"], "flight_month",
            sort_by=["flight_date"])
+
+
+# --- the daily aggregate from changes ----------------------------------------------------
+
+_DAY = ["flight_date", "carrier_key"]
+_FEED = ["flight_date_key", "carrier_key", "arr_delay_min", "cancelled_flag"]
+# What can be added up and taken away again; shares and averages are made from these when read.
+DAILY_SUMS = ["flights_scheduled", "flights_completed", "flights_cancelled", "on_time_flights", "arrivals", "total_delay_min"]
+
+
+def daily_sums(rows: DataFrame) -> DataFrame:
+    """Additive counts by day and carrier of facts; with a ``sign`` column, of a change feed."""
+    sign = F.col("sign") if "sign" in rows.columns else F.lit(1)
+    delay, cancelled = F.col("arr_delay_min"), F.col("cancelled_flag")
+    of = lambda condition: F.sum(F.when(condition, sign).otherwise(0)).cast("long")
+    return rows.groupBy(F.col("flight_date_key").alias("flight_date"), "carrier_key").agg(
+        F.sum(sign).cast("long").alias("flights_scheduled"), of(~cancelled).alias("flights_completed"),
+        of(cancelled).alias("flights_cancelled"), of(delay <= ON_TIME_MINUTES).alias("on_time_flights"),
+        of(delay.isNotNull()).alias("arrivals"), F.sum(F.coalesce(delay, F.lit(0)) * sign).cast("long").alias("total_delay_min"))
+
+
+def daily_from_sums(sums: DataFrame) -> DataFrame:
+    """Punctuality as ``agg_carrier_otp_daily`` gives it, from additive counts."""
+    return sums.select(
+        *_DAY, "flights_scheduled", "flights_completed", "flights_cancelled",
+        (F.col("on_time_flights") * F.lit(100.0) / F.nullif("flights_completed", F.lit(0))).alias("on_time_pct"),
+        (F.col("total_delay_min") / F.nullif("arrivals", F.lit(0))).alias("avg_arr_delay_min"), "total_delay_min")
+
+
+def _months_of(spark: SparkSession, path: str, months: list[str]) -> DataFrame | None:
+    known = [m for m in files.partition_values(spark, path, "flight_month") if m in set(months)]
+    return spark.read.option("basePath", path).parquet(
+        *[f"{path}/flight_month={m}" for m in known]) if known else None
+
+
+def _put_days(spark: SparkSession, path: str, days: DataFrame, replace: bool) -> None:
+    """Add the sums of ``days`` to the table, or put them in place of its rows; a day without flights goes."""
+    days = days.withColumn("flight_month", month_number(F.col("flight_date")))
+    months = [str(r[0]) for r in days.select("flight_month").distinct().collect()]
+    held = _months_of(spark, path, months)
+    rows = days.select(*_DAY, *DAILY_SUMS, "flight_month")
+    if held is not None:
+        kept = held.join(days.select(*_DAY), _DAY, "left_anti") if replace else held
+        rows = rows.unionByName(kept.select(*rows.columns))
+    total = rows.groupBy(*_DAY, "flight_month").agg(*[F.sum(c).alias(c) for c in DAILY_SUMS]).filter("flights_scheduled > 0")
+    replace_partitions(spark, path, total, "flight_month", months, sort_by=["flight_date"])
+
+
+def settle_daily(spark: SparkSession, fact_path: str, daily_path: str) -> None:
+    """After a run that died: the days its changes touched are made again from the facts as they are."""
+    note = f"{daily_path}.pending"
+    if not files.exists(spark, note):
+        return
+    settle(spark, fact_path)
+    days = spark.read.parquet(files.read_note(spark, note)).select(
+        F.col("flight_date_key").alias("flight_date"), "carrier_key").distinct()
+    months = [str(r[0]) for r in days.select(month_number(F.col("flight_date"))).distinct().collect()]
+    none = days.withColumns({c: F.lit(0).cast("long") for c in DAILY_SUMS})
+    facts = _months_of(spark, fact_path, months)
+    if facts is not None:
+        again = daily_sums(facts.withColumnRenamed("flight_date_key", "flight_date").join(days, _DAY, "left_semi")
+                           .withColumnRenamed("flight_date", "flight_date_key"))
+        none = none.unionByName(again)
+    settle(spark, daily_path)
+    _put_days(spark, daily_path, none.groupBy(*_DAY).agg(*[F.sum(c).alias(c) for c in DAILY_SUMS]), replace=True)
+    files.delete(spark, note)
+
+
+def load_changes(spark: SparkSession, fact_path: str, daily_path: str, rows: DataFrame) -> None:
+    """Merge facts by key and carry what has changed into the daily sums; unchanged rows cost nothing there.
+
+    ``rows`` are facts, each key once. Late, changed and moved flights take their old version out of
+    its day and add the new one; a carrier-day whose last flight has gone disappears. The feed is
+    noted beside the daily table before the facts change, so a run that dies is put right by the
+    next one (``settle_daily``), whichever step it had reached.
+    """
+    settle_daily(spark, fact_path, daily_path)
+    rows = rows.withColumn("flight_month", month_number(F.col("flight_date_key")))
+    feed = scratch_path(spark, "fact-changes")
+    change_feed(spark, fact_path, rows, ["flight_event_sk"], "flight_month", _FEED).write.parquet(feed)
+    note = f"{daily_path}.pending"
+    files.write_note(spark, note, feed)
+    upsert_by_key(spark, fact_path, rows, ["flight_event_sk"], "flight_month", sort_by=["flight_date_key", "carrier_key"])
+    _put_days(spark, daily_path, daily_sums(spark.read.parquet(feed)), replace=False)
+    files.delete(spark, note)
+    files.delete(spark, feed)

@@ -280,6 +280,23 @@ def q_upsert_moved(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_table(spark, path)
 
 
+def q_daily_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The daily aggregate after three loads of facts: all, then flights later and four weeks on, then these again."""
+    facts = frames.gold_tables(spark, d)["fct_flight_event"].select(
+        "flight_event_sk", "flight_date_key", "carrier_key", "arr_delay_min", "cancelled_flag")
+    fact_path, daily_path = scratch_path(spark, "change-facts"), scratch_path(spark, "change-daily")
+    gold.load_changes(spark, fact_path, daily_path, facts)
+    day, place = F.col("flight_date_key"), F.conv(F.substring("flight_event_sk", 1, 6), 16, 10).cast("long")
+    moves = (day <= F.lit(dt.date(2024, 1, 10))) & (
+        (place % 3 == 0) | (day == F.lit(dt.date(2024, 1, 3))) & (F.col("carrier_key") == "AA"))
+    moved = facts.filter(moves).withColumns({
+        "flight_date_key": F.date_add("flight_date_key", 28), "arr_delay_min": F.col("arr_delay_min") + 5})
+    for _ in range(2):
+        gold.load_changes(spark, fact_path, daily_path, moved)
+    return gold.daily_from_sums(spark.read.parquet(daily_path)).withColumns({
+        c: F.round(c, 6) for c in ("on_time_pct", "avg_arr_delay_min")})
+
+
 def q_late_arrival(spark: SparkSession, d: str) -> DataFrame:
     """Only changes inside the window before the table's latest day are merged."""
     path, changed = _first_load(spark, d)
@@ -422,6 +439,7 @@ QUERIES = {
     "fct_flight_event_at": q_fact_at,
     "upsert_merge": q_upsert,
     "upsert_moved_key": q_upsert_moved,
+    "daily_from_changes": q_daily_changes,
     "late_arrival_merge": q_late_arrival,
     "incremental_window": q_incremental_window,
     "backfill_window": q_backfill_window,
@@ -529,6 +547,15 @@ ORACLES = {
         f"select {_C} from uniq_flights where flight_date < date '2024-01-16' union all "
         "select * replace (dep_delay_min + 1002 as dep_delay_min) from "
         f"(select {_C} from uniq_flights where flight_date >= date '2024-01-16')"),
+    "daily_from_changes": sql(
+        "select flight_date, carrier_key, count(*) as flights_scheduled, "
+        "count(*) filter (not cancelled_flag) as flights_completed, count(*) filter (cancelled_flag) as flights_cancelled, "
+        "round(count(*) filter (delay <= 14) * 100.0::double / nullif(count(*) filter (not cancelled_flag), 0), 6) as on_time_pct, "
+        "round(avg(delay), 6) as avg_arr_delay_min, cast(sum(coalesce(delay, 0)) as bigint) as total_delay_min from ("
+        "select carrier_key, cancelled_flag, case when moves then flight_date_key + 28 else flight_date_key end as flight_date, "
+        "case when moves then arr_delay_min + 5 else arr_delay_min end as delay from ("
+        "select *, flight_date_key <= date '2024-01-10' and (('0x' || substr(flight_event_sk, 1, 6))::bigint % 3 = 0 "
+        "or (flight_date_key = date '2024-01-03' and carrier_key = 'AA')) as moves from fact)) group by flight_date, carrier_key"),
     "upsert_moved_key": sql(
         "select flight_event_natural_key, case when moves then flight_date + 21 else flight_date end as flight_date, "
         "carrier_code, case when moves then dep_delay_min + 1000 else dep_delay_min end as dep_delay_min, arr_delay_min from ("
