@@ -82,7 +82,7 @@ def q_discover_schema(spark: SparkSession, d: str) -> DataFrame:
 
 def q_source_freshness_files(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "rolls")
-    standins.states_raw(spark, d).drop("hr").coalesce(1).write.partitionBy("ds").parquet(path)
+    standins.states_raw(spark, d).drop("hr").repartition("ds").write.partitionBy("ds").parquet(path)  # a file a day
     seen = bronze.observe_files(spark, path, dt.datetime(2024, 1, 30, 12))
     # When the files were written is not in the tables, but that it was noted is.
     return seen.select("object_count", F.col("latest").isNotNull().alias("dated"), (F.col("data_version") != "empty").alias("versioned"))
