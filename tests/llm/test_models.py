@@ -27,6 +27,23 @@ def test_language_held_out_accuracy(spark):
     assert right / len(got) > 0.97 and all(0 <= r.score <= 1 for r in got)
 
 
+def test_texts_of_no_language_go(spark, documents):
+    docs = table(spark, SF, "documents")
+    model = langid.fit_languages(docs.filter(id_remainder("doc_id", 3) != 1), calibrate=True)
+    rng = np.random.default_rng(1)
+    garbled = ["".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 3000, 200)) for _ in range(20)]
+    assert model.least_lead > 0 and langid.keep_identified(documents(list(enumerate(garbled))), model).count() == 0
+    named = langid.identify(docs.filter("lang is not null"), model).filter("lang = lang_pred").select("doc_id")
+    kept = langid.keep_identified(docs, model)
+    assert named.join(kept, "doc_id", "left_anti").count() <= 0.005 * named.count()
+    model.least_lead = -np.inf  # as without calibration
+    kept = langid.keep_identified(docs, model)
+    assert named.join(kept, "doc_id", "left_anti").count() == 0
+    only = langid.keep_identified(docs, model, wanted=["de", "fr"])
+    assert {r.lang for r in only.filter("lang is not null").select("lang").distinct().collect()} <= {"de", "fr", "en"}
+    assert only.filter("lang = 'de'").count() == kept.filter("lang = 'de'").count() and only.filter("lang = 'es'").count() == 0
+
+
 def test_language_edges(spark, documents):
     rows = [(i, "the cat and the dog " * (1 + i % 3), "en") for i in range(12)]
     rows += [(20 + i, "der hund und die katze " * (1 + i % 3), "de") for i in range(12)]
@@ -58,6 +75,14 @@ def test_no_identified_document_goes_with_many_languages(spark, documents, count
     right = {r.doc_id for r in langid.identify(asked, model).filter("lang = lang_pred").collect()}
     assert len(right) > 0.8 * asked.count()
     assert {r.doc_id for r in langid.keep_identified(asked, model).collect()} >= right
+    # Decisions: languages that are not wanted go, and so do texts of no language; what is identified rightly stays.
+    sure = model
+    kept = {r.doc_id for r in langid.keep_identified(asked, sure, wanted=["l0"]).collect()}
+    named = langid.identify(asked, sure)
+    assert kept and kept == {r.doc_id for r in named.filter("lang_pred = 'l0'").collect()}
+    still = {r.doc_id for r in langid.keep_identified(asked, sure).collect()}
+    rightly = {r.doc_id for r in named.filter("lang = lang_pred and doc_id % 2 = 0").collect()}
+    assert len(rightly - still) == 0
     unlabelled = langid.fit_languages(docs.withColumn("lang", F.lit(None).cast("string")))
     assert langid.keep_identified(asked, unlabelled).count() == asked.count()
 
