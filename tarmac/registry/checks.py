@@ -195,16 +195,23 @@ def q_alarms(spark: SparkSession, d: str) -> DataFrame:
 SERVICE_METRICS = list(dict.fromkeys(a.metric for a in m.ALARMS))
 
 
-def q_alarms_in_service(spark: SparkSession, d: str) -> DataFrame:
-    """The declared alarms over two days of counters: windows, breaches and windows in alarm."""
+SERVICE_SPAN = (dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 7))
+
+
+def service_counters(events: DataFrame) -> DataFrame:
+    """The events as points of the metrics the declared alarms watch."""
     names = F.array(*[F.lit(n) for n in SERVICE_METRICS])
-    counters = standins.table(spark, d, "events").select(
+    return events.select(
         F.col("ts").cast("timestamp").alias("ts"), "value",
         F.when(F.col("user_id") % 2 == 0, "producer").otherwise("consumer").alias("component"),
         F.get(names, (F.col("event_id") % len(SERVICE_METRICS)).cast("int")).alias("metric_name"))
-    span = (dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 7))
+
+
+def q_alarms_in_service(spark: SparkSession, d: str) -> DataFrame:
+    """The declared alarms over two days of counters: windows, breaches and windows in alarm."""
+    counters = service_counters(standins.table(spark, d, "events"))
     return reduce(DataFrame.unionByName, [
-        m.evaluate_alarm(counters, alarm, *span).agg(
+        m.evaluate_alarm(counters, alarm, *SERVICE_SPAN).agg(
             F.count(F.lit(1)).alias("windows"), F.count_if("breach").alias("breaches"),
             F.count_if(F.col("state") == "ALARM").alias("alarms"))
         .select(F.lit(alarm.name).alias("alarm"), "windows", "breaches", "alarms")

@@ -13,13 +13,15 @@ from tarmac.operators.staging import stg_states
 from tarmac.operators.tables import read_table
 from tarmac.plans.silver import StateTables
 from tarmac.registry import frames
+from tarmac.registry.checks import ORACLES as CHECK_ORACLES
+from tarmac.registry.checks import SERVICE_SPAN, service_counters
 from tarmac.registry.core import ORACLES as CORE_ORACLES
 from tarmac.registry.core import requests_by_id
 from tarmac.registry.oracle import sql
 from tarmac.registry.storage import PAYLOAD_SQL, messages_of, payloads_of
 from tarmac.session import scratch_path
 from tarmac.sources.payload import decode_payload
-from tarmac.streaming import ingest
+from tarmac.streaming import alarms, ingest, late
 from tarmac.streaming import states as st
 
 LATE = "2 days"
@@ -86,16 +88,63 @@ def q_dedupe_latest(spark: SparkSession, d: str) -> DataFrame:
     return _sink(spark, st.latest_stream(_sent_twice(spark, d), LATE), "dedupe-latest")
 
 
-def q_landings(spark: SparkSession, d: str) -> DataFrame:
+def _landings_of(spark: SparkSession, reports: DataFrame) -> DataFrame:
     before = spark.conf.get(st.STATE_STORE, None)
     st.with_state_store(spark)
     try:
-        reports = stg_states(standins.states_of(event_stream(spark, d)))
         return _sink(spark, st.landings_stream(reports, LATE), "landings")
     finally:
         spark.conf.set(st.STATE_STORE, before) if before else spark.conf.unset(st.STATE_STORE)
 
 
+def q_landings(spark: SparkSession, d: str) -> DataFrame:
+    return _landings_of(spark, stg_states(standins.states_of(event_stream(spark, d))))
+
+
+def _two_files(spark: SparkSession, d: str) -> tuple[late.LateFolders, StateTables]:
+    """Reports up to January 20 come after all others, so they are behind the watermark; split, timely ones merged."""
+    landed, folders = scratch_path(spark, "late-landed"), late.LateFolders.below(scratch_path(spark, "late"))
+    checkpoint, tables = scratch_path(spark, "late-checkpoint"), StateTables.below(scratch_path(spark, "late-silver"))
+    reports = frames.states(spark, d)
+    for part in (F.col("event_ts") >= "2024-01-21", F.col("event_ts") < "2024-01-21"):
+        reports.filter(part).write.mode("append").parquet(landed)
+        ingest.available_now(late.split_late(ingest.file_stream(spark, landed, reports.schema), folders, checkpoint, LATE))
+    timely = late.timely_stream(spark, folders, reports.schema)
+    ingest.available_now(st.merge_stream(timely, tables, scratch_path(spark, "late-merge"), frames.RUN_TS))
+    return folders, tables
+
+
+def q_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows in, timely and late of each micro-batch."""
+    return late.late_counts(spark, _two_files(spark, d)[0])
+
+
+def q_late_backfill(spark: SparkSession, d: str) -> DataFrame:
+    """Landings of the timely rows by stream, those that late rows touch made anew by day; up to the watermark."""
+    folders, tables = _two_files(spark, d)
+    corrected = scratch_path(spark, "late-corrected")
+    streamed = _landings_of(spark, late.timely_stream(spark, folders, frames.states(spark, d).schema))
+    late.backfill_landings(spark, folders, tables, corrected, frames.RUN_TS, dt.date(2024, 2, 1))
+    mark = frames.states(spark, d).agg(F.max("event_ts") - F.expr(f"interval {LATE}")).first()[0]
+    return late.landings_served(spark, streamed, corrected).filter(F.col("live_landing_ts") <= F.lit(mark))
+
+
+def q_stream_alarms(spark: SparkSession, d: str) -> DataFrame:
+    """The declared alarms on the stream of counters over two days; every event proves that time passes."""
+    stream = event_stream(spark, d)
+    ticks = stream.select(F.col("ts").cast("timestamp").alias("ts"))
+    before = spark.conf.get(st.STATE_STORE, None)
+    st.with_state_store(spark)
+    try:
+        states = alarms.alarms_stream(service_counters(stream), ticks, SERVICE_SPAN[0])
+        judged = _sink(spark, states, "alarms")
+    finally:
+        spark.conf.set(st.STATE_STORE, before) if before else spark.conf.unset(st.STATE_STORE)
+    return judged.filter(F.col("window_start") < F.lit(SERVICE_SPAN[1])).groupBy("alarm").agg(
+        F.count(F.lit(1)).alias("windows"), F.count_if("breach").alias("breaches"),
+        F.count_if(F.col("state") == "ALARM").alias("alarms"))
+
+
 def q_windows(spark: SparkSession, d: str) -> DataFrame:
     stream = st.windows_stream(frames.points_of(event_stream(spark, d)), 3600, LATE, "metric_name", "component")
     return _sink(spark, stream, "windows").withColumn("sum_value", F.round("sum_value", 4))
@@ -232,6 +281,9 @@ QUERIES = {
     "stream_dedupe": q_dedupe,
     "stream_dedupe_latest": q_dedupe_latest,
     "stream_landings": q_landings,
+    "stream_late_rows": q_late_rows,
+    "stream_late_backfill": q_late_backfill,
+    "stream_alarms": q_stream_alarms,
     "stream_metric_windows": q_windows,
     "stream_dedupe_latest_current": q_dedupe_current,
     "stream_landings_current": q_landings_current,
@@ -246,6 +298,7 @@ QUERIES = {
 }
 
 _MARK = "(select max(event_ts) - interval 2 day from stg_states)"
+_CLOSED_LANDINGS = f"select icao24, live_landing_ts, approach_velocity_mps from landings where live_landing_ts <= {_MARK}"
 _TRAINING = "arr_delay_min is not null and scheduled_dep_ts is not null and distance_miles is not null"
 _HELD_BACK = "('0x' || substr(md5(flight_event_natural_key || ':42'), 1, 8))::bigint % 100 < 20"
 _MEDIAN = f"(select median(arr_delay_min) as middle from silver where {_TRAINING} and not ({_HELD_BACK}))"
@@ -269,8 +322,13 @@ ORACLES = {
     "stream_dedupe_latest": sql(
         f"select * from (select * from replayed where event_ts <= {_MARK}) "
         "qualify row_number() over (partition by icao24, event_ts order by bronze_loaded_at desc) = 1"),
-    "stream_landings": sql(
-        f"select icao24, live_landing_ts, approach_velocity_mps from landings where live_landing_ts <= {_MARK}"),
+    "stream_landings": sql(_CLOSED_LANDINGS),
+    "stream_late_backfill": sql(_CLOSED_LANDINGS),
+    "stream_late_rows": sql(
+        "select batch, count(*) as rows_in, count(*) filter (not behind) as rows_timely, count(*) filter (behind) as rows_late "
+        "from (select cast(event_ts < timestamp '2024-01-21' as bigint) as batch, "
+        f"event_ts < timestamp '2024-01-21' and event_ts <= {_MARK} as behind from stg_states) group by batch"),
+    "stream_alarms": CHECK_ORACLES["alarms_in_service"],
     "stream_metric_windows": sql(
         "select timestamp '1970-01-01' + to_seconds(b * 3600) as window_start, "
         "timestamp '1970-01-01' + to_seconds(b * 3600 + 3600) as window_end, metric_name, component, "
