@@ -1,7 +1,7 @@
 """Data-quality checks. Each gives the rows that violate it; a runner counts them.
 
-The runner evaluates all row checks of a table in one scan. Checks that need their own
-shuffle (uniqueness, references) run as one aggregation each.
+The runner evaluates all row, uniqueness and reference checks of a table in one scan, and those
+of all tables in one shuffle. Other checks run as one plan each.
 """
 
 from __future__ import annotations
@@ -234,7 +234,37 @@ class TableCheck:
     tags: frozenset[str] = field(default_factory=frozenset)
 
 
-Check = RowCheck | TableCheck
+@dataclass(frozen=True)
+class UniqueCheck:
+    """No two rows of a table have the same keys; rows with a NULL key are left to the NULL check."""
+
+    name: str
+    table: str
+    keys: tuple[str, ...]
+    severity: str = "error"
+    tags: frozenset[str] = field(default_factory=frozenset)
+
+    def violations(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        return duplicates(tables[self.table], self.keys)
+
+
+@dataclass(frozen=True)
+class ReferenceCheck:
+    """Every value of a column is a key of another table; both are of one type."""
+
+    name: str
+    table: str
+    column: str
+    parent: str
+    key: str
+    severity: str = "error"
+    tags: frozenset[str] = field(default_factory=frozenset)
+
+    def violations(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        return orphans(tables[self.table], self.column, tables[self.parent], self.key)
+
+
+Check = RowCheck | UniqueCheck | ReferenceCheck | TableCheck
 CRITICAL = frozenset({"critical"})
 
 
@@ -243,12 +273,11 @@ def _required(table: str, *columns: str) -> list[Check]:
 
 
 def _unique(table: str, *keys: str) -> Check:
-    return TableCheck(f"{table}.{'_'.join(keys)}.unique", lambda t: duplicates(t[table], keys), tags=CRITICAL)
+    return UniqueCheck(f"{table}.{'_'.join(keys)}.unique", table, keys, tags=CRITICAL)
 
 
 def _refers(table: str, column: str, parent: str, key: str) -> Check:
-    return TableCheck(
-        f"{table}.{column}.relationships", lambda t: orphans(t[table], column, t[parent], key), tags=CRITICAL)
+    return ReferenceCheck(f"{table}.{column}.relationships", table, column, parent, key, tags=CRITICAL)
 
 
 def _accepted(table: str, column: str, values: Sequence[str], severity: str = "error") -> Check:
@@ -336,33 +365,65 @@ def select_checks(
     ]
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """(check_name, severity, failures): one scan per table for row checks."""
-    checks = list(checks)
-    report = None
+def _entry(check: int, role: int, wrong: Column, *keys: str) -> Column:
+    """What a row says to a check, if anything: the check's number, the row's part in it, its keys."""
+    text = F.array(*[F.col(k).cast("string") for k in keys]) if keys else F.array().cast("array<string>")
+    return F.when(wrong, F.struct(F.lit(check).alias("check"), F.lit(role).alias("role"), text.alias("keys")))
 
-    def add(part: DataFrame) -> None:
-        nonlocal report
-        report = part if report is None else report.unionByName(part)
 
-    by_table: dict[str, list[RowCheck]] = {}
-    for c in checks:
+def _entries(checks: Sequence[Check]) -> dict[str, list[Column]]:
+    """By table: what its rows say. Roles: 0 a wrong row or a key, 1 a key that is referred to."""
+    said: dict[str, list[Column]] = {}
+    for i, c in enumerate(checks):
         if isinstance(c, RowCheck):
-            by_table.setdefault(c.table, []).append(c)
-    for table, group in by_table.items():
-        counted = tables[table].agg(*[
-            F.count_if(c.wrong).alias(f"c{i}") for i, c in enumerate(group)
-        ])
+            said.setdefault(c.table, []).append(_entry(i, 0, c.wrong))
+        elif isinstance(c, UniqueCheck):
+            present = F.lit(True)
+            for k in c.keys:
+                present &= F.col(k).isNotNull()
+            said.setdefault(c.table, []).append(_entry(i, 0, present, *c.keys))
+        elif isinstance(c, ReferenceCheck):
+            said.setdefault(c.table, []).append(_entry(i, 0, F.col(c.column).isNotNull(), c.column))
+            said.setdefault(c.parent, []).append(_entry(i, 1, F.col(c.key).isNotNull(), c.key))
+    return said
+
+
+def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+    """(check_name, severity, failures): rows, or keys, that violate each check.
+
+    A table is scanned once for its row, uniqueness and reference checks. Its rows give an entry for
+    each key and each wrong value; entries are counted by check and key, on the map side first, so
+    wrong rows and values that many rows share are few in the shuffle.
+    """
+    checks = list(checks)
+    said = None
+    for table, entries in _entries(checks).items():
+        part = tables[table].select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+        said = part if said is None else said.unionByName(part)
+    report = None
+    if said is not None:
+        by_key = said.groupBy("check", "keys").agg(
+            F.count_if(F.col("role") == 0).alias("rows"), F.count_if(F.col("role") == 1).alias("parents"))
+        counted = []
+        for i, c in enumerate(checks):
+            mine = F.col("check") == i
+            if isinstance(c, RowCheck):
+                counted.append((c, F.coalesce(F.sum(F.when(mine, F.col("rows"))), F.lit(0))))
+            elif isinstance(c, UniqueCheck):
+                counted.append((c, F.count_if(mine & (F.col("rows") > 1))))
+            elif isinstance(c, ReferenceCheck):
+                counted.append((c, F.count_if(mine & (F.col("rows") > 0) & (F.col("parents") == 0))))
+        # One row of counts becomes a line for each check.
+        counts = by_key.agg(*[n.alias(f"c{i}") for i, (_, n) in enumerate(counted)])
         lines = F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
-                     F.col(f"c{i}").alias("failures"))
-            for i, c in enumerate(group)
-        ])
-        add(counted.select(F.explode(lines).alias("line")).select("line.*"))
+            F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.col(f"c{i}").alias("failures"))
+            for i, (c, _) in enumerate(counted)])
+        report = counts.select(F.explode(lines).alias("line")).select("line.*")
     for c in checks:
         if isinstance(c, TableCheck):
-            add(c.violations(tables).agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "failures"))
+            part = c.violations(tables).agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "failures")
+            report = part if report is None else report.unionByName(part)
     return report
 
 

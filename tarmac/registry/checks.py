@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tarmac import standins
 from tarmac.operators import monitoring as m
 from tarmac.operators import quality as q
+from tarmac.operators import quantiles
 from tarmac.operators.drift import REVIEW_DAYS, unreviewed_drift, unreviewed_drift_count
 from tarmac.plans import silver
 from tarmac.registry import frames
@@ -116,6 +117,21 @@ def q_quantile(spark: SparkSession, d: str) -> DataFrame:
     return q.quantile_between(_fact(spark, d).filter("not cancelled_flag"), "arr_delay_min", 0.95, -30, 240)
 
 
+def q_quantile_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """p95 merged from a sketch a day, the last day sketched later by itself, beside the exact one."""
+    flown, path = _fact(spark, d).filter("not cancelled_flag"), scratch_path(spark, "sketches")
+    last = flown.agg(F.max("flight_date_key")).first()[0]
+    early = flown.filter(F.col("flight_date_key") < F.lit(last))
+    quantiles.refresh_sketches(spark, path, early, "arr_delay_min", "flight_date_key")
+    quantiles.refresh_sketches(spark, path, flown, "arr_delay_min", "flight_date_key", [last])
+    merged = quantiles.merged_quantile(spark.read.parquet(path), 0.95).first()
+    near = quantiles.rank_within(flown, "arr_delay_min", merged["quantile"], 0.95)
+    exact = q.quantile(flown, "arr_delay_min", 0.95).first()[0]
+    return near.select(
+        F.lit(merged["periods"]).cast("bigint").alias("periods"), F.lit(merged["rows"]).cast("bigint").alias("sketched_rows"), "rows", "within",
+        F.lit(exact).alias("exact_quantile"))
+
+
 def q_no_future(spark: SparkSession, d: str) -> DataFrame:
     return _fact(spark, d).filter(q.arrives_after(AS_OF)).select(
         "flight_event_sk", "actual_arr_ts", F.lit(AS_OF).cast("timestamp").alias("observed_at"))
@@ -257,6 +273,7 @@ QUERIES = {
     "dq_source_freshness": lambda s, d: q.source_freshness(_loads(s, d), dt.datetime(2024, 3, 15)),
     "dq_value_length": q_length,
     "dq_quantile_between": q_quantile,
+    "quantile_sketches": q_quantile_sketches,
     "dq_no_future": q_no_future,
     "dq_agg_matches_detail": q_agg_matches,
     "dq_unreviewed_drift": lambda s, d: unreviewed_drift(drift_log(s, d), RUN_TS),
@@ -440,6 +457,9 @@ ORACLES = {
     "dq_quantile_between": sql(
         "select quantile, quantile between -30 and 240 as passed from (select quantile_cont(arr_delay_min, 0.95) "
         "as quantile from fact where not cancelled_flag)"),
+    "quantile_sketches": sql(
+        "select count(distinct flight_date_key) as periods, count(*) as sketched_rows, count(*) as rows, true as within, "
+        "quantile_cont(arr_delay_min, 0.95) as exact_quantile from fact where not cancelled_flag and arr_delay_min is not null"),
     "dq_no_future": sql(
         "select flight_event_sk, actual_arr_ts, timestamp '2024-01-30 12:00:00' as observed_at from fact "
         "where actual_arr_ts > timestamp '2024-01-30 12:00:00'"),

@@ -164,3 +164,52 @@ def test_materialization_rate(spark):
         ("z", NOW + dt.timedelta(minutes=55 + i)) for i in range(11)]
     got = m.materialization_rate(spark.createDataFrame(runs, "asset string, ts timestamp"))
     assert rows(got) == [("x", NOW, 11)]
+
+
+def test_key_checks_share_a_scan_and_count_as_their_own_plans(spark):
+    """Uniqueness over several columns with NULLs, references within a table and across, frequent and absent values."""
+    a = spark.createDataFrame(
+        [(1, "x", 7), (1, "x", 7), (1, None, 8), (1, None, None), (2, "y", 9), (None, "z", 9), (3, "a,b", 2)],
+        "k int, n string, up int")
+    b = spark.createDataFrame([(1, "x"), (7, None), (9, "q")], "id int, name string")
+    tables = {"a": a, "b": b, "none": a.limit(0)}
+    checks = [
+        q.RowCheck("wrong", "a", q.is_null("n")), q.UniqueCheck("pair", "a", ("k", "n")), q.UniqueCheck("single", "a", ("k",)),
+        q.ReferenceCheck("across", "a", "up", "b", "id"), q.ReferenceCheck("within", "a", "up", "a", "k"),
+        q.ReferenceCheck("to_none", "b", "id", "none", "k", severity="warn"), q.ReferenceCheck("from_none", "none", "k", "b", "id"),
+        q.UniqueCheck("none_unique", "none", ("k",)), q.TableCheck("own", lambda t: t["b"].filter("id = 7")),
+    ]
+    report = {r.check_name: (r.severity, r.failures) for r in q.run_checks(tables, checks).collect()}
+    for c in checks[1:-1]:
+        assert report[c.name] == (c.severity, c.violations(tables).count()), c.name
+    assert report == {
+        "wrong": ("error", 2), "pair": ("error", 1), "single": ("error", 1), "across": ("error", 2), "within": ("error", 3),
+        "to_none": ("warn", 3), "from_none": ("error", 0), "none_unique": ("error", 0), "own": ("error", 1)}
+    assert rows(q.run_checks({"none": a.limit(0)}, [q.RowCheck("w", "none", q.is_null("k"))])) == [("w", "error", 0)]
+    plan = q.run_checks(tables, checks[:-1])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_quantile_sketches_merge_and_follow_changed_periods(spark, tmp_path):
+    import random
+
+    from tarmac.operators import quantiles
+
+    rng, path = random.Random(4), str(tmp_path / "sketches")
+    data = [(f"m{i % 5}", None if rng.random() < 0.05 else int(rng.gauss(0, 300)) * (i % 5 + 1)) for i in range(20000)]
+    df = spark.createDataFrame([*data, (None, 5), ("empty", None)], "m string, v int")
+    quantiles.refresh_sketches(spark, path, df.filter("m <> 'm4' or m is null"), "v", "m")
+    quantiles.refresh_sketches(spark, path, df, "v", "m", ["m4", "empty"])
+    known = df.filter("m is not null")
+    for share in (0.0, 0.05, 0.5, 0.95, 1.0):
+        got = quantiles.merged_quantile(spark.read.parquet(path), share).first()
+        assert got["periods"] == 5 and got["rows"] == known.filter("v is not null").count()
+        assert quantiles.rank_within(known, "v", got["quantile"], share).first()["within"]
+    assert not quantiles.rank_within(known, "v", 100000, 0.5).first()["within"]
+    # A period whose values have all gone loses its sketch, the others are left alone.
+    others = {p: p.stat().st_mtime_ns for p in (tmp_path / "sketches").glob("m=m[0-3]/*.parquet")}
+    quantiles.refresh_sketches(spark, path, df.filter("m <> 'm4'"), "v", "m", ["m4"])
+    assert quantiles.merged_quantile(spark.read.parquet(path), 0.5).first()["periods"] == 4
+    assert others and others == {p: p.stat().st_mtime_ns for p in (tmp_path / "sketches").glob("m=m[0-3]/*.parquet")}
+    none = quantiles.merged_quantile(spark.read.parquet(path).limit(0), 0.5).first()
+    assert (none["periods"], none["rows"], none["quantile"]) == (0, 0, None)
