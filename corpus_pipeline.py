@@ -14,7 +14,7 @@ WANTED = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and those identified as a language that is not wanted."""
+    """Documents without a letter go, those in no language that labels teach, and those in one that is not wanted."""
     return langid.keep_identified(docs, langid.fit_languages(docs), WANTED)
 
 

@@ -99,8 +99,10 @@ class LanguageModel:
         for j, codes in enumerate(known):
             self.presence[self.column[codes], j] = 1 / max(np.sqrt(len(codes)), 1)
         self.classes: list[str] = []
-        # The least lead of the best language over the second with which a text is identified.
+        # The least lead of the best language over the second with which a text is identified, and
+        # by class the least share of its n-grams that landmarks must know.
         self.least_lead = -np.inf
+        self.least_known: dict[str, float] = {}
         self.weights = np.zeros((len(known) + 1, 0), np.float32)
 
     def _index(self) -> None:
@@ -117,6 +119,10 @@ class LanguageModel:
 
     def kernels(self, batch: Sequence[str | np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Kernels with the landmarks (and a constant), and which texts have letters."""
+        return self._compare(batch)[:2]
+
+    def _compare(self, batch: Sequence[str | np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``kernels``, with the number of n-grams of each text that landmarks know, and of all."""
         present = np.zeros((len(batch), len(self.features)), np.float32)
         own, lettered = np.ones(len(batch), np.float32), np.zeros(len(batch), bool)
         seen = np.zeros(self.grams.size, bool)
@@ -130,7 +136,7 @@ class LanguageModel:
                 own[i] = np.count_nonzero(seen) if len(codes) > 5000 else len(np.unique(codes))
                 seen[codes] = False
         k = (present @ self.presence) / np.sqrt(own)[:, None]
-        return np.hstack([k, np.ones((len(batch), 1), np.float32)]), lettered
+        return np.hstack([k, np.ones((len(batch), 1), np.float32)]), lettered, present.sum(1), own
 
     def fit(self, batch: Sequence[str | np.ndarray], labels: Sequence[str], ridge: float = 1e-3) -> LanguageModel:
         self.classes = sorted(set(labels))
@@ -165,20 +171,50 @@ class LanguageModel:
 
         The constant's part is left out: a text that has nothing in common with landmarks has no lead.
         """
-        labels, leads = [], []
+        return self._judge(batch)[:2]
+
+    def _judge(self, batch: Sequence[str | np.ndarray]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        labels, leads, shares = [], [], [np.zeros(0)]
         for i in range(0, len(batch), _ROWS):
-            k, lettered = self.kernels(batch[i:i + _ROWS])
+            k, lettered, seen, own = self._compare(batch[i:i + _ROWS])
+            # Of few n-grams the share says little: it is taken one standard error (at most) higher.
+            shares.append((seen + np.sqrt(own)) / own)
             evidence = k[:, :-1] @ self.weights[:-1]
             best = (evidence + self.weights[-1]).argmax(1) if self.classes else np.zeros(len(k), int)
             for row, b, ok in zip(evidence, best, lettered, strict=True):
                 known = ok and len(row) > 0
                 labels.append(self.classes[b] if known else UNKNOWN)
                 leads.append(float(row[b] - np.delete(row, b).max(initial=-np.inf if len(row) > 1 else 0.0)) if known else 0.0)
-        return labels, np.array(leads)
+        return labels, np.array(leads), np.concatenate(shares)
+
+    def claims(self, batch: Sequence[str]) -> list[str | None]:
+        """The language that claims each text; None where its lead, or the share of n-grams that landmarks know, is too small."""
+        return [name if share >= self.least_known.get(name, np.inf) and lead >= self.least_lead else None
+                for name, lead, share in zip(*self._judge(batch), strict=True)]
+
+    def learn_known(self, batch: Sequence[str | np.ndarray], labels: Sequence[str], landmark: Sequence[bool]) -> None:
+        """Sets ``least_known`` from taught texts: ``KNOWN_SHARE`` of the share that all but one in a hundred of a class reach.
+
+        Landmarks teach it for a class that has no other texts; what only the landmark itself holds is then unknown.
+        """
+        inside = self.presence > 0
+        apart = inside[inside.sum(1) > 1].sum(0) / np.maximum(inside.sum(0), 1)
+        others = [t for t, mark in zip(batch, landmark, strict=True) if not mark]
+        counted = [self._compare(others[i:i + _ROWS])[2:] for i in range(0, len(others), _ROWS)]
+        shares = iter(np.concatenate([seen / own for seen, own in counted]) if counted else [])
+        marks = iter(apart)
+        by_class: dict[tuple[str, bool], list[float]] = {}
+        for label, mark in zip(labels, landmark, strict=True):
+            by_class.setdefault((label, bool(mark)), []).append(float(next(marks if mark else shares)))
+        self.least_known = {
+            c: KNOWN_SHARE * float(np.quantile(by_class.get((c, False)) or by_class[c, True], 0.01, method="lower"))
+            for c in self.classes}
 
 
 # Part of the least lead of rightly identified texts that a document needs.
 LEAD_SHARE = 0.25
+# Part of the share of known n-grams of texts in a language that a document in it needs.
+KNOWN_SHARE = 0.75
 
 
 def fit_languages(
@@ -190,6 +226,7 @@ def fit_languages(
     those rightly; ``LEAD_SHARE`` of the least lead is what ``keep_identified`` then asks for. So the
     limit follows from the labels, whatever the number of languages. Very short or mixed texts that are
     identified rightly can fall below it (2 of 1,000 on a trial); without ``calibrate`` nothing goes for its lead.
+    The share of n-grams that a language's texts have in common with landmarks is always learned (``learn_known``).
 
     Rows with a NULL id, text or language, or without a letter, teach nothing. Texts are chosen by
     a hash of the id; of those over ``SAMPLE_CHARS`` characters tasks send the distinct n-grams.
@@ -226,7 +263,9 @@ def fit_languages(
         right = [lead for i, name, lead in zip(apart, found, leads, strict=True) if name == labels[i]]
         least = float(min(right, default=0.0))  # below 0 where some are told by the constant alone
         model.least_lead = least - (1 - LEAD_SHARE) * abs(least)
-    return model.fit(taught, labels)
+    model.fit(taught, labels)
+    model.learn_known(taught, labels, [r["_rank"] <= landmarks for r in rows])
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageModel, drop: Sequence[str] = (), fields: str = FIELDS) -> DataFrame:
@@ -246,8 +285,9 @@ def keep_identified(docs: DataFrame, model: LanguageModel, wanted: Sequence[str]
     """The documents in one of the ``wanted`` languages (default: all that were learned), all columns as they came.
 
     What goes: documents without a text or a letter; those whose language is not wanted; those that
-    no language claims, its lead over the second being smaller than ``model.least_lead`` (a text in
-    no learned language, or of random letters). A model that has learned no language tells nothing
+    no language claims (a text in no learned language, or of random letters): landmarks know too few
+    of its n-grams for a text in the best language (``model.least_known``), or the lead over the
+    second is smaller than ``model.least_lead``. A model that has learned no language tells nothing
     against a text with letters. Repeated rows are judged each; an empty table stays empty; long
     texts are judged whole.
     """
@@ -257,7 +297,6 @@ def keep_identified(docs: DataFrame, model: LanguageModel, wanted: Sequence[str]
 
     def make():
         def compute(batch):
-            found, leads = model.leads(texts(batch, "text"))
-            return [[name in names and lead >= model.least_lead for name, lead in zip(found, leads, strict=True)]]
+            return [[name in names for name in model.claims(texts(batch, "text"))]]
         return compute
     return add_columns(docs, "_lang_kept boolean", make).filter("_lang_kept").select(*docs.columns)

@@ -44,6 +44,25 @@ def test_texts_of_no_language_go(spark, documents):
     assert only.filter("lang = 'de'").count() == kept.filter("lang = 'de'").count() and only.filter("lang = 'es'").count() == 0
 
 
+def test_texts_of_no_language_go_without_calibration(spark, documents):
+    docs = table(spark, SF, "documents")
+    rng = np.random.default_rng(2)
+    garbled = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(n))
+               for n in (40, 200) for _ in range(20)]
+    model = langid.fit_languages(docs)
+    assert langid.keep_identified(documents(list(enumerate(garbled))), model).count() == 0
+    named = langid.identify(docs, model).filter("lang = lang_pred").select("doc_id")
+    assert named.join(langid.keep_identified(docs, model), "doc_id", "left_anti").count() == 0
+    three = langid.fit_languages(docs.filter("lang != 'es'"))  # no label teaches the fourth
+    kept = langid.keep_identified(docs, three)
+    assert kept.filter("lang = 'es'").count() < 0.05 * docs.filter("lang = 'es'").count()
+    assert kept.filter("lang != 'es'").count() == docs.filter("lang != 'es'").count()
+    # Where every text is a landmark, what only itself holds does not count.
+    few = langid.fit_languages(documents([(i, "the cat and the dog " * (1 + i % 3), "en") for i in range(12)]))
+    lone = langid.fit_languages(documents([(1, "the cat", "en")]))
+    assert few.least_known == {"en": pytest.approx(langid.KNOWN_SHARE)} and lone.least_known == {"en": 0.0}
+
+
 def test_language_edges(spark, documents):
     rows = [(i, "the cat and the dog " * (1 + i % 3), "en") for i in range(12)]
     rows += [(20 + i, "der hund und die katze " * (1 + i % 3), "de") for i in range(12)]

@@ -50,3 +50,14 @@ def test_stages_return_the_columns_of_documents(spark, corpus):
         assert stage(spark, docs, path).columns == docs.columns
         assert stage(spark, docs.limit(0), path).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), path).count() == 0
+
+
+def test_language_stage_decides(spark, corpus):
+    """A text of random letters goes; labelled documents, short and mixed ones stay."""
+    path, texts = corpus
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    rows = [(200, "qzx wvk jqp xkz vqj zzx kwq pxv jjk qwx zvk " * 3), (201, "the old house"),
+            (202, LANGUAGES["en"] + LANGUAGES["de"])]
+    more = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(more), path).collect()}
+    assert kept == {*texts, 201, 202} - {102, 103, 104}
