@@ -1,10 +1,10 @@
 """Exact piece encoding by backtracking, and decoding.
 
-The longest piece that starts at a place is taken (found with an Aho-Corasick automaton) if it
-can stand beside the piece before it: merging the two pieces' characters anew must give the same
-two pieces. If not, the next shorter piece is tried; if none is left, the piece before is given
-back and its end is marked in a bit field as a place from which no encoding goes on. Neighbours
-that all agree are the encoding that merging would give.
+The longest piece that starts at a place is taken (an Aho-Corasick automaton walks from longest to
+longest) if it can stand beside the piece before it: merging the two pieces' characters anew must
+give the same two pieces. If not, the next shorter piece is tried, and the walk starts again behind
+it; if none is left, the piece before is given back and its end is closed, as no encoding goes on
+from there. Neighbours that all agree are the encoding that merging would give.
 
 Texts are cut where no piece can reach across: before a run of spaces, around characters that
 only bytes can stand for, and between letters and marks that follow a letter in no piece. Encoded units are kept in a cache of bounded size per worker.
@@ -29,6 +29,8 @@ SPACE = "▁"
 # Units longer than this are not cached; a worker's cache holds twice ``generation`` units at most,
 # some 250 bytes each, for as long as the worker lives. Checked pairs are kept likewise.
 CACHED_LENGTH, GENERATION, PAIRS = 48, 400_000, 150_000
+# Characters that a walk over a long unit takes at once.
+WINDOW = 256
 
 
 class PieceModel:
@@ -61,13 +63,19 @@ class PieceModel:
         self.spaced = {str(i) for piece, i in self.id.items() if piece[0] == SPACE}
         self.controls = {str(i) for i in range(size) if model.is_control(i)}
         self.single = {p for p in self.id if len(p) == 1}
+        self.text = list(map(str, range(size)))
+        # By id: the piece, its length, and the longest piece that it starts with (-1: none).
+        self.piece, self.length, self.shorter = [""] * size, [0] * size, [-1] * size
         automaton = ahocorasick.Automaton()
-        for piece in self.id:
-            automaton.add_word(piece, len(piece))
+        for piece, i in self.id.items():
+            automaton.add_word(piece, i)
+            self.piece[i], self.length[i] = piece, len(piece)
+            self.shorter[i] = next((self.id[piece[:n]] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.id), -1)
         automaton.make_automaton()
-        self.automaton = automaton
+        self.walk = automaton.iter_long
+        self.widest = max(self.length)
         self.space_run = max(len(p) for p in self.id if set(p) == {SPACE})
-        self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.id), None) for p in self.id}
+        self.blanks = [[self.id[p] for p in self.merge(SPACE * n)] for n in range(self.space_run)]
         joined = {b for p in self.id for a, b in zip(p, p[1:], strict=False) if _LETTER(a)}
         used = set().union(*self.id)
         breaks = "".join(repr(c)[1:-1] for c in "\n\r\t" if c not in used)
@@ -78,7 +86,7 @@ class PieceModel:
             rf"{SPACE}*[^\W\d_]++(?=[{SPACE}{enders}{breaks}]|\Z)"
             rf"|{SPACE}+[^{SPACE}{breaks}]*|[{breaks or SPACE}]|[^{SPACE}{breaks}]+"
         ).findall
-        self.agreed: dict[tuple[str, str], bool] = {}
+        self.agreed: dict[int, bool] = {}
         self.young: dict[str, str] = {}
         self.old: dict[str, str] = {}
 
@@ -100,66 +108,77 @@ class PieceModel:
             if at < len(ranks):
                 ranks[at] = rank(parts[at] + parts[at + 1])
 
-    def agree(self, left: str, right: str) -> bool:
-        """Whether two pieces stay as they are when their characters are merged anew."""
-        known = self.agreed.get((left, right))
+    def agree(self, left: int, right: int) -> bool:
+        """Whether two pieces (-1: none) stay as they are when their characters are merged anew."""
+        key = (left + 1) * len(self.piece) + right
+        known = self.agreed.get(key)
         if known is None:
             if len(self.agreed) >= PAIRS:
                 self.agreed.clear()
-            known = self.agreed[left, right] = self.merge(left + right) == ([left, right] if left else [right])
+            want = [self.piece[i] for i in (left, right) if i >= 0]
+            known = self.agreed[key] = self.merge("".join(want)) == want
         return known
 
-    def _longest(self, text: str) -> list[str | None]:
-        """The longest piece that starts at each place."""
-        found: list[str | None] = [None] * len(text)
-        size = [0] * len(text)
-        for end, length in self.automaton.iter(text):
-            start = end - length + 1
-            if length > size[start]:
-                size[start], found[start] = length, text[start:end + 1]
-        return found
-
-    def segment(self, text: str) -> list[str]:
-        """Pieces of characters that all are pieces themselves."""
-        longest = self._longest(text)
-        open_places = (1 << (len(text) + 1)) - 1
-        pieces: list[str] = []
-        at, piece = 0, longest[0]
-        while piece is not None:
-            end = at + len(piece)
-            if open_places >> end & 1 and self.agree(pieces[-1] if pieces else "", piece):
-                pieces.append(piece)
-                at = end
-                piece = longest[at] if at < len(text) else None
-            else:
-                piece = self.shorter[piece]
-                while piece is None and pieces:
-                    open_places &= ~(1 << at)
-                    last = pieces.pop()
-                    at -= len(last)
-                    piece = self.shorter[last]
-        return pieces
+    def segment(self, text: str) -> list[int] | None:
+        """Pieces of a text, as ids; None if a character is no piece itself."""
+        length, shorter, agreed, size = self.length, self.shorter, self.agreed, len(self.piece)
+        ids: list[int] = []
+        closed: set[int] = set()
+        at, left, whole = 0, -1, len(text)
+        base, rim = 0, -1  # where the walk began, and up to where it sees the longest pieces
+        while at < whole:
+            if at > rim:
+                base, rim = at, at + WINDOW - self.widest if at + WINDOW < whole else whole
+                walk = self.walk(text[at:at + WINDOW])
+            last, piece = next(walk, (-1, 0))
+            end = base + last + 1
+            if end - length[piece] != at or end == at:
+                return None
+            while True:
+                known = agreed.get((left + 1) * size + piece)
+                if (self.agree(left, piece) if known is None else known) and end not in closed:
+                    break
+                rim = -1
+                piece = shorter[piece]
+                while piece < 0:
+                    if not ids:
+                        return None
+                    closed.add(at)
+                    left = ids.pop()
+                    at -= length[left]
+                    piece = shorter[left]
+                    left = ids[-1] if ids else -1
+                end = at + length[piece]
+            ids.append(piece)
+            at, left = end, piece
+        return ids
+
+    def _all_known(self, text: str) -> list[int]:
+        return self.segment(text) or [self.id[p] for p in self.merge(text)]
 
     def _spaces(self, count: int) -> list[int]:
         """A run of spaces: equal ranks join from the left, up to the longest run that is a piece."""
         full, rest = divmod(count, self.space_run)
-        return [self.id[p] for p in [SPACE * self.space_run] * full + self.merge(SPACE * rest)]
+        return [self.id[SPACE * self.space_run]] * full + self.blanks[rest]
 
     def encode_unit(self, unit: str) -> list[int]:
         """Ids of a run of spaces with what follows up to the next space."""
+        ids = None if unit.startswith(SPACE + SPACE) else self.segment(unit)
+        if ids is not None:
+            return ids
         spaces = len(unit) - len(unit.lstrip(SPACE))
         head, ids = 0, []
         if spaces:
-            body = unit[spaces - 1:]
-            first = self.segment(self._known(body, 0))
-            lone = first[0] == SPACE
-            ids = self._spaces(spaces if lone else spaces - 1)
-            ids += [self.id[p] for p in (first[1:] if lone else first)]
-            unit, head = body, sum(map(len, first))
+            unit = unit[spaces - 1:]
+            run = self._known(unit, 0)
+            first = self._all_known(run)
+            lone = self.piece[first[0]] == SPACE
+            ids = self._spaces(spaces if lone else spaces - 1) + (first[1:] if lone else first)
+            head = len(run)
         while head < len(unit):
             run = self._known(unit, head)
             if run:
-                ids += [self.id[p] for p in self.segment(run)]
+                ids += self._all_known(run)
                 head += len(run)
             else:
                 ids += [self.byte_id[b] for b in unit[head].encode("utf-8", "surrogatepass")]
@@ -177,7 +196,7 @@ class PieceModel:
         if ids is None:
             ids = self.old.get(unit)
             if ids is None:
-                ids = " ".join(map(str, self.encode_unit(unit)))
+                ids = " ".join(map(self.text.__getitem__, self.encode_unit(unit)))
             if len(unit) <= CACHED_LENGTH:
                 if len(self.young) >= self.generation:
                     self.old, self.young = self.young, {}
