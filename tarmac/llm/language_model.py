@@ -46,17 +46,29 @@ _SCORES = (
 
 
 def _pack(array: np.ndarray) -> bytes:
-    """Type, number and content, compressed; integers as narrow as they can be."""
+    """Type, number and content, compressed; integers as narrow as they can be, high bytes apart from low ones."""
     if array.dtype.kind in "ui" and len(array):
         array = array.astype(np.min_scalar_type(array.max()))
-    raw = np.ascontiguousarray(array).tobytes()
+    raw = np.ascontiguousarray(array).view(np.uint8).reshape(-1, array.itemsize).T.tobytes()
     return array.dtype.char.encode() + len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def _unpack(data: bytes) -> np.ndarray:
     size = int.from_bytes(data[1:9], "little")
     kind = np.dtype(data[:1].decode())
-    return np.frombuffer(pa.decompress(data[9:], size, "zstd"), kind) if size else np.zeros(0, kind)
+    if not size:
+        return np.zeros(0, kind)
+    raw = np.frombuffer(pa.decompress(data[9:], size, "zstd"), np.uint8)
+    return np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
+def _pack_sorted(array: np.ndarray) -> bytes:
+    """As ``_pack``, for numbers that do not fall."""
+    return _pack(np.diff(array, prepend=array.dtype.type(0)))
+
+
+def _unpack_sorted(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.cumsum(_unpack(data), dtype=kind)
 
 
 def _record(ddl: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -95,20 +107,21 @@ def _block(number: int, parts: list[tuple]) -> tuple:
     docs, flags, sizes, tokens = (np.concatenate(p) for p in zip(*parts, strict=True))
     vocabulary, local = np.unique(tokens, return_inverse=True)
     trained = int(sizes[flags & 1 > 0].sum())
-    return (number, docs.astype(np.int64).tobytes(), _pack(flags), _pack(sizes), _pack(vocabulary), _pack(local), trained)
+    return (number, docs.astype(np.int64).tobytes(), _pack(flags), _pack(sizes), _pack_sorted(vocabulary), _pack(local), trained)
 
 
 def _word_messages(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                flags, sizes, words, tokens = (_unpack(row[c]) for c in ("flags", "sizes", "vocabulary", "tokens"))
+                flags, sizes, tokens = (_unpack(row[c]) for c in ("flags", "sizes", "tokens"))
+                words = _unpack_sorted(row["vocabulary"], np.uint64)
                 train = np.repeat(flags & 1, sizes) > 0
                 counts = np.bincount(tokens[train], minlength=len(words))
                 shard = ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(int)
                 at = np.searchsorted(shard, np.arange(shards + 1))
                 yield _record(_MESSAGE, [
-                    (s, row["block"], _pack(words[a:b]), _pack(counts[a:b]), b"")
+                    (s, row["block"], _pack_sorted(words[a:b]), _pack(counts[a:b]), b"")
                     for s, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a])
     return run
 
@@ -119,7 +132,7 @@ def _word_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = boundaries(table, ["shard"])
         for begin, stop in zip(at[:-1], at[1:], strict=True):
             part = table.slice(begin, stop - begin)
-            words = [_unpack(x.as_py()).astype(np.uint64) for x in part["a"]]
+            words = [_unpack_sorted(x.as_py(), np.uint64) for x in part["a"]]
             counts = np.concatenate([_unpack(x.as_py()).astype(np.int64) for x in part["b"]])
             known, place = np.unique(np.concatenate(words), return_inverse=True)
             total = np.bincount(place, counts, len(known)).astype(np.int64)
@@ -129,7 +142,7 @@ def _word_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = place[end - len(w):end]
                 # The shard's own numbers go with its first answer.
                 size, seen = (len(known), int((total > 0).sum())) if i == 0 else (0, 0)
-                out.append((block, 1, part["shard"][0].as_py(), _pack(own), _pack(total[own]), size, seen))
+                out.append((block, 1, part["shard"][0].as_py(), _pack_sorted(own), _pack(total[own]), size, seen))
             yield _record(_REPLY, out)
 
 
@@ -143,7 +156,7 @@ class _Block:
         self.number = content["block"]
         self.docs = np.frombuffer(content["docs"], np.int64)
         self.flags, self.sizes = _unpack(content["flags"]), _unpack(content["sizes"]).astype(np.int64)
-        words = np.concatenate([_unpack(r["a"]).astype(np.int64) + offsets[r["shard"]] for r in replies])
+        words = np.concatenate([_unpack_sorted(r["a"]) + offsets[r["shard"]] for r in replies])
         counts = np.concatenate([_unpack(r["b"]).astype(np.int64) for r in replies])
         tokens = _unpack(content["tokens"])
         self.word, self.count = words[tokens], counts[tokens]
@@ -180,7 +193,7 @@ def _pair_messages(offsets: np.ndarray, facts: dict):
                         part = block.order[a:b]
                         context = block.context[part]
                         new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
-                        runs_ = np.stack([context[new], np.diff(np.r_[new, b - a]), block.context_count[part][new]])
+                        runs_ = np.stack([np.diff(context[new], prepend=0), np.diff(np.r_[new, b - a]), block.context_count[part][new]])
                         out.append((s, block.number, _pack(runs_.ravel()), _pack(block.next[part]), _pack(block.pairs[part])))
                 yield _record(_MESSAGE, out)
     return run
@@ -200,7 +213,7 @@ def _pair_shards(width: int):
                 heads = [_unpack(x.as_py()).reshape(3, -1).astype(np.int64) for x in part["a"]]
                 word = np.concatenate([_unpack(x.as_py()).astype(np.int64) for x in part["b"]])
                 count = np.concatenate([_unpack(x.as_py()).astype(np.int64) for x in part["c"]])
-                context = np.concatenate([np.repeat(h[0], h[1]) for h in heads])
+                context = np.concatenate([np.repeat(np.cumsum(h[0]), h[1]) for h in heads])
                 of = np.concatenate([np.repeat(h[2], h[1]) for h in heads])
                 seen = count > 0
                 key, place = np.unique(

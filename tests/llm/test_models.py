@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -314,3 +315,20 @@ def test_language_model_without_training_or_rows(spark, documents):
     one = language_model.score_documents(documents([(1, "a b")]), F.lit(True)).first()
     assert (one.n_tokens, one.n_known, one.train_tokens, one.base_score, one.score) == (3, 0, 0, 0.0, 0.0)
     assert language_model.score_documents(documents([]), F.lit(False)).count() == 0
+
+
+def test_messages_of_the_language_model_come_back_and_are_small():
+    rng = np.random.default_rng(6)
+    words = np.unique(rng.integers(0, 1 << 64, 50_000, np.uint64))
+    places = np.cumsum(rng.integers(1, 40, 50_000))
+    for kind in (np.uint64, np.int64, np.uint8, np.float64):
+        for size in (0, 1, 7):
+            array = np.arange(size).astype(kind) * 99
+            assert (language_model._unpack(language_model._pack(array)) == array).all()
+            assert (language_model._unpack_sorted(language_model._pack_sorted(array), kind) == array).all()
+    for array in (words, places):
+        assert (language_model._unpack_sorted(language_model._pack_sorted(array), array.dtype.type) == array).all()
+    assert len(language_model._pack_sorted(words)) < 6.8 * len(words)
+    assert len(language_model._pack_sorted(places)) < 1.1 * len(places)
+    tokens = np.minimum(rng.zipf(1.3, 50_000), 60_000) - 1
+    assert len(language_model._pack(tokens)) < 0.95 * len(pa.compress(tokens.astype(np.uint16).tobytes(), "zstd"))
