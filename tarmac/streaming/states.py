@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -56,127 +57,78 @@ def windows_stream(points: DataFrame, period_seconds: int, late: str, *groups: s
     return metric_windows(points.withWatermark("ts", late), period_seconds, *groups)
 
 
-LANDINGS = "icao24 string, live_landing_ts timestamp, approach_velocity_mps double"
-
-
-_WAITING = np.dtype([("at", "<i8"), ("on_ground", "?"), ("velocity", "<f8")])
-_HOUR, _DAY = 3_600_000_000, 86_400_000_000
-STEPS = "icao24 string, step string, at bigint, on_ground boolean, velocity double"
-
-
-def _landed(report: tuple, before: tuple) -> bool:
-    return bool(report[1]) and not before[1] and before[2] > MIN_APPROACH_MPS  # an unknown speed is NaN
-
-
-class DayProcessor(StatefulProcessor):
-    """Orders the reports of one airframe-day by event time and looks for landings within it.
-
-    Reports wait, in buffers of an hour, until the watermark has passed them, so late ones are put
-    in their place; whoever wakes up reads the hours that have become due and no others. State of a
-    day: the waiting hours, the last report judged, the time of the one timer. All of it goes when
-    the watermark passes the end of the day. What a day cannot know leaves it as ``first`` and
-    ``last``: its two outer reports.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "hour int", "reports binary")
-        self.last = handle.getValueState("last", "at bigint, on_ground boolean, velocity double")
-        self.wake_at = handle.getValueState("wake_at", "ms bigint")
-
-    def _wake(self, ms: int) -> None:
-        """Move the timer to ``ms`` unless it is due earlier anyway."""
-        if self.wake_at.exists():
-            planned = self.wake_at.get()[0]
-            if planned <= ms:
-                return
-            self.handle.deleteTimer(planned)
-        self.handle.registerTimer(ms)
-        self.wake_at.update((ms,))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        reports = pd.concat(list(rows), ignore_index=True)
-        new = np.zeros(len(reports), _WAITING)
-        new["at"] = reports["event_ts"].astype("datetime64[us]").astype("int64")
-        # Whether it is on the ground may be unknown: that is neither a landing nor a flight.
-        new["on_ground"] = reports["on_ground"].fillna(False).astype(bool)
-        new["velocity"] = reports["velocity_mps"].astype(float).where(reports["on_ground"].notna(), np.nan)
-        hours = new["at"] % _DAY // _HOUR
-        for hour in np.unique(hours).tolist():
-            held = self.waiting.getValue((hour,))[0] if self.waiting.containsKey((hour,)) else b""
-            self.waiting.updateValue((hour,), (bytes(held) + new[hours == hour].tobytes(),))
-        self._wake(int(new["at"].min()) // 1000)
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        icao24, day = key
-        begin = (day - dt.date(1970, 1, 1)).days * _DAY
-        watermark = timerValues.getCurrentWatermarkInMs()
-        last = tuple(self.last.get()) if self.last.exists() else None
-        found, next_wake = [], (begin + _DAY) // 1000
-        for hour in sorted(k[0] for k in self.waiting.keys()):
-            if (begin + hour * _HOUR) // 1000 > watermark:
-                next_wake = min(next_wake, (begin + hour * _HOUR) // 1000)
-                break
-            held = np.sort(np.frombuffer(self.waiting.getValue((hour,))[0], _WAITING), order="at")
-            due = int(np.searchsorted(held["at"] // 1000, watermark, "right"))
-            for report in held[:due].tolist():
-                if last is None:
-                    found.append(("first", *report))
-                elif _landed(report, last):
-                    found.append(("landing", report[0], True, last[2]))
-                last = report
-            if due < len(held):
-                self.waiting.updateValue((hour,), (held[due:].tobytes(),))
-                next_wake = min(next_wake, int(held["at"][due]) // 1000)
-            else:
-                self.waiting.removeKey((hour,))
-        self.wake_at.clear()
-        if watermark >= (begin + _DAY) // 1000:
-            found.append(("last", *last))
-            self.last.clear()
-        else:
-            if last is not None:
-                self.last.update(last)
-            self._wake(next_wake)
-        if found:
-            step, at, on_ground, velocity = zip(*found, strict=True)
-            yield pd.DataFrame({
-                "icao24": [icao24] * len(found), "step": step, "at": at, "on_ground": on_ground, "velocity": velocity})
-
-    def close(self) -> None:
-        pass
+# Airframes are dealt to so many groups; changing it needs new checkpoints.
+BUCKETS = 1024
+STEPS = "bucket int, steps binary"
+LANDINGS = "icao24 string, at bigint, velocity double"
+
+_FIRST, _LANDING, _LAST = 0, 1, 2
+_STEP = pa.schema([
+    ("icao24", pa.string()), ("at", pa.int64()), ("on_ground", pa.bool_()), ("velocity", pa.float64()), ("step", pa.int8())])
+
+
+def _packed(steps: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, steps.schema) as writer:
+        writer.write_table(steps.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _in_order(reports: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """Reports by airframe and time, whether each is its airframe's first, and whether it landed after the one before."""
+    codes = reports["icao24"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+    steps = [reports["step"].to_numpy()] if "step" in reports.column_names else []
+    order = np.lexsort((*steps, reports["at"].to_numpy(), codes))
+    reports, codes = reports.take(pa.array(order)), codes[order]
+    on_ground, velocity = reports["on_ground"].to_numpy(), reports["velocity"].to_numpy()
+    opens, landed = np.ones(len(codes), bool), np.zeros(len(codes), bool)
+    opens[1:] = codes[1:] != codes[:-1]
+    landed[1:] = ~opens[1:] & on_ground[1:] & ~on_ground[:-1] & (velocity[:-1] > MIN_APPROACH_MPS)  # an unknown speed is NaN
+    return reports, opens, landed
+
+
+def day_steps(reports: pa.Table) -> pa.Table:
+    """What the reports of a group of airframes and a day say: landings among them, and each airframe's first and last one."""
+    bucket = reports["bucket"][0].as_py()
+    reports, opens, landed = _in_order(reports.select(["icao24", "at", "on_ground", "velocity"]))
+    velocity = reports["velocity"].to_numpy()
+    approach = pa.chunked_array([np.concatenate((velocity[:1], velocity[:-1]))])
+    found = []
+    for step, rows, kept in (
+        (_FIRST, reports, opens), (_LANDING, reports.set_column(3, "velocity", approach), landed),
+        (_LAST, reports, np.append(opens[1:], True)),
+    ):
+        rows = rows.filter(pa.array(kept))
+        found.append(rows.append_column("step", pa.array(np.full(len(rows), step, np.int8))).cast(_STEP))
+    return pa.table({"bucket": pa.array([bucket], pa.int32()), "steps": pa.array([_packed(pa.concat_tables(found))], pa.binary())})
 
 
 class BorderProcessor(StatefulProcessor):
-    """Puts an airframe's days together: the first report of a day is judged by the last one before.
+    """Puts days together: an airframe's first report of a day is judged by its last one before.
 
-    A day hands on its reports in the order of time, and not before the days that precede it have
-    ended, so one report is all the state an airframe has.
+    A key is a group of airframes, so its calls and state do not number as many as airframes. Reports
+    come in the order of time: those of a batch are later than all of the batches before it, and a day
+    that is spread over batches comes in parts. So one report is all the state an airframe has.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "at bigint, on_ground boolean, velocity double")
+        self.last = handle.getValueState("last", "reports binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        steps = pd.concat(list(rows), ignore_index=True).sort_values(["at", "step"])  # first, landing, last
-        last = tuple(self.last.get()) if self.last.exists() else None
-        found = []
-        for step, *report in steps[["step", "at", "on_ground", "velocity"]].itertuples(index=False):
-            if step == "landing":
-                found.append((report[0], report[2]))
-            elif step == "last":
-                last = (int(report[0]), bool(report[1]), float(report[2]))
-            elif last is not None and _landed(tuple(report), last):
-                found.append((report[0], last[2]))
-        if last is not None:
-            self.last.update(last)
-        if found:
+        parts = [bytes(part) for frame in rows for part in frame["steps"]]
+        if self.last.exists():
+            parts.append(bytes(self.last.get()[0]))
+        steps, opens, landed = _in_order(pa.concat_tables([pa.ipc.open_stream(part).read_all() for part in parts]))
+        step, velocity = steps["step"].to_numpy(), steps["velocity"].to_numpy()
+        # A first report follows the last one of the part before, or it opens its airframe.
+        border, inner = landed & (step == _FIRST), step == _LANDING
+        approach = np.where(border, np.concatenate((velocity[:1], velocity[:-1])), velocity)
+        self.last.update((_packed(steps.filter(pa.array(np.append(opens[1:], True)))),))
+        found = border | inner
+        if found.any():
             yield pd.DataFrame({
-                "icao24": [key[0]] * len(found),
-                "live_landing_ts": pd.to_datetime([at for at, _ in found], unit="us"),
-                "approach_velocity_mps": [v for _, v in found],
-            })
+                "icao24": steps["icao24"].filter(pa.array(found)).to_pylist(), "at": steps["at"].to_numpy()[found],
+                "velocity": approach[found]})
 
     def close(self) -> None:
         pass
@@ -185,16 +137,26 @@ class BorderProcessor(StatefulProcessor):
 def landings_stream(states: DataFrame, late: str = LATE) -> DataFrame:
     """Landings of a stream of reports, each emitted when no earlier report can come any more.
 
-    Copies are settled first. Then two keyed operators follow: one has an airframe-day, so an
-    airframe with very many reports is spread over its days and no state outlives its day; the
-    other has an airframe and sees the landings and two reports of each day. Needs the RocksDB
-    state store.
+    Copies are settled first. That operator holds each report until the watermark has passed it, so
+    what a micro-batch hands on is later than all that was handed on before, and late reports are in
+    their place. Within a batch the reports of a group of airframes and a day are put in order and
+    judged; an airframe with very many reports is spread over its days. A keyed operator has a group
+    of airframes and sees the landings and two reports of each airframe, day and batch. Needs the
+    RocksDB state store.
     """
-    unique = latest_stream(states.select(*STATE_KEY, *REPORT_COLUMNS, "bronze_loaded_at"), late).drop("bronze_loaded_at")
-    days = unique.withColumn("event_day", F.to_date("event_ts")).groupBy("icao24", "event_day").transformWithStateInPandas(
-        DayProcessor(), outputStructType=STEPS, outputMode="Append", timeMode="EventTime")
-    return days.groupBy("icao24").transformWithStateInPandas(
+    unique = latest_stream(states.select(*STATE_KEY, *REPORT_COLUMNS, "bronze_loaded_at"), late)
+    reports = unique.select(
+        F.pmod(F.xxhash64("icao24"), F.lit(BUCKETS)).cast("int").alias("bucket"), F.to_date("event_ts").alias("event_day"),
+        "icao24", F.unix_micros("event_ts").alias("at"),
+        # Whether it is on the ground may be unknown: that is neither a landing nor a flight.
+        F.coalesce("on_ground", F.lit(False)).alias("on_ground"),
+        F.coalesce(F.when(F.col("on_ground").isNotNull(), F.col("velocity_mps").cast("double")), F.lit(float("nan"))).alias("velocity"),
+    )
+    days = reports.groupBy("bucket", "event_day").applyInArrow(day_steps, STEPS)
+    found = days.groupBy("bucket").transformWithStateInPandas(
         BorderProcessor(), outputStructType=LANDINGS, outputMode="Append", timeMode="None")
+    return found.select(
+        "icao24", F.timestamp_micros("at").alias("live_landing_ts"), F.col("velocity").alias("approach_velocity_mps"))
 
 
 def merge_stream(

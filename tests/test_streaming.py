@@ -116,6 +116,30 @@ def test_landings_across_days_with_state_that_does_not_grow(spark, tmp_path):
     assert len(held) >= 10 and max(held[-4:]) <= 1.5 * max(held[2:6])
 
 
+def test_landings_of_many_airframes_in_few_groups(spark, tmp_path):
+    """Calls and state of the keyed operator go by groups of airframes; unknown ids, speeds and places are as in the batch rule."""
+    st.with_state_store(spark)
+    rng = random.Random(4)
+    reports = [report(f"b{i}", rng.randrange(4 * 1440), rng.random() < 0.5, rng.choice([None, 10.0, 80.0]))
+               for i in range(2500) for _ in range(3)]
+    reports += [report(None, m, rng.choice([None, True, False]), 90.0) for m in range(0, 5600, 50)]
+    reports += [report("hot", m, rng.choice([None, True, False]), rng.choice([None, 31.0])) for m in range(5600)]
+    reports.sort(key=lambda r: r[3] + dt.timedelta(minutes=rng.uniform(0, 100)))
+    files = [reports[i:i + 3300] for i in range(0, len(reports), 3300)]
+    source = write_files(spark, str(tmp_path / "in"), files, REPORT)
+    stream = st.landings_stream(ingest.file_stream(spark, source, REPORT, files_per_trigger=1), "2 hours")
+    query = st.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "out-checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    mark = max(r[3] for r in reports) - dt.timedelta(hours=2)
+    expected = landing_events(unique_states(spark.createDataFrame(reports, REPORT))).filter(F.col("live_landing_ts") <= F.lit(mark))
+    names = ["icao24", "live_landing_ts", "approach_velocity_mps"]
+    assert rows(got, *names) == rows(expected, *names)
+    assert got.filter("icao24 is null").count() > 5 and got.filter("icao24 like 'b%'").count() > 300
+    keyed = [o for p in query.recentProgress for o in p["stateOperators"] if "transformWithState" in o["operatorName"]]
+    assert 0 < max(o["numRowsTotal"] for o in keyed) < 2500 / 2
+
+
 def test_windows_equal_batch_up_to_the_watermark(spark, tmp_path):
     schema = "metric_name string, value double, ts timestamp"
     rng = random.Random(2)
