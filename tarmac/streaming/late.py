@@ -6,7 +6,7 @@ import datetime as dt
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -48,7 +48,8 @@ def split_late(
     split as it was. Streams that drop late rows read ``timely`` (``timely_stream``); what they would
     have lost is in ``late``: rows in = timely rows + late rows, batch by batch. A row without event
     time is timely. A batch shows its timely rows all at once, by a rename, and only once:
-    repeated after a failure it does not show them again. Nothing is shuffled but the counts.
+    repeated after a failure it does not show them again. Nothing is shuffled but the counts, and nothing
+    is kept in memory: rows are counted while the timely ones are written, and read again if some are late.
     """
     def route(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -58,19 +59,20 @@ def split_late(
         us = F.unix_micros(F.col(time_column))
         mark = F.lit(before["latest_us"]).cast("bigint")
         border = F.floor(mark / 1000) * 1000 - F.expr(f"unix_micros(timestamp_micros(0) + interval {late})")
-        batch = batch.withColumn("_late", F.coalesce(us <= border, F.lit(False))).persist()
-        try:
-            counts = batch.agg(F.max(us).alias("latest"), F.count(F.lit(1)).alias("rows"), F.count_if("_late").alias("late")).first()
-            shown, hidden = f"{folders.timely}/batch={batch_id}", f"{folders.timely}/.batch={batch_id}"
-            if not files.exists(spark, shown):
-                batch.filter("not _late").drop("_late").write.mode("overwrite").parquet(hidden)
-                files.rename(spark, hidden, shown)
-            if counts["late"]:
-                batch.filter("_late").drop("_late").withColumn("event_day", F.to_date(time_column)).withColumn(
-                    "batch", F.lit(batch_id)).write.mode("overwrite").option(
-                    "partitionOverwriteMode", "dynamic").partitionBy("event_day", "batch").parquet(folders.late)
-        finally:
-            batch.unpersist()
+        batch = batch.withColumn("_late", F.coalesce(us <= border, F.lit(False)))
+        counted = [F.max(us).alias("latest"), F.count(F.lit(1)).alias("rows"), F.count_if("_late").alias("late")]
+        shown, hidden = f"{folders.timely}/batch={batch_id}", f"{folders.timely}/.batch={batch_id}"
+        if files.exists(spark, shown):
+            counts = batch.agg(*counted).first()
+        else:
+            seen = Observation()
+            batch.observe(seen, *counted).filter("not _late").drop("_late").write.mode("overwrite").parquet(hidden)
+            files.rename(spark, hidden, shown)
+            counts = seen.get
+        if counts["late"]:
+            batch.filter("_late").drop("_late").withColumn("event_day", F.to_date(time_column)).withColumn(
+                "batch", F.lit(batch_id)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("event_day", "batch").parquet(folders.late)
         latest = max((v for v in (before["latest_us"], counts["latest"]) if v is not None), default=None)
         _put_note(spark, f"{folders.notes}/{batch_id}", {
             "latest_us": latest, "rows_in": counts["rows"], "rows_late": counts["late"]})
@@ -132,12 +134,10 @@ def backfill_landings(
     late = spark.read.option("basePath", folders.late).parquet(
         *[f"{folders.late}/event_day={day}" for day in listed]).drop("batch")
     load_states(spark, tables, late.drop("event_day"), run_ts, backfill=(min(listed), max(listed)))
-    chain = _next_days(late, tables)
-    touched = {r.day for r in chain.select(F.explode(F.array("event_day", "next_day")).alias("day")).distinct().collect()}
-    remade = sorted(d for d in touched if d is not None and d < closed_before)
-    patient = F.col("event_day") >= F.lit(closed_before - dt.timedelta(days=patience_days))
-    waiting = chain.filter((F.col("next_day") >= F.lit(closed_before)) | (F.col("next_day").isNull() & patient))
-    waits = {r.event_day for r in waiting.select("event_day").distinct().collect()}
+    chain = _next_days(late, tables).collect()  # pairs of days
+    remade = sorted(d for d in {day for pair in chain for day in pair} if d is not None and d < closed_before)
+    patient = closed_before - dt.timedelta(days=patience_days)
+    waits = {r.event_day for r in chain if (r.event_day >= patient if r.next_day is None else r.next_day >= closed_before)}
     for day in remade:
         files.delete(spark, f"{corrected}/_days/{day}")
         files.delete(spark, f"{corrected}/day={day}")

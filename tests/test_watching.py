@@ -134,6 +134,38 @@ def test_a_note_that_is_missing_stops_the_split(spark, tmp_path, arrivals):
         split(spark, source, folders, str(tmp_path / "check"))
 
 
+def test_split_keeps_no_batch_in_memory(spark, tmp_path, arrivals, monkeypatch):
+    folders, kept, renamed = late.LateFolders.below(str(tmp_path)), [], late.files.rename
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def rename(session, source, target):
+        kept.append(session.sparkContext._jsc.getPersistentRDDs().size())
+        renamed(session, source, target)
+
+    monkeypatch.setattr(late.files, "rename", rename)
+    split(spark, write_files(spark, str(tmp_path / "in"), arrivals, REPORT), folders, str(tmp_path / "check"))
+    assert len(kept) >= len(arrivals) and max(kept) <= before
+
+
+def test_backfill_looks_up_touched_days_once(spark, tmp_path, arrivals, monkeypatch):
+    folders, tables = late.LateFolders.below(str(tmp_path)), StateTables.below(str(tmp_path / "silver"))
+    split(spark, write_files(spark, str(tmp_path / "in"), arrivals, REPORT), folders, str(tmp_path / "check"))
+    ingest.available_now(st.merge_stream(late.timely_stream(spark, folders, REPORT), tables, str(tmp_path / "merge"), RUN))
+    runs, chained = spark.sparkContext.accumulator(0), late._next_days
+
+    def counted(rows):
+        runs.add(1)
+        return rows
+
+    def next_days(*given):
+        chain = chained(*given).coalesce(1)
+        return chain.mapInPandas(counted, chain.schema)
+
+    monkeypatch.setattr(late, "_next_days", next_days)
+    assert late.backfill_landings(spark, folders, tables, str(tmp_path / "corrected"), RUN, dt.date(2024, 1, 30))
+    assert runs.value == 1
+
+
 def test_backfill_of_listed_days_gives_the_whole_result(spark, tmp_path, arrivals):
     st.with_state_store(spark)
     folders, tables = late.LateFolders.below(str(tmp_path)), StateTables.below(str(tmp_path / "silver"))
